@@ -99,27 +99,29 @@ class Run:
         return quality_markdown(stored)
 
     def build_marts(self) -> None:
-        t, spark = self.tables, self.spark
-        dims = marts.engagement_dimensions(t)
-        facts = {
-            "fact_learning_engagement": marts.fact_learning_engagement(
-                t["clean_registration"], t["analytics_student_engagement"], dims
-            )
-        }
-        for name, df in {**dims, **facts}.items():
-            self._mart("engagement_mart", name, df)
-        dims = {"dim_date": marts.dim_date(spark), **marts.click_dimensions(t)}
-        facts = {
-            "fact_student_enrollment": marts.fact_student_enrollment(t, dims),
-            "fact_student_assessment": marts.fact_student_assessment(t, dims),
-            "fact_student_vle": marts.fact_student_vle(t, dims),
-        }
-        for name, df in {**dims, **facts}.items():
-            self._mart("click_mart", name, df)
-
-    def _mart(self, mart: str, name: str, df: DataFrame) -> None:
-        path = f"{self.out_dir}/{mart}/{name}"
-        self.tables[f"{mart}.{name}"] = logged_write(df, path, self.log, "mart_build", f"{mart}.{name}")
+        """Dimensions first: facts look their keys up in the stored tables."""
+        t = self.tables
+        mart, add = {}, lambda name, df: self._mart("engagement_mart", mart, name, df)
+        add("dim_student", marts.dim_student(t["clean_student"]))
+        add("dim_module_presentation", marts.dim_module_presentation(t["clean_module_presentation"]))
+        add("dim_age_band", marts.dim_age_band(t["clean_registration"]))
+        add("dim_outcome", marts.dim_outcome(t["clean_registration"]))
+        engagement = t["analytics_student_engagement"]
+        add("fact_learning_engagement", marts.fact_learning_engagement(t["clean_registration"], engagement, mart))
+
+        click, put = {}, lambda name, df: self._mart("click_mart", click, name, df)
+        put("dim_date", marts.dim_date(self.spark))
+        put("dim_course", marts.dim_course(t["stg_courses"]))
+        put("dim_student", marts.dim_student_picked(t["stg_student_info"]))
+        put("dim_assessment", marts.dim_assessment(t["stg_assessments"], click["dim_course"]))
+        put("dim_vle_material", marts.dim_vle_material(t["stg_vle"], click["dim_course"]))
+        put("fact_student_enrollment", marts.fact_student_enrollment(t, click))
+        put("fact_student_assessment", marts.fact_student_assessment(t, click))
+        put("fact_student_vle", marts.fact_student_vle(t, click))
+
+    def _mart(self, mart: str, tables: dict[str, DataFrame], name: str, df: DataFrame) -> None:
+        path, label = f"{self.out_dir}/{mart}/{name}", f"{mart}.{name}"
+        tables[name] = self.tables[label] = logged_write(df, path, self.log, "mart_build", label)
 
     def audit_engagement_mart(self) -> DataFrame:
         of = lambda name: self.tables[f"engagement_mart.{name}"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -51,27 +50,26 @@ def load_staging(
 def preflight(spark: SparkSession, data_dir: str, sources: Sequence[SourceFile] = SOURCES) -> DataFrame:
     """One row per expected file: is it there, and is its header as expected?
 
-    Sizes come from one listing of the folder; only header lines are read.
+    A "file" may be a folder of part files, as a large export would be. Sizes
+    come from a listing of the folder; only header lines are read.
     """
-    sizes = {
-        row["path"].rsplit("/", 1)[-1]: row["length"]
-        for row in spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+    names = [s.filename for s in sources]
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
         .load(data_dir)
-        .where(F.element_at(F.split("path", "/"), -1).isin(*[s.filename for s in sources]))
-        .select("path", "length")
-        .collect()  # one row per expected file
-    }
+        .select(F.explode(F.split("path", "/")).alias("name"), "length")
+        .where(F.col("name").isin(*names))
+        .groupBy("name")
+        .agg(F.sum("length").alias("bytes"))
+    )
+    sizes = {row["name"]: row["bytes"] for row in listed.collect()}  # one row per expected file
     rows = []
     for s in sources:
-        expected, found, status = ",".join(s.columns), None, "MISSING"
-        if s.filename in sizes:
-            try:
-                found = ",".join(spark.read.option("header", True).csv(f"{data_dir}/{s.filename}").columns)
-            except AnalysisException:
-                found = ""
+        expected, found, status, size = ",".join(s.columns), None, "MISSING", sizes.get(s.filename)
+        if size is not None:
+            found = ",".join(spark.read.option("header", True).csv(f"{data_dir}/{s.filename}").columns)
             status = "OK" if found == expected else "INVALID COLUMNS"
-        size = sizes.get(s.filename)
         rows.append((s.filename, status, expected, found, size, None if size is None else size / 1048576))
     return spark.createDataFrame(
         rows, "file string, status string, expected string, found string, bytes bigint, size_mb double"

@@ -4,19 +4,13 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import aggregates as agg
 from tallyframe.operators.joins import union_all
-from tallyframe.operators.quality import rule_report
+from tallyframe.operators.quality import Check, ForeignKey, NotNull, rule_report
 from tallyframe.plans import analytics, clean, marts, profiling, quality
 from tallyframe.schemas import PRESENTATION_KEY
 from tallyframe.session import materialise
 from workload.registry import doubles, query
 from workload.staging_sql import LAYERS, rounded_mean, rounded_pct
-from workload.tables import _lines, enrolments, staging
-
-
-def layers(spark, d):
-    """Staging and clean tables as plans."""
-    stg = staging(spark, d)
-    return {**stg, **clean.build_clean(stg)}
+from workload.tables import Plans, enrolments, layers, order_lines, staging
 
 
 def sql(body: str, *ctes: str) -> str:
@@ -264,8 +258,8 @@ def _profile(name, body, function=None, rounded=()):
 
 def _bare(stg):
     """Enrolment rows with their padding removed, as the raw joins compare text as it stands."""
-    info = stg["stg_student_info"]
-    return {**stg, "stg_student_info": info.withColumns({c: F.trim(c) for c in ("code_module", "id_student")})}
+    trimmed = {c: F.trim(c) for c in ("code_module", "id_student")}
+    return stg.also({"stg_student_info": lambda _: stg["stg_student_info"].withColumns(trimmed)})
 
 
 INFO = """(SELECT * REPLACE (trim(code_module) AS code_module, trim(id_student) AS id_student) FROM stg_student_info)"""
@@ -485,7 +479,7 @@ def _(spark, d):
 def expectations(spark, d):
     """Expected counts worked out from the given tables, not from the staging tables."""
     orders = enrolments(spark, d)
-    lines = _lines(spark, d, orders)
+    lines = order_lines(spark, d, orders)
     of_orders = orders.agg(
         F.countDistinct("code_module", "code_presentation").alias("presentations"),
         F.countDistinct("id_student", "code_module", "code_presentation").alias("registrations"),
@@ -640,11 +634,24 @@ def _report_sql():
     )
 
 
+def _written(t: Plans, *names: str) -> Plans:
+    """Plans in which the named tables are written out once, as they would be stored."""
+    return t.also({n: lambda _, n=n: materialise(t[n], n) for n in names})
+
+
+CLEAN_FACTS = ("clean_registration", "clean_student_assessment", "clean_student_vle_interaction")
+
+
 def _all_layers(spark, d):
-    """All layers; the tables that several report lines use are written out once."""
-    t = layers(spark, d)
-    t |= {n: materialise(t[n], n) for n in ("clean_registration", "clean_student_assessment", "clean_student_vle_interaction")}
-    return {**t, **analytics.build_analytics(t)}
+    """All layers; the tables that several steps use are written out once."""
+    return _written(layers(spark, d), *quality.CLEAN_TABLES).also(
+        {
+            "analytics_student_engagement": lambda t: materialise(analytics.student_engagement(t), "engagement"),
+            "analytics_completion_by_presentation": lambda t: analytics.completion_by_presentation(t),
+            "analytics_assessment_performance": lambda t: analytics.assessment_performance(t),
+            "analytics_engagement_by_result": lambda t: analytics.engagement_by_result(t["analytics_student_engagement"]),
+        }
+    )
 
 
 @query("quality_report", sql(_report_sql()))
@@ -652,34 +659,49 @@ def _(spark, d):
     return quality.full_report(_all_layers(spark, d), expectations(spark, d)).drop("interpretation")
 
 
+def _gate_sql(lines):
+    return " UNION ALL ".join(
+        f"""SELECT '{check}' AS check_name, CAST({observed} AS VARCHAR) AS observed_value,
+        CASE WHEN {observed} = {wanted} THEN 'PASS' ELSE 'FAIL' END AS status"""
+        for check, observed, wanted in lines
+    )
+
+
 @query(
     "clean_gate",
     sql(
-        f"""SELECT 'nonpositive click totals' AS check_name,
-        CAST({_count("clean_student_vle_interaction", "sum_click <= 0")} AS VARCHAR) AS observed_value, 'PASS' AS status
-        UNION ALL SELECT 'interactions without registration',
-        CAST({_lone("clean_registration", "id_student", "code_module", "code_presentation")} AS VARCHAR), 'PASS'
-        UNION ALL SELECT 'interactions without contextual resource',
-        CAST({_lone("clean_vle_resource", "id_site", "code_module", "code_presentation")} AS VARCHAR), 'PASS'"""
+        _gate_sql(
+            [
+                ("nonpositive click totals", _count("clean_student_vle_interaction", "sum_click <= 0"), "0"),
+                ("interactions without registration",
+                 _lone("clean_registration", "id_student", "code_module", "code_presentation"), "0"),
+                ("interactions without contextual resource",
+                 _lone("clean_vle_resource", "id_site", "code_module", "code_presentation"), "0"),
+            ]
+        )
     ),
 )
 def _(spark, d):
-    return quality.clean_gate_report(layers(spark, d)).select("check_name", "observed_value", "status")
+    t = _written(layers(spark, d), "clean_student_vle_interaction")
+    return quality.clean_gate_report(t).select("check_name", "observed_value", "status")
 
 
 @query(
     "analytics_gate",
     sql(
-        f"""SELECT '{quality.ANALYTICS_ROWS}' AS check_name, CAST({_count("analytics_student_engagement")} AS VARCHAR)
-        AS observed_value, 'PASS' AS status
-        UNION ALL SELECT '{quality.PRESENTATION_TOTAL}', CAST((SELECT sum(registered_students)
-          FROM analytics_completion_by_presentation) AS VARCHAR), 'PASS'
-        UNION ALL SELECT '{quality.OUTCOME_TOTAL}', CAST((SELECT sum(registrations)
-          FROM analytics_engagement_by_result) AS VARCHAR), 'PASS'
-        UNION ALL SELECT 'invalid completion rates', CAST({_count("analytics_completion_by_presentation",
-          "successful_completion_rate_pct NOT BETWEEN 0 AND 100")} AS VARCHAR), 'PASS'
-        UNION ALL SELECT 'invalid assessment scores', CAST({_count("analytics_assessment_performance",
-          "average_score NOT BETWEEN 0 AND 100")} AS VARCHAR), 'PASS'"""
+        _gate_sql(
+            [
+                (quality.ANALYTICS_ROWS, _count("analytics_student_engagement"), EXPECTED["registrations"]),
+                (quality.PRESENTATION_TOTAL,
+                 "(SELECT sum(registered_students) FROM analytics_completion_by_presentation)", EXPECTED["registrations"]),
+                (quality.OUTCOME_TOTAL,
+                 "(SELECT sum(registrations) FROM analytics_engagement_by_result)", EXPECTED["registrations"]),
+                ("invalid completion rates",
+                 _count("analytics_completion_by_presentation", "successful_completion_rate_pct NOT BETWEEN 0 AND 100"), "0"),
+                ("invalid assessment scores",
+                 _count("analytics_assessment_performance", "average_score NOT BETWEEN 0 AND 100"), "0"),
+            ]
+        )
     ),
 )
 def _(spark, d):
@@ -687,20 +709,44 @@ def _(spark, d):
     return report.select("check_name", "observed_value", "status")
 
 
-def _rule_count(rules):
+def _violations_sql(table, rule):
+    """The number of rows of ``table`` that break a rule, in SQL."""
+    if isinstance(rule, NotNull):
+        return _count(table, " OR ".join(f"{c} IS NULL" for c in rule.columns))
+    if isinstance(rule, Check):
+        return _count(table, f"NOT coalesce({rule.condition}, true)")
+    keys = ", ".join(rule.keys)
+    if isinstance(rule, ForeignKey):
+        pairs = zip(rule.parent_keys or rule.keys, rule.keys, strict=True)
+        match = " AND ".join(f"p.{parent} = c.{child}" for parent, child in pairs)
+        known_keys = " AND ".join(f"c.{k} IS NOT NULL" for k in rule.keys)
+        return f"(SELECT count(*) FROM {table} c WHERE {known_keys} AND NOT EXISTS (FROM {rule.parent} p WHERE {match}))"
+    return f"{_count(table)} - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {table}))"
+
+
+def _rules_sql(rules):
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, CAST(0 AS BIGINT) AS violations"
+        f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, CAST({_violations_sql(table, rule)} AS BIGINT) AS violations"
         for table, table_rules in rules.items()
         for rule in table_rules
     )
 
 
-@query("clean_rules", _rule_count(clean.CLEAN_RULES))
+@query("clean_rules", sql(_rules_sql(clean.CLEAN_RULES)))
 def _(spark, d):
     return rule_report(_all_layers(spark, d), clean.CLEAN_RULES)
 
 
-@query("analytics_rules", _rule_count(analytics.ANALYTICS_RULES))
+ENGAGEMENT_SCORED = "engagement_scored AS (SELECT *, score_cents / 100 AS average_score FROM analytics_student_engagement)"
+
+
+@query(
+    "analytics_rules",
+    sql(
+        _rules_sql(analytics.ANALYTICS_RULES).replace("FROM analytics_student_engagement", "FROM engagement_scored"),
+        ENGAGEMENT_SCORED,
+    ),
+)
 def _(spark, d):
     return rule_report(_all_layers(spark, d), analytics.ANALYTICS_RULES)
 
@@ -737,9 +783,7 @@ fact_learning_engagement AS (
 
 def _clean_layer(spark, d):
     """The clean tables a mart starts from, written out once as they would be stored."""
-    t = layers(spark, d)
-    names = ("clean_student", "clean_registration", "clean_student_vle_interaction", "clean_student_assessment")
-    return {**t, **{n: materialise(t[n], n) for n in names}}
+    return _written(layers(spark, d), "clean_student", *CLEAN_FACTS)
 
 
 @query("dim_student", sql("SELECT * FROM dim_student", ENGAGEMENT_MART))
@@ -790,10 +834,7 @@ def _(spark, d):
     return doubles(marts.labelled_engagement(fact, dims), "average_score")
 
 
-@query(
-    "engagement_mart_rules",
-    _rule_count(marts.ENGAGEMENT_MART_RULES),
-)
+@query("engagement_mart_rules", sql(_rules_sql(marts.ENGAGEMENT_MART_RULES), ENGAGEMENT_MART))
 def _(spark, d):
     fact, dims = _engagement_fact(spark, d)
     return rule_report({**dims, "fact_learning_engagement": materialise(fact, "fact")}, marts.ENGAGEMENT_MART_RULES)

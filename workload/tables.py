@@ -8,10 +8,13 @@ work to do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions import coded
+from tallyframe.plans import clean
 
 # Fixed values of the binding: activity names by line number, assessments by return flag.
 ACTIVITIES = {1: "page", 2: "page", 3: "quiz", 4: "forum", 5: "video", 6: "file", 7: "home"}
@@ -21,6 +24,31 @@ ASSESSMENT_DATE = {"A": "100", "N": " 200 ", "R": "?"}
 ASSESSMENT_WEIGHT = {"A": "20.5", "N": "0", "R": "100"}
 
 
+CONTEXT = ["code_module", "code_presentation"]
+
+
+class Plans(Mapping):
+    """Named plans, each built when first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[Plans], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name](self)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return (name for name in self._builders if not name.startswith("_"))
+
+    def __len__(self) -> int:
+        return sum(1 for _ in self)
+
+    def also(self, builders: Mapping[str, Callable[[Plans], DataFrame]]) -> Plans:
+        return Plans({**self._builders, **builders})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,7 +83,7 @@ def enrolments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         "l_linenumber",
@@ -67,29 +95,59 @@ def _lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
     return lines.join(orders, "o_orderkey")
 
 
-def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Seven all-text staging tables."""
-    orders = enrolments(spark, sf_dir)
-    lines = _lines(spark, sf_dir, orders)
-    text = lambda c: c.cast("string")
-    context = ["code_module", "code_presentation"]
+def _text(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
 
-    enrolled = orders.groupBy("id_student", *context, "year").agg(
+def _enrolled(t: Plans) -> DataFrame:
+    return t["_orders"].groupBy("id_student", *CONTEXT, "year").agg(
         F.count(F.lit(1)).alias("n"),
         F.max("o_orderstatus").alias("status"),
         F.max("o_totalprice").alias("price"),
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
     )
-    student = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+
+
+def _courses(t: Plans) -> DataFrame:
+    length = F.when(F.col("code_presentation").endswith("B"), "241").otherwise("269")
+    return t["_orders"].select(*CONTEXT).distinct().withColumn("module_presentation_length", length)
+
+
+def _id_assessment() -> Column:
+    return _text(F.col("context") * 10 + coded("l_returnflag", ASSESSMENT_CODE)).alias("id_assessment")
+
+
+def _assessments(t: Plans) -> DataFrame:
+    kinds = t["_lines"].select("context", *CONTEXT, "l_returnflag").distinct()
+    return kinds.select(
+        *CONTEXT,
+        _id_assessment(),
+        coded("l_returnflag", ASSESSMENT_TYPE).alias("assessment_type"),
+        coded("l_returnflag", ASSESSMENT_DATE).alias("date"),
+        coded("l_returnflag", ASSESSMENT_WEIGHT).alias("weight"),
+    )
+
+
+def _vle(t: Plans) -> DataFrame:
+    number = F.col("l_linenumber")
+    sites = t["_lines"].select("context", *CONTEXT, "l_linenumber").distinct()
+    return sites.select(
+        _text(F.col("context") * 10 + number).alias("id_site"),
+        *CONTEXT,
+        coded("l_linenumber", ACTIVITIES).alias("activity_type"),
+        F.when(number <= 4, "?").otherwise(_text(number - 4)).alias("week_from"),
+        F.when(number <= 4, "?").otherwise(_text(number * 2)).alias("week_to"),
     )
+
+
+def _student_info(t: Plans) -> DataFrame:
     decile = F.floor((F.col("c_acctbal") + 1000) / 1100)
     band = (
         F.when(decile == 0, "?")
         .when(decile == 1, "10-20")
         .when(decile == 9, "")
-        .otherwise(F.concat(text(decile * 10), F.lit("-"), text(decile * 10 + 10), F.lit("%")))
+        .otherwise(F.concat(_text(decile * 10), F.lit("-"), _text(decile * 10 + 10), F.lit("%")))
     )
     age = F.when(F.col("year") < 1997, "0-35").when(F.col("year") < 2000, "35-55").otherwise("55<=")
     result = (
@@ -98,87 +156,91 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         .when(F.col("price") > 250000, "Distinction")
         .otherwise("Pass")
     )
-    info = enrolled.join(student, F.col("id_student") == F.col("c_custkey")).select(
+    return t["_enrolled"].join(t["_people"], F.col("id_student") == F.col("c_custkey")).select(
         F.concat(F.lit(" "), F.col("code_module"), F.lit(" ")).alias("code_module"),
         "code_presentation",
-        F.concat(F.lit(" "), text(F.col("id_student"))).alias("id_student"),
+        F.concat(F.lit(" "), _text("id_student")).alias("id_student"),
         F.when(F.col("c_acctbal") < 4500, "F").otherwise("M").alias("gender"),
         F.concat(F.col("n_name"), F.lit(" ")).alias("region"),
         F.col("c_mktsegment").alias("highest_education"),
         band.alias("imd_band"),
         age.alias("age_band"),
-        text(F.col("n") - 1).alias("num_of_prev_attempts"),
-        text(F.col("n") * 30).alias("studied_credits"),
+        _text(F.col("n") - 1).alias("num_of_prev_attempts"),
+        _text(F.col("n") * 30).alias("studied_credits"),
         F.when(F.col("n_regionkey") == 0, "Y").otherwise("N").alias("disability"),
         result.alias("final_result"),
     )
-    registration = enrolled.select(
-        *context,
-        text(F.col("id_student")).alias("id_student"),
-        F.when(F.col("price") > 480000, "?").otherwise(text(F.col("first_day") - 20)).alias("date_registration"),
-        F.when(F.col("status") == "P", text(F.col("last_day") + 130)).otherwise("?").alias("date_unregistration"),
+
+
+def _student_registration(t: Plans) -> DataFrame:
+    return t["_enrolled"].select(
+        *CONTEXT,
+        _text("id_student").alias("id_student"),
+        F.when(F.col("price") > 480000, "?").otherwise(_text(F.col("first_day") - 20)).alias("date_registration"),
+        F.when(F.col("status") == "P", _text(F.col("last_day") + 130)).otherwise("?").alias("date_unregistration"),
     )
-    courses = (
-        orders.select(*context)
-        .distinct()
-        .withColumn(
-            "module_presentation_length",
-            F.when(F.col("code_presentation").endswith("B"), "241").otherwise("269"),
-        )
+
+
+def _student_assessment(t: Plans) -> DataFrame:
+    results = t["_lines"].groupBy("id_student", "context", "l_returnflag").agg(
+        F.max("day").alias("day"),
+        F.max("quantity").alias("quantity"),
+        F.max("l_tax").alias("tax"),
+        F.max("l_discount").alias("discount"),
     )
-    number = F.col("l_linenumber")
-    vle = (
-        lines.select("context", *context, "l_linenumber")
-        .distinct()
-        .select(
-            text(F.col("context") * 10 + number).alias("id_site"),
-            *context,
-            coded("l_linenumber", ACTIVITIES).alias("activity_type"),
-            F.when(number <= 4, "?").otherwise(text(number - 4)).alias("week_from"),
-            F.when(number <= 4, "?").otherwise(text(number * 2)).alias("week_to"),
-        )
+    return results.select(
+        _id_assessment(),
+        _text("id_student").alias("id_student"),
+        _text(F.col("day") + F.col("quantity") * 3).alias("date_submitted"),
+        F.when(F.col("tax") > 0.075, "1").otherwise("0").alias("is_banked"),
+        F.when(F.col("discount") < 0.02, "?").otherwise(_text(F.col("quantity") * 2)).alias("score"),
     )
-    id_assessment = text(F.col("context") * 10 + coded("l_returnflag", ASSESSMENT_CODE)).alias("id_assessment")
-    assessments = (
-        lines.select("context", *context, "l_returnflag")
-        .distinct()
-        .select(
-            *context,
-            id_assessment,
-            coded("l_returnflag", ASSESSMENT_TYPE).alias("assessment_type"),
-            coded("l_returnflag", ASSESSMENT_DATE).alias("date"),
-            coded("l_returnflag", ASSESSMENT_WEIGHT).alias("weight"),
-        )
+
+
+def _student_vle(t: Plans) -> DataFrame:
+    return t["_lines"].select(
+        *CONTEXT,
+        _text("id_student").alias("id_student"),
+        _text(F.col("context") * 10 + F.col("l_linenumber")).alias("id_site"),
+        _text(F.col("day") + F.col("l_linenumber")).alias("date"),
+        _text("quantity").alias("sum_click"),
     )
-    results = (
-        lines.groupBy("id_student", "context", "l_returnflag")
-        .agg(
-            F.max("day").alias("day"),
-            F.max("quantity").alias("quantity"),
-            F.max("l_tax").alias("tax"),
-            F.max("l_discount").alias("discount"),
-        )
-        .select(
-            id_assessment,
-            text(F.col("id_student")).alias("id_student"),
-            text(F.col("day") + F.col("quantity") * 3).alias("date_submitted"),
-            F.when(F.col("tax") > 0.075, "1").otherwise("0").alias("is_banked"),
-            F.when(F.col("discount") < 0.02, "?").otherwise(text(F.col("quantity") * 2)).alias("score"),
-        )
+
+
+def staging(spark: SparkSession, sf_dir: str) -> Plans:
+    """Seven all-text staging tables."""
+    nation = lambda: table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    return Plans(
+        {
+            "_orders": lambda t: enrolments(spark, sf_dir),
+            "_lines": lambda t: order_lines(spark, sf_dir, t["_orders"]),
+            "_people": lambda t: table(spark, sf_dir, "customer").join(nation(), "c_nationkey"),
+            "_enrolled": _enrolled,
+            "stg_courses": _courses,
+            "stg_assessments": _assessments,
+            "stg_vle": _vle,
+            "stg_student_info": _student_info,
+            "stg_student_registration": _student_registration,
+            "stg_student_assessment": _student_assessment,
+            "stg_student_vle": _student_vle,
+        }
     )
-    student_vle = lines.select(
-        *context,
-        text(F.col("id_student")).alias("id_student"),
-        text(F.col("context") * 10 + number).alias("id_site"),
-        text(F.col("day") + number).alias("date"),
-        text(F.col("quantity")).alias("sum_click"),
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Plans:
+    """Staging tables and the clean tables over them."""
+    return staging(spark, sf_dir).also(
+        {
+            "clean_module_presentation": lambda t: clean.clean_module_presentation(t["stg_courses"]),
+            "clean_student": lambda t: clean.clean_student(t["stg_student_info"]),
+            "clean_registration": lambda t: clean.clean_registration(
+                t["stg_student_info"], t["stg_student_registration"]
+            ),
+            "clean_assessment": lambda t: clean.clean_assessment(t["stg_assessments"]),
+            "clean_vle_resource": lambda t: clean.clean_vle_resource(t["stg_vle"]),
+            "clean_student_assessment": lambda t: clean.clean_student_assessment(
+                t["stg_student_assessment"], t["clean_assessment"]
+            ),
+            "clean_student_vle_interaction": lambda t: clean.clean_student_vle_interaction(t["stg_student_vle"]),
+        }
     )
-    return {
-        "stg_courses": courses,
-        "stg_assessments": assessments,
-        "stg_vle": vle,
-        "stg_student_info": info,
-        "stg_student_registration": registration,
-        "stg_student_assessment": results,
-        "stg_student_vle": student_vle,
-    }
