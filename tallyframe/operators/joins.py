@@ -72,10 +72,12 @@ def star_audit(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> D
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Union by name, joined in pairs so that long unions stay cheap to plan."""
+    parts = list(parts)
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return parts[0]
 
 
 def spread(df: DataFrame, label: str, value: str, names: Sequence[str]) -> DataFrame:
