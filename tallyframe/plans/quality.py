@@ -12,6 +12,7 @@ from tallyframe.operators.aggregates import count_difference, duplicate_keys, ro
 from tallyframe.operators.joins import orphan_counts
 from tallyframe.operators.quality import ReportLine, exact_check, gate, info_check, quality_report
 from tallyframe.schemas import FULL_DATA_ROWS, REGISTRATION_KEY, SITE_KEY, SOURCE_BY_TABLE
+from tallyframe.sources import literal_rows
 
 # Names of the row-count checks.
 STAGING_ROWS = "source row-count reconciliation"
@@ -37,7 +38,7 @@ def expected_rows(spark: SparkSession, rows: Mapping[str, int] = FULL_DATA_ROWS)
     if "clean_registration" in rows:
         lines.append(("analytics_completion_by_presentation", PRESENTATION_TOTAL, rows["clean_registration"]))
         lines.append(("analytics_engagement_by_result", OUTCOME_TOTAL, rows["clean_registration"]))
-    return spark.createDataFrame(lines, "table_name string, check_name string, expected_value bigint")
+    return literal_rows(spark, lines, "table_name string, check_name string, expected_value bigint")
 
 
 def _any_missing(columns):

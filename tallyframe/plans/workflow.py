@@ -17,12 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyframe.operators.joins import star_audit
 from tallyframe.operators.quality import QualityError, gate, rule_report
 from tallyframe.plans import analytics, clean, marts, quality
-from tallyframe.schemas import FULL_DATA_ROWS, SOURCES
+from tallyframe.schemas import FULL_DATA_ROWS, PRESENTATION_KEY, SOURCES
 from tallyframe.session import build_session
 from tallyframe.sinks import export_run_log, logged_write, quality_markdown, replace_table, write_quality, write_tier
 from tallyframe.sources import load_staging, preflight
 
 
+# The click table is stored by presentation, so that reports on one read only its files.
+PARTITIONED = {"clean_student_vle_interaction": PRESENTATION_KEY}
+
+
 @dataclass
 class Run:
     spark: SparkSession
@@ -37,7 +41,9 @@ class Run:
 
     def _write(self, layer: str, stage: str, name: str, df: DataFrame, source: str | None = None) -> None:
         path = f"{self.out_dir}/{layer}/{name}"
-        self.tables[name] = logged_write(df, path, self.log, stage, name, self.expected.get(name), source)
+        self.tables[name] = logged_write(
+            df, path, self.log, stage, name, self.expected.get(name), source, PARTITIONED.get(name, ())
+        )
 
     def stage(self) -> None:
         report = preflight(self.spark, self.data_dir).where("status <> 'OK'").collect()  # one row per file

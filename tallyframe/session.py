@@ -47,8 +47,10 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
     Used where several passes must see the same rows, or where the next join
     should be planned from real file sizes. The files survive lost executors.
+    They lie in one folder per application, which can go once its results are
+    stored elsewhere.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.sinks.tables import replace_table
-from tallyframe.sources.files import CountMismatch
+from tallyframe.sinks.tables import read_table, replace_table
+from tallyframe.sources import CountMismatch, literal_rows
 
 MESSAGE_LENGTH = 500
 LOG_SCHEMA = (
@@ -43,7 +44,7 @@ def log_run(
         last + 1, stage, source, target, rows, Decimal(f"{seconds:.2f}"), status, message[:MESSAGE_LENGTH],
     )
     (
-        spark.createDataFrame([row], LOG_SCHEMA)
+        literal_rows(spark, [row], LOG_SCHEMA)
         .withColumn("logged_at", F.current_timestamp())
         .coalesce(1)
         .write.mode("append")
@@ -59,12 +60,13 @@ def logged_write(
     target: str,
     expected_rows: int | None = None,
     source: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """Replace a table, check its row count, log the outcome, and read it back."""
     spark = df.sparkSession
     started, rows = time.perf_counter(), None
     try:
-        rows = replace_table(df, path)
+        rows = replace_table(df, path, partition_by)
         if expected_rows is not None and rows != expected_rows:
             raise CountMismatch(f"wrote {rows:,} rows to {target} where {expected_rows:,} were due")
     except Exception as error:
@@ -75,4 +77,4 @@ def logged_write(
         raise
     message = "Rows written." if expected_rows is None else "Row count matched the expected count."
     log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "SUCCESS", message, source)
-    return spark.read.schema(df.schema).parquet(path)
+    return read_table(spark, path, df.schema)

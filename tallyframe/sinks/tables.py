@@ -6,20 +6,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TIERS = ("aggregates", "restricted")
 
 
-def replace_table(df: DataFrame, path: str) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace the Parquet table at ``path`` and return the rows written.
 
-    The rows are counted while they are written, so there is no second pass.
+    The rows are counted by the writing tasks themselves, so there is no second
+    pass, and a stage that is run again for a lost executor counts once.
+    With ``partition_by``, rows of a partition are brought together first;
+    adaptive execution splits a large partition over several files.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return seen.get["rows"]
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored table with its columns in the order of ``schema``."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

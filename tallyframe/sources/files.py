@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyframe.functions import null_markers
 from tallyframe.schemas import SOURCES, SourceFile
+from tallyframe.sources.generated import literal_rows
 
 
 class CountMismatch(RuntimeError):
@@ -71,8 +72,8 @@ def preflight(spark: SparkSession, data_dir: str, sources: Sequence[SourceFile]
             found = ",".join(spark.read.option("header", True).csv(f"{data_dir}/{s.filename}").columns)
             status = "OK" if found == expected else "INVALID COLUMNS"
         rows.append((s.filename, status, expected, found, size, None if size is None else size / 1048576))
-    return spark.createDataFrame(
-        rows, "file string, status string, expected string, found string, bytes bigint, size_mb double"
+    return literal_rows(
+        spark, rows, "file string, status string, expected string, found string, bytes bigint, size_mb double"
     )
 
 

@@ -17,6 +17,7 @@ from tallyframe.sinks import (
     write_tier,
 )
 from tallyframe.sinks.runlog import read_run_log
+from tallyframe.sinks.tables import read_table
 from tallyframe.sources import (
     CountMismatch,
     assert_counts,
@@ -98,6 +99,22 @@ def test_replace_table_counts_and_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_partitioned_table_keeps_columns_and_rows(spark, tmp_path):
+    path, df = str(tmp_path / "t"), spark.range(10).selectExpr("CAST(id % 2 AS STRING) AS k", "id")
+    assert replace_table(df, path, ["k"]) == 10
+    back = read_table(spark, path, df.schema)
+    assert back.columns == ["k", "id"] and rows(back) == rows(df)
+    assert len(list((tmp_path / "t").glob("k=*"))) == 2
+
+
+def test_literal_rows_are_small_to_the_planner(spark):
+    few = literal_rows(spark, [(1, None), (2, "b")], "id bigint, v string")
+    assert rows(few) == [(1, None), (2, "b")]
+    joined = spark.range(10).join(few, "id", "left")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert literal_rows(spark, [], "id bigint").count() == 0
+
+
 def test_tiers_keep_both_formats(spark, tmp_path):
     assert write_tier(spark.range(3), str(tmp_path), "aggregates", "x") == 3
     assert spark.read.parquet(str(tmp_path / "aggregates/x/parquet")).count() == 3

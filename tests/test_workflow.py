@@ -242,6 +242,12 @@ def test_run_writes_all_layers_and_log(spark, tmp_path):
     assert job.tables["click_mart.dim_date"].count() == 451
     delays = job.tables["click_mart.fact_student_assessment"].select("submission_delay_days").collect()
     assert sorted(r[0] for r in delays if r[0] is not None) == [-2, -2, -1, 0, 5, 220]
+    clicks = job.tables["clean_student_vle_interaction"]
+    trend = analytics.click_log_aggregates(clicks)["weekly_engagement_trend"]
+    chosen = analytics.presentation_trend(trend, "BBB", "2014B")
+    assert rows(chosen.select("presentation_week", "total_clicks")) == [(-1, 2), (0, 12), (1, 4), (2, 1)]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "code_presentation#" in plan[plan.index("PartitionFilters"):]  # only that presentation's files are read
     log = spark.read.parquet(job.log)
     assert log.where("pipeline_stage = 'staging_load' AND status = 'SUCCESS'").count() == 7
     assert (out / "aggregates/weekly_engagement_trend/csv").is_dir() and not (out / "restricted").exists()
