@@ -194,19 +194,20 @@ def availability(df: DataFrame, groups: Sequence[str], start: str, end: str) ->
 
 
 def string_list(
-    df: DataFrame, keys: Sequence[str], value: Column | str, name: str, sep: str = ", "
+    df: DataFrame, keys: Sequence[str], value: Column | str, name: str, sep: str = ", ", order: str | None = None
 ) -> DataFrame:
-    """Per key, the distinct values in order as one text.
+    """Per key, the distinct values as one text, in order of ``order`` and then of the value.
 
     Values are made distinct before they are gathered: a row's text is as long
     as its key has different values, however many rows they come from.
     """
     value = F.col(value) if isinstance(value, str) else value
+    place = F.col(order) if order else F.lit(0)
     return (
-        df.select(*keys, value.alias(name))
+        df.select(*keys, value.alias("_value"), place.alias("_place"))
         .distinct()
         .groupBy(*keys)
-        .agg(F.expr(f"listagg(`{name}`, '{sep}') WITHIN GROUP (ORDER BY `{name}`)").alias(name))
+        .agg(F.expr(f"listagg(_value, '{sep}') WITHIN GROUP (ORDER BY _place, _value)").alias(name))
     )
 
 

@@ -13,9 +13,15 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.aggregates import row_count
 from tallyframe.operators.joins import orphan_counts, spread, union_all
+from tallyframe.operators.ordering import first_per_key
 from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique, violations
 
 
+def _single(fixes: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """One fix per key, so that applying a batch can never multiply rows."""
+    return first_per_key(fixes, keys, order)
+
+
 def _proposed(df: DataFrame, fixes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` with the fix's new values beside them and ``_hit`` set where one applies."""
     columns = [c for c in fixes.columns if c not in keys]
@@ -32,13 +38,17 @@ def _applied(proposed: DataFrame, columns: Sequence[str], fixed: Sequence[str],
     )
 
 
-def apply_corrections(df: DataFrame, fixes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def apply_corrections(
+    df: DataFrame, fixes: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()
+) -> DataFrame:
     """Set the columns of ``fixes`` where its key matches; a null leaves the value.
 
-    ``fixes`` holds at most one row per key.
+    Of several fixes of a key, the first in ``order`` counts. ``order`` may use a
+    column that the table lacks, such as a time stamp (descending: latest wins).
     """
-    fixed = [c for c in fixes.columns if c not in keys]
-    return _applied(_proposed(df, fixes, keys), df.columns, fixed, F.col("_hit"))
+    fixes = _single(fixes, keys, order)
+    fixed = [c for c in fixes.columns if c not in keys and c in df.columns]
+    return _applied(_proposed(df, fixes.select(*keys, *fixed), keys), df.columns, fixed, F.col("_hit"))
 
 
 def rows_corrected(df: DataFrame, fixes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,6 +61,7 @@ def apply_valid_corrections(
     df: DataFrame, fixes: DataFrame, keys: Sequence[str], checks: Sequence[Check | NotNull]
 ) -> DataFrame:
     """Apply the corrections whose result keeps every row rule; skip the others."""
+    fixes = _single(fixes, keys, [])
     fixed = [c for c in fixes.columns if c not in keys]
     proposed = _proposed(df, fixes, keys)
     candidate = proposed.select(
@@ -73,7 +84,7 @@ def rejected_corrections(
     """Corrections that would break a row rule, with the rule's name, one row per broken rule."""
     fixed = [c for c in fixes.columns if c not in keys]
     hits = df.join(fixes.select(*keys), list(keys), "left_semi")
-    changed = _applied(_proposed(hits, fixes, keys), df.columns, fixed, F.col("_hit"))
+    changed = _applied(_proposed(hits, _single(fixes, keys, []), keys), df.columns, fixed, F.col("_hit"))
     return union_all(
         [changed.where(rule.broken).select(*keys, *fixed, F.lit(rule.name).alias("broken_rule")) for rule in checks]
     )

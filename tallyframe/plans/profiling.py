@@ -159,10 +159,8 @@ def age_band_histories(stg: Tables) -> DataFrame:
     info = stg["stg_student_info"]
     several = info.join(profile.varying_entities(info, "id_student", "age_band"), "id_student")
     bands = agg.string_list(several, ["id_student"], "age_band", "recorded_age_bands")
-    enrolment = F.concat(
-        composite("code_presentation", "code_module"), F.lit(": "), F.col("age_band")
-    )
-    history = agg.string_list(several, ["id_student"], enrolment, "enrolment_history", " | ")
+    enrolment = F.concat(composite(*PRESENTATION_KEY), F.lit(": "), F.col("age_band"))
+    history = agg.string_list(several, ["id_student"], enrolment, "enrolment_history", " | ", "code_presentation")
     return bands.join(history, "id_student")
 
 

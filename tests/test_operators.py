@@ -135,6 +135,8 @@ def test_consistency_ignores_nulls(spark):
 def test_string_list_is_distinct_and_ordered(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "x")], "k int, v string")
     assert rows(agg.string_list(df, ["k"], "v", "s", " | ")) == [(1, "a | b"), (2, "x")]
+    placed = df.withColumn("o", F.when(F.col("v") == "a", 2).otherwise(1))
+    assert rows(agg.string_list(placed, ["k"], "v", "s", " | ", "o")) == [(1, "b | a"), (2, "x")]
 
 
 def test_top_k(spark):
@@ -205,6 +207,12 @@ def test_bad_fix_is_rejected_and_others_applied(spark, marks):
     assert rows(rejected_corrections(marks, batch, KEY, VALID)) == [(1752, 11, 120, "score within 0 to 100")]
 
 
+def test_repeated_fixes_never_multiply_rows(spark, marks):
+    batch = fixes(spark, (1752, 11, 85), (1752, 11, 90)).withColumn("at", F.col("score"))
+    assert rows(apply_corrections(marks, batch, KEY, [F.desc("at")])) == [(1752, 11, 90), (1752, 12, 40), (1753, 11, None)]
+    assert apply_valid_corrections(marks, batch.drop("at"), KEY, VALID).count() == 3
+
+
 def test_evidence(spark, marks):
     after = apply_corrections(marks, fixes(spark, (1752, 11, 85)), KEY)
     assert one(correction_evidence(marks, after, marks, KEY)) == {

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import aggregates as agg
-from tallyframe.operators.joins import orphan_counts
+from tallyframe.operators.joins import orphan_counts, star_lookup
 from tallyframe.operators.ordering import first_per_key, surrogate_key, top_k
 from tallyframe.plans import analytics
 from tallyframe.schemas import REGISTRATION_KEY
@@ -77,3 +77,28 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(agg.conditional_counts(lines, ["l_returnflag"], {"n": F.col("l_tax") > 0}))
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,45.0)]" in text
     assert "ReadSchema: struct<l_quantity:double,l_tax:double,l_returnflag:string>" in text
+
+
+def test_hot_key_of_a_lookup_is_split_at_run_time(spark, no_broadcast):
+    """A third of the fact rows share one student; the join splits that partition."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        clicks = spark.range(0, 300000, 1, 16).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("id_student"), F.col("id").alias("clicks")
+        )
+        dim = spark.range(5000).select(F.col("id").alias("id_student"), (F.col("id") + 1).alias("student_key"))
+        fact = star_lookup(clicks, [(dim, ["id_student"], "student_key")])
+        assert fact.count() == 300000
+        fact.collect()
+        assert "skew=true" in plan(fact)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -223,7 +223,7 @@ def test_consistency_and_histories(spark, tmp_path):
         "inconsistent_gender": 0, "inconsistent_region": 0, "inconsistent_highest_education": 0,
         "inconsistent_imd_band": 1, "inconsistent_age_band": 1, "inconsistent_disability": 0,
     }
-    assert rows(profiling.age_band_histories(t)) == [("1", "0-35, 35-55", "2013J-AAA: 0-35 | 2013J-BBB: 35-55")]
+    assert rows(profiling.age_band_histories(t)) == [("1", "0-35, 35-55", "AAA-2013J: 0-35 | BBB-2013J: 35-55")]
     # the greatest band wins in the clean table, the first record's band in the picked dimension
     assert t["clean_student"].where("id_student = 1").first().imd_band == "30-40%"
     picked = marts.dim_student_picked(t["stg_student_info"]).where("id_student = 1").first()

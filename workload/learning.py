@@ -331,8 +331,8 @@ _profile(
 _profile(
     "age_band_histories",
     f"""SELECT id_student, string_agg(DISTINCT age_band, ', ' ORDER BY age_band) AS recorded_age_bands,
-    string_agg(code_presentation || '-' || code_module || ': ' || age_band, ' | '
-      ORDER BY code_presentation || '-' || code_module || ': ' || age_band) AS enrolment_history
+    string_agg(code_module || '-' || code_presentation || ': ' || age_band, ' | '
+      ORDER BY code_presentation, code_module) AS enrolment_history
     FROM {INFO} si GROUP BY id_student HAVING count(DISTINCT age_band) > 1""",
 )
 FREQUENT = ("gender", "age_band", "disability", "final_result", "highest_education", "imd_band", "region")
