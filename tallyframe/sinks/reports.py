@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,13 @@ REPORT_COLUMNS = (
 )
 
 
-def _single_csv(df: DataFrame, path: str) -> None:
-    """A small, ordered result as one CSV part; the header starts with a BOM."""
+def _single_csv(df: DataFrame, path: str, order: str, columns: Sequence[str]) -> None:
+    """A small result as one ordered CSV part; the header starts with a BOM."""
+    df = df.coalesce(1).sortWithinPartitions(order).select(*columns)
     first, *rest = df.columns
     bom = codecs.BOM_UTF8.decode("utf-8")
     (
         df.withColumnRenamed(first, bom + first)
-        .coalesce(1)
         .write.mode("overwrite")
         .option("header", True)
         .option("encoding", "UTF-8")
@@ -36,7 +37,7 @@ def write_quality(report: DataFrame, root: str) -> DataFrame:
     stamped = report.withColumnRenamed("check_order", "result_id").withColumn("generated_at", F.current_timestamp())
     replace_table(stamped, path)
     stored = report.sparkSession.read.schema(stamped.schema).parquet(path)
-    _single_csv(stored.orderBy("result_id").select(*REPORT_COLUMNS), f"{root}/data_quality_report_csv")
+    _single_csv(stored, f"{root}/data_quality_report_csv", "result_id", REPORT_COLUMNS)
     return stored
 
 
@@ -66,4 +67,5 @@ def quality_markdown(report: DataFrame, title: str = "Data-quality report") -> s
 
 def export_run_log(spark: SparkSession, log_path: str, out_path: str) -> None:
     """The run log in id order as CSV."""
-    _single_csv(read_run_log(spark, log_path).orderBy("log_id"), out_path)
+    log = read_run_log(spark, log_path)
+    _single_csv(log, out_path, "log_id", log.columns)

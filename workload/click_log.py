@@ -7,7 +7,7 @@ from tallyframe.operators import aggregates as agg
 from tallyframe.operators.ordering import top_k
 from tallyframe.plans.marts import dim_date
 from workload.registry import doubles, query
-from workload.staging_sql import rounded_pct
+from workload.staging_sql import rounded_mean, rounded_pct
 from workload.tables import clicks, table
 
 CLICK_KEY = ["user_id", "event_type", "day"]
@@ -114,3 +114,52 @@ def _(spark, d):
     return joined.groupBy("week_number", "is_before_start").agg(
         F.sum("clicks").alias("total_clicks"), F.countDistinct("date_key").alias("days")
     )
+
+
+MART_SQL = (
+    CLICKS_SQL
+    + """, used AS (
+      SELECT user_id, CAST(sum(clicks) AS BIGINT) AS total_clicks, count(DISTINCT day) AS active_days,
+        count(DISTINCT event_type) AS resources_used FROM clean GROUP BY user_id),
+    marked AS (
+      SELECT o_custkey AS user_id, count(*) AS assessment_submissions,
+        (200 * CAST(sum(score) AS HUGEINT) + count(score)) // (2 * nullif(count(score), 0)) AS score_cents
+      FROM (SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice / 5000) AS BIGINT) END AS score
+        FROM orders) GROUP BY o_custkey),
+    mart AS (
+      SELECT c_custkey AS user_id, c_mktsegment, coalesce(total_clicks, 0) AS total_clicks,
+        coalesce(active_days, 0) AS active_days, coalesce(resources_used, 0) AS resources_used,
+        coalesce(assessment_submissions, 0) AS assessment_submissions, score_cents
+      FROM customer LEFT JOIN used ON used.user_id = c_custkey LEFT JOIN marked ON marked.user_id = c_custkey)
+    """
+)
+
+
+def _mart(spark, d):
+    """Customers with their events and orders; most customers have no events."""
+    score = F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 5000).cast("bigint"))
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    marks = table(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), score.alias("score"))
+    clean = consolidated(spark, d)
+    return agg.engagement_mart(
+        customers, clean, marks, ["user_id"], ["c_mktsegment"], "clicks", "day", "event_type", "score"
+    )
+
+
+@query("engagement_mart", MART_SQL + "SELECT * EXCLUDE score_cents, CAST(score_cents AS DOUBLE) / 100 AS average_score FROM mart")
+def _(spark, d):
+    return doubles(_mart(spark, d), "average_score")
+
+
+@query(
+    "engagement_by_result",
+    MART_SQL
+    + f"""SELECT c_mktsegment, count(*) AS registrations, {rounded_mean("total_clicks")} AS average_total_clicks,
+    {rounded_mean("active_days")} AS average_active_days, {rounded_mean("resources_used")} AS average_resources_used,
+    {rounded_mean("assessment_submissions")} AS average_assessment_submissions,
+    CAST((2 * sum(score_cents) + count(score_cents)) // (2 * nullif(count(score_cents), 0)) AS DOUBLE) / 100 AS average_score
+    FROM mart GROUP BY c_mktsegment""",
+)
+def _(spark, d):
+    result = agg.engagement_by_result(_mart(spark, d), "c_mktsegment")
+    return doubles(result, *[c for c in result.columns if c.startswith("average_")])

@@ -642,9 +642,14 @@ def _written(t: Plans, *names: str) -> Plans:
 CLEAN_FACTS = ("clean_registration", "clean_student_assessment", "clean_student_vle_interaction")
 
 
+def _stored(spark, d):
+    """Layers over stored enrolments and lines, as staging tables would be stored."""
+    return _written(layers(spark, d), "_enrolled", "_lines")
+
+
 def _all_layers(spark, d):
     """All layers; the tables that several steps use are written out once."""
-    return _written(layers(spark, d), *quality.CLEAN_TABLES).also(
+    return _written(_stored(spark, d), *quality.CLEAN_TABLES).also(
         {
             "analytics_student_engagement": lambda t: materialise(analytics.student_engagement(t), "engagement"),
             "analytics_completion_by_presentation": lambda t: analytics.completion_by_presentation(t),
@@ -783,7 +788,7 @@ fact_learning_engagement AS (
 
 def _clean_layer(spark, d):
     """The clean tables a mart starts from, written out once as they would be stored."""
-    return _written(layers(spark, d), "clean_student", *CLEAN_FACTS)
+    return _written(_stored(spark, d), "clean_student", *CLEAN_FACTS)
 
 
 @query("dim_student", sql("SELECT * FROM dim_student", ENGAGEMENT_MART))
