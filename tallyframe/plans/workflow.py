@@ -9,7 +9,7 @@ their joins are planned from real sizes.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,18 @@ from tallyframe.sources import load_staging, preflight
 PARTITIONED = {"clean_student_vle_interaction": PRESENTATION_KEY}
 
 
+# Tables that have one row for each row of their source.
+SAME_ROWS = {
+    "clean_module_presentation": "stg_courses",
+    "clean_registration": "stg_student_info",
+    "clean_assessment": "stg_assessments",
+    "clean_vle_resource": "stg_vle",
+    "clean_student_assessment": "stg_student_assessment",
+    "analytics_student_engagement": "stg_student_info",
+    "analytics_completion_by_presentation": "stg_courses",
+}
+
+
 @dataclass
 class Run:
     spark: SparkSession
@@ -39,10 +51,12 @@ class Run:
     def log(self) -> str:
         return f"{self.out_dir}/ops/etl_run_log"
 
-    def _write(self, layer: str, stage: str, name: str, df: DataFrame, source: str | None = None) -> None:
+    def _write(
+        self, layer: str, stage: str, name: str, plan: Callable[[], DataFrame], source: str | None = None
+    ) -> None:
         path = f"{self.out_dir}/{layer}/{name}"
         self.tables[name] = logged_write(
-            df, path, self.log, stage, name, self.expected.get(name), source, PARTITIONED.get(name, ())
+            self.spark, plan, path, self.log, stage, name, self.expected.get(name), source, PARTITIONED.get(name, ())
         )
 
     def stage(self) -> None:
@@ -51,15 +65,10 @@ class Run:
             raise QualityError("; ".join(f"{r.file}: {r.status}" for r in report))
         loaded = load_staging(self.spark, self.data_dir)
         for s in SOURCES:
-            self._write("staging", "staging_load", s.table, loaded[s.table], s.filename)
+            self._write("staging", "staging_load", s.table, lambda s=s: loaded[s.table], s.filename)
 
     def clean(self) -> None:
-        for name in quality.CLEAN_TABLES:
-            # Tables written so far are what the next ones are built from.
-            self._write("clean", "clean_transform", name, self._clean_plan(name))
-        quality.check_clean_layer(self.tables)
-
-    def _clean_plan(self, name: str) -> DataFrame:
+        """Tables written so far are what the next ones are built from."""
         t = self.tables
         plans = {
             "clean_module_presentation": lambda: clean.clean_module_presentation(t["stg_courses"]),
@@ -72,28 +81,31 @@ class Run:
             ),
             "clean_student_vle_interaction": lambda: clean.clean_student_vle_interaction(t["stg_student_vle"]),
         }
-        return plans[name]()
+        for name, plan in plans.items():
+            self._write("clean", "clean_transform", name, plan)
+        quality.check_clean_layer(t)
 
     def analyse(self) -> None:
         t = self.tables
-        self._write("analytics", "analytics_build", "analytics_student_engagement", analytics.student_engagement(t))
-        rest = {
-            "analytics_completion_by_presentation": analytics.completion_by_presentation(t).drop("successful_students"),
-            "analytics_assessment_performance": analytics.assessment_performance(t),
-            "analytics_engagement_by_result": analytics.engagement_by_result(t["analytics_student_engagement"]),
+        plans = {
+            "analytics_student_engagement": lambda: analytics.student_engagement(t),
+            "analytics_completion_by_presentation": lambda: analytics.completion_by_presentation(t).drop(
+                "successful_students"
+            ),
+            "analytics_assessment_performance": lambda: analytics.assessment_performance(t),
+            "analytics_engagement_by_result": lambda: analytics.engagement_by_result(t["analytics_student_engagement"]),
         }
-        for name, df in rest.items():
-            self._write("analytics", "analytics_build", name, df)
+        for name, plan in plans.items():
+            self._write("analytics", "analytics_build", name, plan)
         quality.check_analytics_layer(t, quality.expected_rows(self.spark, self.known_rows()))
         for name, df in analytics.click_log_aggregates(t["clean_student_vle_interaction"]).items():
             write_tier(df, self.out_dir, "aggregates", name)
 
     def known_rows(self) -> Mapping[str, int]:
-        """Expected counts, with the registration total taken from the data if not given."""
+        """Expected counts as given, or else those that follow from the stored source table."""
         if self.expected:
             return self.expected
-        total = self.tables["clean_registration"].count()
-        return {"clean_registration": total, "analytics_student_engagement": total}
+        return {name: self.tables[source].count() for name, source in SAME_ROWS.items()}
 
     def report(self) -> str:
         """Write the quality report and return it as Markdown."""
@@ -107,27 +119,30 @@ class Run:
     def build_marts(self) -> None:
         """Dimensions first: facts look their keys up in the stored tables."""
         t = self.tables
-        mart, add = {}, lambda name, df: self._mart("engagement_mart", mart, name, df)
-        add("dim_student", marts.dim_student(t["clean_student"]))
-        add("dim_module_presentation", marts.dim_module_presentation(t["clean_module_presentation"]))
-        add("dim_age_band", marts.dim_age_band(t["clean_registration"]))
-        add("dim_outcome", marts.dim_outcome(t["clean_registration"]))
+        mart, add = {}, lambda name, plan: self._mart("engagement_mart", mart, name, plan)
+        add("dim_student", lambda: marts.dim_student(t["clean_student"]))
+        add("dim_module_presentation", lambda: marts.dim_module_presentation(t["clean_module_presentation"]))
+        add("dim_age_band", lambda: marts.dim_age_band(t["clean_registration"]))
+        add("dim_outcome", lambda: marts.dim_outcome(t["clean_registration"]))
         engagement = t["analytics_student_engagement"]
-        add("fact_learning_engagement", marts.fact_learning_engagement(t["clean_registration"], engagement, mart))
-
-        click, put = {}, lambda name, df: self._mart("click_mart", click, name, df)
-        put("dim_date", marts.dim_date(self.spark))
-        put("dim_course", marts.dim_course(t["stg_courses"]))
-        put("dim_student", marts.dim_student_picked(t["stg_student_info"]))
-        put("dim_assessment", marts.dim_assessment(t["stg_assessments"], click["dim_course"]))
-        put("dim_vle_material", marts.dim_vle_material(t["stg_vle"], click["dim_course"]))
-        put("fact_student_enrollment", marts.fact_student_enrollment(t, click))
-        put("fact_student_assessment", marts.fact_student_assessment(t, click))
-        put("fact_student_vle", marts.fact_student_vle(t, click))
-
-    def _mart(self, mart: str, tables: dict[str, DataFrame], name: str, df: DataFrame) -> None:
+        add(
+            "fact_learning_engagement",
+            lambda: marts.fact_learning_engagement(t["clean_registration"], engagement, mart),
+        )
+
+        click, put = {}, lambda name, plan: self._mart("click_mart", click, name, plan)
+        put("dim_date", lambda: marts.dim_date(self.spark))
+        put("dim_course", lambda: marts.dim_course(t["stg_courses"]))
+        put("dim_student", lambda: marts.dim_student_picked(t["stg_student_info"]))
+        put("dim_assessment", lambda: marts.dim_assessment(t["stg_assessments"], click["dim_course"]))
+        put("dim_vle_material", lambda: marts.dim_vle_material(t["stg_vle"], click["dim_course"]))
+        put("fact_student_enrollment", lambda: marts.fact_student_enrollment(t, click))
+        put("fact_student_assessment", lambda: marts.fact_student_assessment(t, click))
+        put("fact_student_vle", lambda: marts.fact_student_vle(t, click))
+
+    def _mart(self, mart: str, tables: dict[str, DataFrame], name: str, plan: Callable[[], DataFrame]) -> None:
         path, label = f"{self.out_dir}/{mart}/{name}", f"{mart}.{name}"
-        tables[name] = self.tables[label] = logged_write(df, path, self.log, "mart_build", label)
+        tables[name] = self.tables[label] = logged_write(self.spark, plan, path, self.log, "mart_build", label)
 
     def audit_engagement_mart(self) -> DataFrame:
         of = lambda name: self.tables[f"engagement_mart.{name}"]

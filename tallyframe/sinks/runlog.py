@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.errors import AnalysisException
@@ -38,8 +38,10 @@ def log_run(
     """Append one row to the run log; ids count up from 1."""
     try:
         last = read_run_log(spark, path).agg(F.max("log_id")).first()[0] or 0
-    except AnalysisException:
-        last = 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0  # the first row makes the log
     row = (
         last + 1, stage, source, target, rows, Decimal(f"{seconds:.2f}"), status, message[:MESSAGE_LENGTH],
     )
@@ -53,7 +55,8 @@ def log_run(
 
 
 def logged_write(
-    df: DataFrame,
+    spark: SparkSession,
+    plan: Callable[[], DataFrame],
     path: str,
     log_path: str,
     stage: str,
@@ -62,18 +65,18 @@ def logged_write(
     source: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Replace a table, check its row count, log the outcome, and read it back."""
-    spark = df.sparkSession
+    """Build a table, replace it, check its row count, log the outcome, and read it back.
+
+    ``plan`` is called here, so that steps it runs by itself are timed and logged too.
+    """
     started, rows = time.perf_counter(), None
     try:
+        df = plan()
         rows = replace_table(df, path, partition_by)
         if expected_rows is not None and rows != expected_rows:
             raise CountMismatch(f"wrote {rows:,} rows to {target} where {expected_rows:,} were due")
     except Exception as error:
-        log_run(
-            spark, log_path, stage, target, rows, time.perf_counter() - started, "FAILED",
-            str(error), source,
-        )
+        log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "FAILED", str(error), source)
         raise
     message = "Rows written." if expected_rows is None else "Row count matched the expected count."
     log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "SUCCESS", message, source)

@@ -125,10 +125,10 @@ def test_tiers_keep_both_formats(spark, tmp_path):
 
 def test_run_log(spark, tmp_path):
     log, out = str(tmp_path / "log"), str(tmp_path / "out")
-    df = logged_write(spark.range(4), str(tmp_path / "t"), log, "clean_transform", "t", expected_rows=4)
+    df = logged_write(spark, lambda: spark.range(4), str(tmp_path / "t"), log, "clean_transform", "t", expected_rows=4)
     assert df.count() == 4
     with pytest.raises(CountMismatch):
-        logged_write(spark.range(4), str(tmp_path / "u"), log, "clean_transform", "u", expected_rows=5)
+        logged_write(spark, lambda: spark.range(4), str(tmp_path / "u"), log, "clean_transform", "u", expected_rows=5)
     log_run(spark, log, "staging_load", "v", 1, 0.5, "SUCCESS", "m" * 600, source="v.csv")
     stored = rows(read_run_log(spark, log).select("log_id", "target_table", "row_count", "status"), "log_id")
     assert stored == [(1, "t", 4, "SUCCESS"), (2, "u", 4, "FAILED"), (3, "v", 1, "SUCCESS")]
