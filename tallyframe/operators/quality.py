@@ -6,7 +6,7 @@ on them, and ``violations`` returns the rows themselves.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -73,6 +73,11 @@ class ForeignKey:
 Rule = NotNull | Check | Unique | ForeignKey
 
 
+def one_of(column: str, values: Iterable[str]) -> str:
+    """The condition that a column holds one of the given labels."""
+    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+
+
 def _parent(rule: ForeignKey, tables: Mapping[str, DataFrame]) -> DataFrame:
     pairs = zip(rule.parent_keys or rule.keys, rule.keys, strict=True)
     return tables[rule.parent].select(*[F.col(p).alias(k) for p, k in pairs])

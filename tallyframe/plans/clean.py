@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions import standardise, to_decimal, to_int
 from tallyframe.operators.aggregates import collapse_entity, consolidate
-from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique
+from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique, one_of
 from tallyframe.schemas import (
     AGE_BAND_ORDER,
     ASSESSMENT_TYPES,
@@ -134,10 +134,6 @@ def build_clean(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def _one_of(column: str, values) -> str:
-    return f"{column} IN ({', '.join(repr(v) for v in values)})"
-
-
 CLEAN_RULES: dict[str, tuple[Rule, ...]] = {
     "clean_module_presentation": (
         NotNull((*PRESENTATION_KEY, "module_presentation_length")),
@@ -147,26 +143,26 @@ CLEAN_RULES: dict[str, tuple[Rule, ...]] = {
     "clean_student": (
         NotNull(("id_student", "gender", "region", "highest_education", "disability")),
         Unique(("id_student",)),
-        Check("known gender", _one_of("gender", GENDERS)),
-        Check("known disability flag", _one_of("disability", DISABILITIES)),
-        Check("known deprivation band", _one_of("imd_band", IMD_BANDS)),
+        Check("known gender", one_of("gender", GENDERS)),
+        Check("known disability flag", one_of("disability", DISABILITIES)),
+        Check("known deprivation band", one_of("imd_band", IMD_BANDS)),
     ),
     "clean_registration": (
         NotNull((*REGISTRATION_KEY, "age_band", "num_of_prev_attempts", "studied_credits", "final_result")),
         Unique(REGISTRATION_KEY),
         ForeignKey(("id_student",), "clean_student"),
         ForeignKey(PRESENTATION_KEY, "clean_module_presentation"),
-        Check("known age band", _one_of("age_band", AGE_BAND_ORDER)),
+        Check("known age band", one_of("age_band", AGE_BAND_ORDER)),
         Check("attempts not negative", "num_of_prev_attempts >= 0"),
         Check("credits above zero", "studied_credits > 0"),
-        Check("known result", _one_of("final_result", RESULT_ORDER)),
+        Check("known result", one_of("final_result", RESULT_ORDER)),
         Check("unregistered after registering", "date_unregistration >= date_registration"),
     ),
     "clean_assessment": (
         NotNull(("id_assessment", *PRESENTATION_KEY, "assessment_type", "weight")),
         Unique(("id_assessment",)),
         ForeignKey(PRESENTATION_KEY, "clean_module_presentation"),
-        Check("known assessment type", _one_of("assessment_type", ASSESSMENT_TYPES)),
+        Check("known assessment type", one_of("assessment_type", ASSESSMENT_TYPES)),
         Check("weight within 0 to 100", "weight BETWEEN 0 AND 100"),
     ),
     "clean_vle_resource": (

@@ -25,7 +25,7 @@ from tallyframe.functions import (
 )
 from tallyframe.operators.joins import star_denormalise, star_lookup
 from tallyframe.operators.ordering import distinct_rows, first_per_key, surrogate_key
-from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique
+from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique, one_of
 from tallyframe.schemas import (
     AGE_BAND_ORDER,
     DATE_DIMENSION_DAYS,
@@ -128,28 +128,24 @@ def labelled_engagement(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataF
     )
 
 
-def _one_of(column: str, values) -> str:
-    return f"{column} IN ({', '.join(repr(v) for v in values)})"
-
-
 ENGAGEMENT_MART_RULES: dict[str, tuple[Rule, ...]] = {
     "dim_student": (Unique(("student_key",)), Unique(("id_student",))),
     "dim_module_presentation": (
         Unique(("module_presentation_key",)),
         Unique(PRESENTATION_KEY),
-        Check("known term", _one_of("presentation_term", PRESENTATION_TERMS)),
+        Check("known term", one_of("presentation_term", PRESENTATION_TERMS)),
         Check("length above zero", "module_presentation_length > 0"),
     ),
     "dim_age_band": (
         Unique(("age_band_key",)),
         Unique(("age_band",)),
-        Check("known age band", _one_of("age_band", AGE_BAND_ORDER)),
+        Check("known age band", one_of("age_band", AGE_BAND_ORDER)),
         Check("age order 1 to 3", "age_band_order BETWEEN 1 AND 3"),
     ),
     "dim_outcome": (
         Unique(("outcome_key",)),
         Unique(("final_result",)),
-        Check("known result", _one_of("final_result", RESULT_ORDER)),
+        Check("known result", one_of("final_result", RESULT_ORDER)),
         Check("success flag 0 or 1", "successful_completion IN (0, 1)"),
     ),
     "fact_learning_engagement": (
