@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.registry import QUERIES, SQL as ORACLES
 
 SF = "/root/testdata/sf0.001"
 # Queries over many layers, whose steps the workflow tests cover by hand-made data.
@@ -24,7 +25,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
 def test_entry_runs(spark):
@@ -32,7 +33,7 @@ def test_entry_runs(spark):
     assert df.columns == ["event_type", "presentation_week", "total_clicks", "distinct_students"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries().keys() - LONG))
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - LONG))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
