@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import rules, slots
+from tallyframe.llm import decontaminate, rules, slots
 from tallyframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,32 @@ def op8_fixed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+_WORDS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op1_fm_index_decontamination",
+    f"""
+    WITH b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_WORDS} AS w FROM benchmark),
+    s AS (SELECT DISTINCT item, list_slice(w, i, i + 12) AS v
+          FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 11, 2))) AS i FROM b WHERE len(w) > 0)),
+    d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+    lens AS (SELECT DISTINCT len(v) AS n FROM s),
+    win AS (SELECT r, i, list_slice(w, i, i + n - 1) AS v, n
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+    hit AS (SELECT r, i, n, item FROM win JOIN s USING (v)),
+    cov AS (SELECT r, count(DISTINCT i + k) AS n FROM hit, range(13) AS o(k) WHERE k < n GROUP BY r),
+    its AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS l FROM hit GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(cov.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+           sha256(coalesce(its.l, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AND 20 * coalesce(cov.n, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r)
+    """,
+)
+def op1_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
