@@ -42,6 +42,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in this application's folder below the shared one."""
+    return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet below the checkpoint folder and read it back.
 
@@ -50,7 +55,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     They lie in one folder per application, which can go once its results are
     stored elsewhere.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
