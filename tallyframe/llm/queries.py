@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, rules, slots
+from tallyframe.llm import decontaminate, rules, slots, warc
 from tallyframe.llm.common import table
+from tallyframe.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,3 +92,22 @@ _WORDS = (
 def op1_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query(
+    "op2_salvaged_warc",
+    """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    g AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM p LEFT JOIN g USING (payload_digest)
+    """,
+)
+def op2_salvaged_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    read = warc.read_archives(spark, path, keep_payload=False).filter("kind = 'record'")
+    return read.select(
+        warc.number("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), warc.number("refers_to").alias("refers_to")
+    )

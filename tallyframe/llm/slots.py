@@ -20,7 +20,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.session import checkpoint_root, materialise
+from tallyframe.session import materialise, scratch
 
 SLOTS = 8192
 SHARDS = 40
@@ -125,7 +125,7 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
     records = materialise(sized(docs, key, text, slots), "slots")
     loads = {r.vslot: (r.bytes, r.rows) for r in slot_loads(records).collect()}  # one row per slot at most
     if path is None:
-        path = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/slot-map-{records.semanticHash() & 0xFFFFFFFF:08x}"
+        path = scratch(spark, "slot-map")
     slot_map = SlotMap(spark, path)
     slot_map.write(0, assign({s: b for s, (b, _) in loads.items()}, shards), loads)
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
