@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, rules, slots, warc
+from tallyframe.llm import decontaminate, rules, simhash, slots, warc
 from tallyframe.llm.common import table
 from tallyframe.session import scratch
 
@@ -111,3 +111,8 @@ def op2_salvaged_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         warc.number("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), warc.number("refers_to").alias("refers_to")
     )
+
+
+@query("op10_deletion_variant_simhash")
+def op10_deletion_variant_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
