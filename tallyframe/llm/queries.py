@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language, rules, simhash, slots, warc
+from tallyframe.llm import decontaminate, language, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
 from tallyframe.session import scratch
 
@@ -123,3 +123,9 @@ def op9_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language.identify(docs, language.fit(docs), keep=["doc_id"])
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_weak_label_quality")
+def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return weaklabels.judge(docs, weaklabels.fit(docs), keep=["doc_id"])
