@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language, rules, simhash, slots, warc, weaklabels
+from tallyframe.llm import decontaminate, language, pieces, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
 from tallyframe.session import scratch
 
@@ -129,3 +129,9 @@ def op9_hierarchical_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return weaklabels.judge(docs, weaklabels.fit(docs), keep=["doc_id"])
+
+
+@query("op4_sentencepiece_tokenizers")
+def op4_sentencepiece_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"], digests=True)
