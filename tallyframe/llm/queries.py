@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language, pieces, rules, simhash, slots, warc, weaklabels
+from tallyframe.llm import decontaminate, language, licences, pieces, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
 from tallyframe.session import scratch
 
@@ -135,3 +135,39 @@ def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sentencepiece_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"], digests=True)
+
+
+def _licence_words(text: str) -> str:
+    """SQL for the normalised words of a line."""
+    words = f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    spelt = f"list_transform({words}, lambda x: CASE x WHEN 'licence' THEN 'license' WHEN 'licenced' THEN 'licensed' WHEN 'licences' THEN 'licenses' ELSE x END)"
+    return f"CASE WHEN ({words})[1] IN ('copyright', chr(169)) THEN [] ELSE {spelt} END"
+
+
+_PAIRS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licences.TEMPLATES)
+
+
+@query(
+    "op3_dice_licences",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT r, i, {_licence_words("x")} AS w, regexp_matches(x, '[^\x20\x09-\x0D]') AS filled
+          FROM (SELECT r, unnest(lines) AS x, unnest(range(len(lines))) AS i FROM d)),
+    b AS (SELECT *, count(*) FILTER (NOT filled) OVER (PARTITION BY r ORDER BY i) AS k FROM l),
+    u AS (SELECT r, w FROM l UNION SELECT r, flatten(list(w ORDER BY i)) FROM b WHERE filled GROUP BY r, k
+          UNION SELECT r, flatten(list(w ORDER BY i)) FROM l WHERE filled GROUP BY r),
+    n AS (SELECT r, count(*) AS n_units FROM u WHERE len(w) > 0 GROUP BY r),
+    p AS (SELECT r, row_number() OVER () AS unit, {_PAIRS} AS s FROM u WHERE len(w) > 1),
+    t AS (SELECT name, row_number() OVER () AS tpl, {_PAIRS} AS s FROM (SELECT name, {_licence_words("body")} AS w FROM (VALUES {_TEMPLATES}) AS v(name, body))),
+    shared AS (SELECT r, unit, name, tpl, len(any_value(p.s)) AS a, len(any_value(t.s)) AS b, count(*) AS c
+               FROM (SELECT *, unnest(s) AS g FROM p) AS p JOIN (SELECT *, unnest(s) AS g FROM t) AS t USING (g) GROUP BY r, unit, name, tpl),
+    hit AS (SELECT r, name, max(2 * c / (a + b)) AS dice FROM shared WHERE 2 * c / (a + b) >= 0.8 GROUP BY r, name),
+    best AS (SELECT r, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice, string_agg(name, ',' ORDER BY name) AS licences FROM hit GROUP BY r)
+    SELECT doc_id, licence, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licences, '') AS licences, coalesce(n_units, 0) AS n_units
+    FROM d LEFT JOIN best USING (r) LEFT JOIN n USING (r)
+    """,
+)
+def op3_dice_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.withColumn("licences", F.array_join("licences", ","))
