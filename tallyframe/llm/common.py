@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = " \t\n\x0b\f\r"
@@ -35,6 +36,28 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def add_columns(
+    docs: DataFrame, text: str, keep: list[str], schema: str, start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], also: tuple[str, ...] = ()
+) -> DataFrame:
+    """The columns ``keep`` and those of ``schema``, which a task makes out of Arrow batches.
+
+    ``start`` is called once in each task and returns the function of a batch.
+    Batches hold ``keep``, the text and the columns ``also``. A kept column named
+    like a new one is replaced by it.
+    """
+    new = T.StructType.fromDDL(schema)
+    keep = [c for c in keep if c not in new.names]
+    sent = list(dict.fromkeys([*keep, text, *also]))
+    frame = docs.select(*[F.col(f"`{c}`") for c in sent])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + work(batch), keep + new.names)
+
+    return frame.mapInArrow(run, T.StructType([frame.schema[c] for c in keep] + new.fields))
+
+
 def groups_of(items: list, sizes: list[int], limit: int) -> Iterator[slice]:
     """Slices of ``items`` whose sizes sum to about ``limit``, at least one item each."""
     start = total = 0
@@ -45,3 +68,18 @@ def groups_of(items: list, sizes: list[int], limit: int) -> Iterator[slice]:
         total += size
     if start < len(items):
         yield slice(start, len(items))
+
+
+#: Bytes with white space as one kind of space.
+_PLAIN = bytes(32 if 9 <= b <= 13 else b for b in range(256))
+PIECE = 1 << 20
+
+
+def word_pieces(text: bytes, signs: bytes = _PLAIN) -> Iterator[list[bytes]]:
+    """The words of a text mapped by the table ``signs``, about a megabyte of text at a time."""
+    text, start = text.translate(signs), 0
+    while start < len(text):
+        end = text.find(b" ", start + PIECE)
+        end = len(text) if end < 0 else end
+        yield text[start:end].split()
+        start = end

@@ -31,13 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import as_bytes, groups_of
+from tallyframe.llm.common import add_columns, as_bytes, groups_of, word_pieces
 
 WINDOW = 13
 SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 32 << 20
 SAMPLE_STEP = 8
-PIECE = 1 << 20
 
 #: ASCII letters in lower case, digits and bytes of other characters; all else separates words.
 _WORD_BYTES = bytes(
@@ -53,13 +52,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def pieces_of(text: bytes) -> Iterator[list[bytes]]:
     """The words of a text, about a megabyte at a time."""
-    text = text.translate(_WORD_BYTES)
-    start = 0
-    while start < len(text):
-        end = text.find(b" ", start + PIECE)
-        end = len(text) if end < 0 else end
-        yield text[start:end].split()
-        start = end
+    return word_pieces(text, _WORD_BYTES)
 
 
 class Bits:
@@ -300,57 +293,42 @@ def find(
 ) -> DataFrame:
     """The columns ``keep`` and the results. A document is contaminated if one word in ``part_of`` or more is hit."""
     sc = docs.sparkSession.sparkContext
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    keep = [c for c in keep if c not in names]
     searches = [sc.broadcast(Phrases(b, window)) for b in blocks(benchmark, item, item_text, block_bytes)]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-    state = "__spans array<struct<start:bigint,end:bigint>>, __items array<string>"
+    state = ("__spans", "__items")
 
     def passing(shared, first: bool, last: bool):
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts = [t or b"" for t in as_bytes(batch.column("__text"))]
-                words, spans, items = [], [], []
-                for part in groups_of(texts, [len(t) for t in texts], shard_bytes):
-                    for out, new in zip((words, spans, items), search_shard(texts[part], shared.value), strict=True):
-                        out.extend(new)
-                if not first:
-                    spans = [merged(s + [(x["start"], x["end"]) for x in o]) for s, o in zip(spans, batch.column("__spans").to_pylist(), strict=True)]
-                    items = [i.union(o) for i, o in zip(items, batch.column("__items").to_pylist(), strict=True)]
-                kept = [batch.column(c) for c in keep]
-                if last:
-                    hits = [sum(b - a for a, b in s) for s in spans]
-                    lists = [sorted(i) for i in items]
-                    columns = [
-                        pa.array(words, pa.int64()),
-                        pa.array(hits, pa.int64()),
-                        pa.array([len(i) for i in lists], pa.int64()),
-                        pa.array(lists, pa.list_(pa.string())),
-                        pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in lists], pa.string()),
-                        span_column([character_spans(t, s) if s else [] for t, s in zip(texts, spans, strict=True)]),
-                        pa.array([h > 0 and part_of * h >= n for h, n in zip(hits, words, strict=True)], pa.bool_()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(kept + columns, keep + names)
-                else:
-                    columns = [batch.column("__text"), span_column(spans), pa.array([sorted(i) for i in items], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(kept + columns, [*keep, "__text", "__spans", "__items"])
-
-        return search
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__text"]
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            texts = [t or b"" for t in as_bytes(batch.column(text))]
+            words, spans, items = [], [], []
+            for part in groups_of(texts, [len(t) for t in texts], shard_bytes):
+                for out, new in zip((words, spans, items), search_shard(texts[part], shared.value), strict=True):
+                    out.extend(new)
+            if not first:
+                spans = [merged(s + [(x["start"], x["end"]) for x in o]) for s, o in zip(spans, batch.column(state[0]).to_pylist(), strict=True)]
+                items = [i.union(o) for i, o in zip(items, batch.column(state[1]).to_pylist(), strict=True)]
+            lists = [sorted(i) for i in items]
+            if not last:
+                return [span_column(spans), pa.array(lists, pa.list_(pa.string()))]
+            hits = [sum(b - a for a, b in s) for s in spans]
+            return [
+                pa.array(words, pa.int64()),
+                pa.array(hits, pa.int64()),
+                pa.array([len(i) for i in lists], pa.int64()),
+                pa.array(lists, pa.list_(pa.string())),
+                pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in lists], pa.string()),
+                span_column([character_spans(t, s) if s else [] for t, s in zip(texts, spans, strict=True)]),
+                pa.array([h > 0 and part_of * h >= n for h, n in zip(hits, words, strict=True)], pa.bool_()),
+            ]
+
+        return lambda: work
+
+    frame = docs
     for k, shared in enumerate(searches):
         last = k == len(searches) - 1
-        schema = ", ".join([*fields, RESULT] if last else [*fields, "__text string", state])
-        frame = frame.mapInArrow(passing(shared, k == 0, last), schema)
+        schema = RESULT if last else "__spans array<struct<start:bigint,end:bigint>>, __items array<string>"
+        frame = add_columns(frame, text, keep if last else list(dict.fromkeys([*keep, text])), schema, passing(shared, k == 0, last), state if k else ())
     return frame
 
 
 def span_column(spans: list[list[tuple[int, int]]]) -> pa.Array:
     return pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _SPANS)
-
-
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that are not contaminated, with their own columns."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text"))
-    found = find(inner, benchmark, keep=["__row"], **options)
-    return found.filter("NOT contaminated").select("__row.*")

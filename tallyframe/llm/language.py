@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.llm.common import add_columns
+
 PER_LANGUAGE = 300
 DIMENSIONS = 1 << 14
 PIECE = 1 << 20
@@ -184,15 +186,14 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    keep = [c for c in keep if c not in names]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column("__text")]
-            columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, keep + names)
+    def start():
+        predict = shared.value.predict
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            found = [predict(t.as_py()) for t in batch.column(text)]
+            return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+
+        return work
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__text"]
-    return frame.mapInArrow(predict, ", ".join([*fields, RESULT]))
+    return add_columns(docs, text, keep, RESULT, start)

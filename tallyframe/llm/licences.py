@@ -19,13 +19,10 @@ unchanged; input columns named like a result are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyframe.llm.common import as_bytes
+from tallyframe.llm.common import add_columns, as_bytes
 
 THRESHOLD = 0.8
 RESULT = "licence string, dice double, licences array<string>, n_units bigint"
@@ -172,24 +169,21 @@ class Scan:
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """The columns ``keep``, the best licence and its coefficient, all licences reached in order, and the number of units."""
-    shared = docs.sparkSession.sparkContext.broadcast((templates, threshold))
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    keep = [c for c in keep if c not in names]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scan(*shared.value)
-        for batch in batches:
+
+    def start():
+        scanner = Scan(templates, threshold)
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
             best, dice, every, units = [], [], [], []
-            for t in as_bytes(batch.column("__text")):
+            for t in as_bytes(batch.column(text)):
                 found, n = scanner.text(t or b"")
                 ranked = sorted(found, key=lambda name: (-found[name], name))
                 best.append(ranked[0] if ranked else None)
                 dice.append(found[ranked[0]] if ranked else 0.0)
                 every.append(sorted(found))
                 units.append(n)
-            columns = [pa.array(best, pa.string()), pa.array(dice, pa.float64()), pa.array(every, pa.list_(pa.string())), pa.array(units, pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, keep + names)
+            return [pa.array(best, pa.string()), pa.array(dice, pa.float64()), pa.array(every, pa.list_(pa.string())), pa.array(units, pa.int64())]
+
+        return work
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__text"]
-    return frame.mapInArrow(run, ", ".join([*fields, RESULT]))
+    return add_columns(docs, text, keep, RESULT, start)

@@ -30,10 +30,9 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from tallyframe.llm.common import groups_of
+from tallyframe.llm.common import add_columns, groups_of
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -244,49 +243,46 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", d
     tokens and decoded text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def start():
+        codec = Codec(shared.value)
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            given = batch.column(text).to_pylist()
+            ids: list[np.ndarray | None] = []
+            decoded: list[str | None] = []
+            same: list[bool | None] = []
+            for part in groups_of(given, [len(t or "") for t in given], BATCH_BYTES):
+                for t, (tokens, parity) in zip(given[part], codec.encode([t or "" for t in given[part]]), strict=True):
+                    ids.append(None if t is None else tokens)
+                    decoded.append(None if t is None else codec.decode(tokens))
+                    same.append(None if t is None else parity)
+            parity = pa.array(same, pa.bool_())
+            if not digests:
+                return [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), parity]
+            return [
+                pa.array([None if i is None else len(i) for i in ids], pa.int64()),
+                pa.array([None if i is None else hashlib.sha256(i.astype("<i4").tobytes()).hexdigest() for i in ids], pa.string()),
+                pa.array([None if t is None else t == d for t, d in zip(given, decoded, strict=True)], pa.bool_()),
+                parity,
+            ]
+
+        return work
+
     schema = "n_tokens bigint, ids_sha256 string, round_trip boolean, parity boolean" if digests else RESULT
-    names = [f.split()[0] for f in schema.split(", ")]
-    keep = [c for c in keep if c not in names]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
-        for batch in batches:
-            codec = codec or Codec(shared.value)
-            texts = batch.column("__text").to_pylist()
-            for part in groups_of(texts, [len(t or "") for t in texts], BATCH_BYTES):
-                given = texts[part]
-                found = codec.encode([t or "" for t in given])
-                decoded = [codec.decode(ids) if t is not None else None for t, (ids, _) in zip(given, found, strict=True)]
-                same = pa.array([s if t is not None else None for t, (_, s) in zip(given, found, strict=True)], pa.bool_())
-                if digests:
-                    columns = [
-                        pa.array([len(i) if t is not None else None for t, (i, _) in zip(given, found, strict=True)], pa.int64()),
-                        pa.array([hashlib.sha256(i.astype("<i4").tobytes()).hexdigest() if t is not None else None for t, (i, _) in zip(given, found, strict=True)], pa.string()),
-                        pa.array([d == t if t is not None else None for t, d in zip(given, decoded, strict=True)], pa.bool_()),
-                    ]
-                else:
-                    ids = [i if t is not None else None for t, (i, _) in zip(given, found, strict=True)]
-                    columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
-                kept = [batch.column(c).slice(part.start, part.stop - part.start) for c in keep]
-                yield pa.RecordBatch.from_arrays([*kept, *columns, same], keep + names)
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__text"]
-    return frame.mapInArrow(run, ", ".join([*fields, schema]))
+    return add_columns(docs, text, keep, schema, start)
 
 
 def decode(tokens: DataFrame, model: bytes, keep: list[str], ids: str = "ids") -> DataFrame:
     """The columns ``keep`` with ``decoded``, the text of each array of tokens (null for null)."""
     shared = tokens.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in keep if c != "decoded"]
-    frame = tokens.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{ids}`").cast("array<int>").alias("__ids"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
-        for batch in batches:
-            codec = codec or Codec(shared.value)
-            texts = [None if i is None else codec.decode(np.array(i, np.int32)) for i in batch.column("__ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(texts, pa.string())], [*keep, "decoded"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__ids"]
-    return frame.mapInArrow(run, ", ".join([*fields, "decoded string"]))
+
+    def start():
+        codec = Codec(shared.value)
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
+            return [pa.array([None if i is None else codec.decode(np.array(i, np.int32)) for i in batch.column(ids).to_pylist()], pa.string())]
+
+        return work
+
+    return add_columns(tokens, ids, keep, "decoded string", start)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import decontaminate, language, licences, pieces, rules, simhash, slots, warc, weaklabels
+import corpus_pipeline
+from tallyframe.llm import crossentropy, decontaminate, language, licences, pieces, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
-from tallyframe.session import scratch
+from tallyframe.session import materialise, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -171,3 +172,17 @@ _TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t i
 def op3_dice_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.withColumn("licences", F.array_join("licences", ","))
+
+
+@query("op5_cross_entropy_difference")
+def op5_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("target"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
+    # Three passes over the texts follow, so the join is done once.
+    docs = materialise(docs.withColumn("target", F.coalesce("target", F.lit(False))), "targets")
+    return crossentropy.score(docs, crossentropy.fit(docs), keep=["doc_id"])
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import as_bytes
+from tallyframe.llm.common import as_bytes, word_pieces
 from tallyframe.session import materialise
 
 SHINGLE = 4
@@ -38,7 +38,6 @@ DISTANCE = 4
 SEED = 42
 BITS = 64
 NO_ID = (1 << 63) - 1
-PIECE = 1 << 20
 
 #: ASCII letters in lower case; white space as one kind of space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
@@ -46,13 +45,9 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 
 def shingle_hashes(text: bytes, width: int = SHINGLE) -> Iterator[list[int]]:
     """Hashes of all shingles, repeats included, about a megabyte of text at a time."""
-    text, digest = text.translate(_FOLD), xxhash.xxh64_intdigest
-    start, held, made = 0, [], False
-    while start < len(text):
-        end = text.find(b" ", start + PIECE)
-        end = len(text) if end < 0 else end
-        words = held + text[start:end].split()
-        start = end
+    digest, held, made = xxhash.xxh64_intdigest, [], False
+    for piece in word_pieces(text, _FOLD):
+        words = held + piece
         if len(words) >= width:
             joined, at, begins, ends = b" ".join(words), 0, [], []
             for w in words:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import as_bytes
+from tallyframe.llm.common import add_columns, as_bytes
 from tallyframe.llm.rules import STOP_WORDS
 
 TRAIN_ROWS = 4000
@@ -239,26 +239,21 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows:
 def judge(docs: DataFrame, model: Model, keep: list[str], text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
     """The columns ``keep`` with the posterior label, the scorer's probability of good, and whether it reaches ``keep_from``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [f.split()[0] for f in RESULT.split(", ")]
-    keep = [c for c in keep if c not in names]
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         labels, scorer = shared.value
-        for batch in batches:
+
+        def work(batch: pa.RecordBatch) -> list[pa.Array]:
             signs, scores = [], []
-            for t in as_bytes(batch.column("__text")):
+            for t in as_bytes(batch.column(text)):
                 n, measured = statistics(t or b"")
                 signs.append(votes(n, measured) if n else None)
                 scores.append(scorer.score(features(t, n, measured)) if n else 0.0)
             known = sorted({s for s in signs if s})
             posterior = {None: 0.0} | dict(zip(known, labels.posteriors(vote_matrix(known)).tolist(), strict=True))
-            columns = [
-                pa.array([posterior[s] for s in signs], pa.float64()),
-                pa.array(scores, pa.float64()),
-                pa.array([s is not None and x >= keep_from for s, x in zip(signs, scores, strict=True)], pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, keep + names)
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name != "__text"]
-    return frame.mapInArrow(score, ", ".join([*fields, RESULT]))
+            kept = [s is not None and x >= keep_from for s, x in zip(signs, scores, strict=True)]
+            return [pa.array([posterior[s] for s in signs], pa.float64()), pa.array(scores, pa.float64()), pa.array(kept, pa.bool_())]
+
+        return work
+
+    return add_columns(docs, text, keep, RESULT, start)
