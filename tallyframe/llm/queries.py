@@ -58,7 +58,27 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("broken_rules")
 
 
-@query("op8_fixed_slots")
+@query(
+    "op8_fixed_slots",
+    """
+    WITH RECURSIVE tbl AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+                                  lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS x),
+    b AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+                 ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % 8192 AS vslot,
+                 list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)) AS bytes
+          FROM documents),
+    d AS (SELECT doc_id, size, vslot, xor(list_reduce(bytes, lambda c, v: xor(c >> 8, x[(xor(c, v) & 255) + 1])), 4294967295) AS text_crc32 FROM b, tbl),
+    s AS (SELECT vslot, total, row_number() OVER (ORDER BY total DESC, vslot) AS k FROM (SELECT vslot, sum(size)::BIGINT AS total FROM d GROUP BY vslot)),
+    g AS (SELECT 0::BIGINT AS k, -1::BIGINT AS vslot, -1::BIGINT AS shard, list_transform(range(40), lambda i: 0::BIGINT) AS loads
+          UNION ALL
+          SELECT s.k, s.vslot, list_position(loads, list_min(loads)) - 1,
+                 list_transform(loads, lambda v, i: v + CASE WHEN i = list_position(loads, list_min(loads)) THEN total ELSE 0 END)
+          FROM g JOIN s ON s.k = g.k + 1)
+    SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+           row_number() OVER (PARTITION BY shard ORDER BY vslot, doc_id, size, text_crc32) - 1 AS slot, NULL::INTEGER AS grown_shard
+    FROM d JOIN g USING (vslot)
+    """,
+)
 def op8_fixed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = slots.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select(
