@@ -51,12 +51,20 @@ def engagement(
     df: DataFrame, keys: Sequence[str], measure: str, day: str, resource: str, day_span: bool = True,
     resources_name: str = "distinct_resources",
 ) -> DataFrame:
-    """Per key: clicks, active days, distinct resources, first and last active day."""
-    span = [F.min(day).alias("first_active_day"), F.max(day).alias("last_active_day")] if day_span else []
-    return df.groupBy(*keys).agg(
-        F.sum(measure).alias("total_clicks"),
-        F.countDistinct(day).alias("active_days"),
-        F.countDistinct(resource).alias(resources_name),
+    """Per key: clicks, active days, distinct resources, first and last active day.
+
+    Rows are reduced to one per key and day, and one per key and resource, each
+    with map-side combining, so that plain counts of these rows are the distinct
+    counts. Two distinct counts in one aggregate would triple all rows instead.
+    """
+    days = df.groupBy(*keys, F.col(day).alias("_day")).agg(F.sum(measure).alias("_clicks"))
+    used = df.select(*keys, F.col(resource).alias("_resource")).distinct()
+    reduced = days.unionByName(used, allowMissingColumns=True)
+    span = [F.min("_day").alias("first_active_day"), F.max("_day").alias("last_active_day")] if day_span else []
+    return reduced.groupBy(*keys).agg(
+        F.sum("_clicks").alias("total_clicks"),
+        F.count("_day").alias("active_days"),
+        F.count("_resource").alias(resources_name),
         *span,
     )
 
@@ -143,15 +151,19 @@ def engagement_mart(
     day: str,
     resource: str,
     score: str,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per registration with its click and mark totals.
 
     Clicks and marks are totalled by ``keys`` before the joins; the joins then
-    use the partitioning of those totals. Missing totals are 0, a missing mean
-    score stays null.
+    use the partitioning of those totals. ``totals`` is a stored result of
+    ``engagement``, which saves going through the clicks again. Missing totals
+    are 0, a missing mean score stays null.
     """
     keys = list(keys)
-    used = engagement(clicks, keys, measure, day, resource, day_span=False, resources_name="resources_used")
+    if totals is None:
+        totals = engagement(clicks, keys, measure, day, resource, day_span=False)
+    used = totals.select(*keys, "total_clicks", "active_days", F.col("distinct_resources").alias("resources_used"))
     marked = marks.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("assessment_submissions"),
         rounded_mean(score).cast("decimal(5,2)").alias("average_score"),
@@ -194,21 +206,30 @@ def availability(df: DataFrame, groups: Sequence[str], start: str, end: str) ->
 
 
 def string_list(
-    df: DataFrame, keys: Sequence[str], value: Column | str, name: str, sep: str = ", ", order: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column | str,
+    name: str,
+    sep: str = ", ",
+    order: Column | str | None = None,
+    distinct: bool = True,
 ) -> DataFrame:
-    """Per key, the distinct values as one text, in order of ``order`` and then of the value.
+    """Per key, the values as one text, in order of ``order`` and then of the value.
 
-    Values are made distinct before they are gathered: a row's text is as long
-    as its key has different values, however many rows they come from.
+    With ``distinct``, equal values of a key stand once, in the place of the
+    first, and are made one before they are gathered. Nulls are left out. A
+    result row holds all the values of its key, so its size is that of the list.
     """
     value = F.col(value) if isinstance(value, str) else value
-    place = F.col(order) if order else F.lit(0)
-    return (
-        df.select(*keys, value.alias("_value"), place.alias("_place"))
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.expr(f"listagg(_value, '{sep}') WITHIN GROUP (ORDER BY _place, _value)").alias(name))
-    )
+    place = F.lit(0) if order is None else F.col(order) if isinstance(order, str) else order
+    entries = df.select(*keys, value.alias("_value"), place.alias("_place"))
+    if distinct:
+        entries = entries.groupBy(*keys, "_value").agg(F.min("_place").alias("_place"))
+    entry = F.struct("_place", "_value")
+    listed = F.sort_array(F.collect_list(F.when(F.col("_value").isNotNull(), entry)))
+    texts = F.transform(listed, lambda e: e["_value"].cast("string"))
+    joined = F.when(F.size(texts) > 0, F.array_join(texts, sep))
+    return entries.groupBy(*keys).agg(joined.alias(name))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "number_of_records") -> DataFrame:

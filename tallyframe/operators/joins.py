@@ -37,8 +37,8 @@ def orphan_counts(
 
 
 def has_orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str], name: str = "has_orphans") -> DataFrame:
-    """One row: 1 if some child row lacks a parent, else 0."""
-    found = orphans(child.select(*keys).distinct(), parent, keys).limit(1)
+    """One row: 1 if some child row lacks a parent, else 0. Each task stops at the first one it meets."""
+    found = orphans(child.select(*keys), parent, keys).limit(1)
     return found.agg(F.count(F.lit(1)).cast("int").alias(name))
 
 

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions import is_missing
+from tallyframe.functions import is_missing, is_present, null_markers
 from tallyframe.operators.ordering import running_total
+from tallyframe.session import materialise
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -16,6 +17,14 @@ def missing_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(is_missing(c)).alias(f"missing_{c}") for c in columns])
 
 
+def unparsable(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """One row per text column: present values that cannot be cast to its type, in one scan."""
+    counted = df.agg(
+        *[F.count_if(is_present(c) & null_markers(c).try_cast(kind).isNull()).alias(c) for c, kind in columns.items()]
+    )
+    return counted.unpivot([], list(columns), "column_name", "unparsable_values")
+
+
 def numeric_profile(df: DataFrame, measures: Mapping[str, Column], groups: Sequence[str] = ()) -> DataFrame:
     """Any set of named aggregates over cast text, in one scan."""
     return df.groupBy(*groups).agg(*[c.alias(name) for name, c in measures.items()])
@@ -67,9 +76,11 @@ def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     Numbers get mean, median, most frequent value (the least one of several) and
     coefficient of variation; categories get the most frequent label and the
     entropy of the label counts. Medians and modes are taken from value counts
-    that are grouped and range-partitioned, never from a collected column.
+    that are grouped and stored once, never from a collected column: the table
+    is read once for them and once for the moments.
     """
     parts = []
+    counts = materialise(_value_counts(df, numeric, categorical), "value-counts")
     if numeric:
         doubles = df.select(*[F.col(c).cast("double").alias(c) for c in numeric])
         moments = doubles.agg(
@@ -86,12 +97,12 @@ def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
         ).select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`.*")) for c in numeric]))
         )
-        counts = _value_counts(doubles, numeric)
-        mode = counts.groupBy("column_name").agg(F.max(F.struct("n", -F.col("value"))).alias("top")).select(
+        values = counts.where("value IS NOT NULL").select("column_name", "value", "n")
+        mode = values.groupBy("column_name").agg(F.max(F.struct("n", -F.col("value"))).alias("top")).select(
             "column_name", (-F.col("top.col2")).alias("mode")
         )
         parts.append(
-            moments.join(_median(counts), "column_name", "left")
+            moments.join(_median(values), "column_name", "left")
             .join(mode, "column_name", "left")
             .select(
                 "column_name", F.lit("numeric").alias("kind"), "mean", "median", "mode",
@@ -99,17 +110,18 @@ def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
             )
         )
     if categorical:
-        labels = df.select(*[F.col(c).cast("string").alias(c) for c in categorical])
-        counts = frequencies(labels, categorical)
+        labels = counts.where(F.col("column_name").isin(*categorical)).select(
+            "column_name", "category", F.col("n").alias("frequency")
+        )
         known = F.col("category").isNotNull()
         n = F.when(known, F.col("frequency"))
-        summary = counts.groupBy("column_name").agg(
+        summary = labels.groupBy("column_name").agg(
             (F.log(F.sum(n)) - F.sum(n * F.log(n)) / F.sum(n)).alias("dispersion"),
             F.max(n).alias("top"),
             F.coalesce(F.sum(F.when(~known, F.col("frequency"))), F.lit(0)).alias("missing"),
         )
         mode = (
-            counts.where(known)
+            labels.where(known)
             .join(summary.select("column_name", "top"), "column_name")
             .where("frequency = top")
             .groupBy("column_name")
@@ -125,10 +137,13 @@ def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return (
-        df.unpivot([], list(columns), "column_name", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _value_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Rows per column and value; a number stands in ``value``, a label in ``category``."""
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cell = lambda c, v, k: F.struct(F.lit(c).alias("column_name"), v.alias("value"), k.alias("category"))
+    cells = [cell(c, F.col(c).cast("double"), text) for c in numeric]
+    cells += [cell(c, none, F.col(c).cast("string")) for c in categorical]
+    stacked = df.select(F.inline(F.array(*cells)))
+    if numeric:
+        stacked = stacked.where(~F.col("column_name").isin(*numeric) | F.col("value").isNotNull())
+    return stacked.groupBy("column_name", "value", "category").agg(F.count(F.lit(1)).alias("n"))

@@ -75,10 +75,12 @@ Rule = NotNull | Check | Unique | ForeignKey
 
 def one_of(column: str, values: Iterable[str]) -> str:
     """The condition that a column holds one of the given labels."""
-    return f"{column} IN ({', '.join(repr(v) for v in values)})"
+    quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return f"{column} IN ({', '.join(quoted)})"
 
 
-def _parent(rule: ForeignKey, tables: Mapping[str, DataFrame]) -> DataFrame:
+def parent_keys(rule: ForeignKey, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The parent's keys under the child's column names."""
     pairs = zip(rule.parent_keys or rule.keys, rule.keys, strict=True)
     return tables[rule.parent].select(*[F.col(p).alias(k) for p, k in pairs])
 
@@ -88,7 +90,7 @@ def violations(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | None
     if isinstance(rule, Unique):
         return duplicate_keys(df, rule.keys)
     if isinstance(rule, ForeignKey):
-        return orphans(df.dropna(subset=list(rule.keys)), _parent(rule, tables or {}), rule.keys)
+        return orphans(df.dropna(subset=list(rule.keys)), parent_keys(rule, tables or {}), rule.keys)
     return df.where(rule.broken)
 
 
@@ -98,7 +100,7 @@ def _violation_count(df: DataFrame, rule: Unique | ForeignKey, tables: Mapping[s
     if isinstance(rule, Unique):
         total = per_key.agg(F.sum(F.col("_rows") - 1).alias("_n"))
     else:
-        lone = orphans(per_key.dropna(subset=list(rule.keys)), _parent(rule, tables), rule.keys)
+        lone = orphans(per_key.dropna(subset=list(rule.keys)), parent_keys(rule, tables), rule.keys)
         total = lone.agg(F.sum("_rows").alias("_n"))
     return total.select(F.coalesce("_n", F.lit(0)).alias("violations"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from tallyframe.schemas import PRESENTATION_KEY, REGISTRATION_KEY, SUCCESS_RESUL
 OUTCOME_COLUMNS = {"distinctions": "Distinction", "passes": "Pass", "failures": "Fail", "withdrawals": "Withdrawn"}
 
 
-def student_engagement(clean: Mapping[str, DataFrame]) -> DataFrame:
+def student_engagement(clean: Mapping[str, DataFrame], totals: DataFrame | None = None) -> DataFrame:
+    """Engagement of each registration; ``totals`` is the stored summary of the clicks, if there is one."""
     return agg.engagement_mart(
         clean["clean_registration"],
         clean["clean_student_vle_interaction"],
@@ -26,6 +27,7 @@ def student_engagement(clean: Mapping[str, DataFrame]) -> DataFrame:
         "interaction_date",
         "id_site",
         "score",
+        totals,
     )
 
 
@@ -57,16 +59,21 @@ def resource_availability(clean: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def build_analytics(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    mart = student_engagement(clean)
+def analytics_plans(tables: Mapping[str, DataFrame], totals: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The reporting tables in order, each built when called from what ``tables`` holds then."""
     return {
-        "analytics_student_engagement": mart,
-        "analytics_completion_by_presentation": completion_by_presentation(clean).drop("successful_students"),
-        "analytics_assessment_performance": assessment_performance(clean),
-        "analytics_engagement_by_result": engagement_by_result(mart),
+        "analytics_student_engagement": lambda: student_engagement(tables, totals),
+        "analytics_completion_by_presentation": lambda: completion_by_presentation(tables).drop("successful_students"),
+        "analytics_assessment_performance": lambda: assessment_performance(tables),
+        "analytics_engagement_by_result": lambda: engagement_by_result(tables["analytics_student_engagement"]),
     }
 
 
+def build_analytics(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    tables = dict(clean)
+    return {name: tables.setdefault(name, plan()) for name, plan in analytics_plans(tables).items()}
+
+
 def click_log_aggregates(interactions: DataFrame) -> dict[str, DataFrame]:
     """Three aggregates of consolidated clicks: by student, resource and week."""
     args = {"measure": "sum_click"}
@@ -81,10 +88,10 @@ def click_log_aggregates(interactions: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def presentation_trend(trend: DataFrame, module: str, presentation: str, weeks: int = 15) -> DataFrame:
-    """The first weeks of one presentation, in week order."""
+def presentation_trend(trend: DataFrame, module: str, presentation: str) -> DataFrame:
+    """All weeks of one presentation, in week order."""
     chosen = (F.col("code_module") == module) & (F.col("code_presentation") == presentation)
-    return trend.where(chosen).orderBy("presentation_week").limit(weeks)
+    return trend.where(chosen).orderBy("presentation_week")
 
 
 ANALYTICS_RULES: dict[str, tuple[Rule, ...]] = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,19 +121,25 @@ def clean_student_vle_interaction(student_vle: DataFrame) -> DataFrame:
     return consolidate(typed_interactions(student_vle), INTERACTION_KEY, ["sum_click"])
 
 
-def build_clean(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    assessment = clean_assessment(stg["stg_assessments"])
+def clean_plans(tables: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """The clean tables in order, each built when called from what ``tables`` holds then."""
+    t = tables
     return {
-        "clean_module_presentation": clean_module_presentation(stg["stg_courses"]),
-        "clean_student": clean_student(stg["stg_student_info"]),
-        "clean_registration": clean_registration(stg["stg_student_info"], stg["stg_student_registration"]),
-        "clean_assessment": assessment,
-        "clean_vle_resource": clean_vle_resource(stg["stg_vle"]),
-        "clean_student_assessment": clean_student_assessment(stg["stg_student_assessment"], assessment),
-        "clean_student_vle_interaction": clean_student_vle_interaction(stg["stg_student_vle"]),
+        "clean_module_presentation": lambda: clean_module_presentation(t["stg_courses"]),
+        "clean_student": lambda: clean_student(t["stg_student_info"]),
+        "clean_registration": lambda: clean_registration(t["stg_student_info"], t["stg_student_registration"]),
+        "clean_assessment": lambda: clean_assessment(t["stg_assessments"]),
+        "clean_vle_resource": lambda: clean_vle_resource(t["stg_vle"]),
+        "clean_student_assessment": lambda: clean_student_assessment(t["stg_student_assessment"], t["clean_assessment"]),
+        "clean_student_vle_interaction": lambda: clean_student_vle_interaction(t["stg_student_vle"]),
     }
 
 
+def build_clean(stg: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    tables = dict(stg)
+    return {name: tables.setdefault(name, plan()) for name, plan in clean_plans(tables).items()}
+
+
 CLEAN_RULES: dict[str, tuple[Rule, ...]] = {
     "clean_module_presentation": (
         NotNull((*PRESENTATION_KEY, "module_presentation_length")),

@@ -23,7 +23,8 @@ from tallyframe.functions import (
     to_int,
     week_trunc,
 )
-from tallyframe.operators.joins import star_denormalise, star_lookup
+from tallyframe.operators.aggregates import row_count
+from tallyframe.operators.joins import spread, star_denormalise, star_lookup, union_all
 from tallyframe.operators.ordering import distinct_rows, first_per_key, surrogate_key
 from tallyframe.operators.quality import Check, ForeignKey, NotNull, Rule, Unique, one_of
 from tallyframe.schemas import (
@@ -165,6 +166,33 @@ ENGAGEMENT_MART_RULES: dict[str, tuple[Rule, ...]] = {
     ),
 }
 
+def row_differences(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per fact: its rows, those it should have by its source's keys, and the difference.
+
+    A fact that looks its dimensions up by inner joins loses rows without any
+    unmatched key showing in it, so it is held against its source.
+    """
+    results = tables["stg_student_assessment"].select(to_int("id_student"), to_int("id_assessment")).distinct()
+    info = tables["stg_student_info"]
+    enrolled = info.select(to_int("id_student"), *[F.trim(F.col(c)) for c in PRESENTATION_KEY]).distinct()
+    sources = {
+        "engagement_mart.fact_learning_engagement": tables["clean_registration"],
+        "click_mart.fact_student_enrollment": enrolled,
+        "click_mart.fact_student_assessment": results,
+        "click_mart.fact_student_vle": tables["stg_student_vle"],
+    }
+    return union_all(
+        [
+            spread(
+                union_all([row_count(tables[fact], "n").withColumn("side", F.lit("fact_rows")),
+                           row_count(source, "n").withColumn("side", F.lit("expected_rows"))]),
+                "side", "n", ["fact_rows", "expected_rows"],
+            ).select(F.lit(fact).alias("fact"), "*", (F.col("fact_rows") - F.col("expected_rows")).alias("difference"))
+            for fact, source in sources.items()
+        ]
+    )
+
+
 # ---------------------------------------------------------------- click mart
 
 

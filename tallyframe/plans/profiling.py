@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions import bad_format, composite, is_missing, is_present, to_decimal, to_int
 from tallyframe.operators import aggregates as agg
 from tallyframe.operators import profile
-from tallyframe.operators.joins import orphan_counts, spread, union_all
+from tallyframe.operators.joins import orphan_counts, spread, union_all, with_keys
 from tallyframe.operators.ordering import top_k
 from tallyframe.schemas import (
     DIGITS_PATTERN,
@@ -23,6 +23,14 @@ from tallyframe.schemas import (
 
 Tables = Mapping[str, DataFrame]
 
+
+def _keyed(stg: Tables, table: str) -> DataFrame:
+    """A raw table with its keys trimmed, so that padded and bare spellings meet."""
+    df = stg[table]
+    keys = {c: F.trim(F.col(c)) for c in (*RAW_KEYS[table], *PRESENTATION_KEY) if c in df.columns and c != "date"}
+    return with_keys(df, keys)
+
+
 # The keys each raw table is expected to be unique on.
 RAW_KEYS = {
     "stg_courses": PRESENTATION_KEY,
@@ -40,12 +48,12 @@ def missing_values(stg: Tables, table: str) -> DataFrame:
 
 
 def repeated_keys(stg: Tables, table: str) -> DataFrame:
-    return agg.duplicate_keys(stg[table], RAW_KEYS[table])
+    return agg.duplicate_keys(_keyed(stg, table), RAW_KEYS[table])
 
 
 def unknown_presentations(stg: Tables, table: str) -> DataFrame:
     """Rows per presentation that the course table does not list."""
-    return orphan_counts(stg[table], stg["stg_courses"], PRESENTATION_KEY, PRESENTATION_KEY)
+    return orphan_counts(_keyed(stg, table), _keyed(stg, "stg_courses"), PRESENTATION_KEY, PRESENTATION_KEY)
 
 
 def malformed_courses(stg: Tables) -> DataFrame:
@@ -98,13 +106,13 @@ def unweighted_assessments(stg: Tables) -> DataFrame:
 
 
 def _with_length(df: DataFrame, stg: Tables) -> DataFrame:
-    return df.join(stg["stg_courses"], list(PRESENTATION_KEY)).withColumn(
+    return df.join(_keyed(stg, "stg_courses"), list(PRESENTATION_KEY)).withColumn(
         "length_days", to_int("module_presentation_length")
     )
 
 
 def deadlines_outside_presentation(stg: Tables) -> DataFrame:
-    dated = _with_length(stg["stg_assessments"], stg).withColumn("deadline_day", to_int("date"))
+    dated = _with_length(_keyed(stg, "stg_assessments"), stg).withColumn("deadline_day", to_int("date"))
     outside = dated.where((F.col("deadline_day") < 0) | (F.col("deadline_day") > F.col("length_days")))
     return outside.select(*PRESENTATION_KEY, "id_assessment", "assessment_type", "deadline_day", "length_days")
 
@@ -142,13 +150,13 @@ def resources_by_activity(stg: Tables) -> DataFrame:
 
 
 def missing_bands(stg: Tables) -> DataFrame:
-    unknown = stg["stg_student_info"].where(is_missing("imd_band"))
+    unknown = _keyed(stg, "stg_student_info").where(is_missing("imd_band"))
     return unknown.groupBy(*PRESENTATION_KEY).agg(F.count(F.lit(1)).alias("missing_imd_records"))
 
 
 def student_consistency(stg: Tables) -> DataFrame:
     return profile.consistency(
-        stg["stg_student_info"],
+        _keyed(stg, "stg_student_info"),
         "id_student",
         ["gender", "region", "highest_education", "imd_band", "age_band", "disability"],
     )
@@ -156,11 +164,11 @@ def student_consistency(stg: Tables) -> DataFrame:
 
 def age_band_histories(stg: Tables) -> DataFrame:
     """Students recorded in several age bands, with their bands and enrolments."""
-    info = stg["stg_student_info"]
+    info = _keyed(stg, "stg_student_info")
     several = info.join(profile.varying_entities(info, "id_student", "age_band"), "id_student")
     bands = agg.string_list(several, ["id_student"], "age_band", "recorded_age_bands")
     enrolment = F.concat(composite(*PRESENTATION_KEY), F.lit(": "), F.col("age_band"))
-    history = agg.string_list(several, ["id_student"], enrolment, "enrolment_history", " | ", "code_presentation")
+    history = agg.string_list(several, ["id_student"], enrolment, "enrolment_history", " | ", "code_presentation", distinct=False)
     return bands.join(history, "id_student")
 
 
@@ -197,8 +205,8 @@ def largest_credit_loads(stg: Tables, k: int = 15) -> DataFrame:
 
 
 def dates_by_outcome(stg: Tables) -> DataFrame:
-    joined = stg["stg_student_registration"].join(
-        stg["stg_student_info"].select(*REGISTRATION_KEY, "final_result"), list(REGISTRATION_KEY)
+    joined = _keyed(stg, "stg_student_registration").join(
+        _keyed(stg, "stg_student_info").select(*REGISTRATION_KEY, "final_result"), list(REGISTRATION_KEY)
     )
     return joined.groupBy("final_result").agg(
         F.count(F.lit(1)).alias("total_records"),
@@ -210,7 +218,7 @@ def dates_by_outcome(stg: Tables) -> DataFrame:
 
 def registration_mismatches(stg: Tables) -> DataFrame:
     """Registrations without student record and student records without registration."""
-    info, registration = stg["stg_student_info"], stg["stg_student_registration"]
+    info, registration = _keyed(stg, "stg_student_info"), _keyed(stg, "stg_student_registration")
     names = ["registrations_without_student_info", "student_info_without_registration"]
     sides = [(registration, info), (info, registration)]
     parts = [
@@ -223,7 +231,7 @@ def registration_mismatches(stg: Tables) -> DataFrame:
 def registration_ranges(stg: Tables) -> DataFrame:
     start, end, length = to_int("date_registration"), to_int("date_unregistration"), F.col("length_days")
     return profile.numeric_profile(
-        _with_length(stg["stg_student_registration"], stg),
+        _with_length(_keyed(stg, "stg_student_registration"), stg),
         {
             "earliest_registration_day": F.min(start),
             "latest_registration_day": F.max(start),
@@ -239,8 +247,8 @@ def registration_ranges(stg: Tables) -> DataFrame:
 def late_unregistrations(stg: Tables) -> DataFrame:
     """Students who left after the module had ended, and by how many days."""
     end = to_int("date_unregistration")
-    late = _with_length(stg["stg_student_registration"], stg).where(end > F.col("length_days"))
-    outcome = stg["stg_student_info"].select(*REGISTRATION_KEY, "final_result")
+    late = _with_length(_keyed(stg, "stg_student_registration"), stg).where(end > F.col("length_days"))
+    outcome = _keyed(stg, "stg_student_info").select(*REGISTRATION_KEY, "final_result")
     return late.join(outcome, list(REGISTRATION_KEY)).select(
         *REGISTRATION_KEY, "date_registration", "date_unregistration", "length_days", "final_result",
         (end - F.col("length_days")).alias("days_after_module_end"),
@@ -249,8 +257,8 @@ def late_unregistrations(stg: Tables) -> DataFrame:
 
 def earliest_unregistrations(stg: Tables, k: int = 10) -> DataFrame:
     """Sorted by the number the text stands for; the key breaks ties."""
-    left = stg["stg_student_registration"].where(is_present("date_unregistration"))
-    outcome = stg["stg_student_info"].select(*REGISTRATION_KEY, "final_result")
+    left = _keyed(stg, "stg_student_registration").where(is_present("date_unregistration"))
+    outcome = _keyed(stg, "stg_student_info").select(*REGISTRATION_KEY, "final_result")
     rows = left.join(outcome, list(REGISTRATION_KEY)).select(
         *REGISTRATION_KEY, "date_registration", "date_unregistration", "final_result"
     )
@@ -288,28 +296,28 @@ def early_submissions(stg: Tables) -> DataFrame:
 
 def results_without_registration(stg: Tables) -> DataFrame:
     """Results per presentation whose student is not registered there."""
-    context = stg["stg_assessments"].select("id_assessment", *PRESENTATION_KEY)
-    results = stg["stg_student_assessment"].join(context, "id_assessment")
+    context = _keyed(stg, "stg_assessments").select("id_assessment", *PRESENTATION_KEY)
+    results = _keyed(stg, "stg_student_assessment").join(context, "id_assessment")
     return orphan_counts(
-        results, stg["stg_student_registration"], REGISTRATION_KEY, PRESENTATION_KEY,
+        results, _keyed(stg, "stg_student_registration"), REGISTRATION_KEY, PRESENTATION_KEY,
         "assessment_results_without_registration",
     )
 
 
 def results_without_assessment(stg: Tables) -> DataFrame:
     return orphan_counts(
-        stg["stg_student_assessment"], stg["stg_assessments"], ["id_assessment"], ["id_assessment"]
+        _keyed(stg, "stg_student_assessment"), _keyed(stg, "stg_assessments"), ["id_assessment"], ["id_assessment"]
     )
 
 
 def late_results(stg: Tables) -> DataFrame:
     """Results handed in after the module had ended."""
-    context = _with_length(stg["stg_assessments"], stg).select(
+    context = _with_length(_keyed(stg, "stg_assessments"), stg).select(
         "id_assessment", *PRESENTATION_KEY, "assessment_type", "length_days"
     )
     gap = to_int("date_submitted") - F.col("length_days")
     return (
-        stg["stg_student_assessment"]
+        _keyed(stg, "stg_student_assessment")
         .join(context, "id_assessment")
         .withColumn("days_after_module_end", gap)
         .where("days_after_module_end > 0")

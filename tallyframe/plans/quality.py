@@ -7,14 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions import is_missing, is_present, to_int
+from tallyframe.functions import is_missing, is_present, null_markers, to_int
 from tallyframe.operators.aggregates import count_difference, duplicate_keys, row_count
 from tallyframe.operators.joins import orphan_counts
-from tallyframe.operators.quality import ReportLine, exact_check, gate, info_check, quality_report
-from tallyframe.schemas import FULL_DATA_ROWS, REGISTRATION_KEY, SITE_KEY, SOURCE_BY_TABLE
-from tallyframe.sources import literal_rows
+from tallyframe.operators.quality import QualityError, ReportLine, exact_check, gate, info_check, quality_report
+from tallyframe.schemas import FULL_DATA_ROWS, PRESENTATION_KEY, REGISTRATION_KEY, SITE_KEY, SOURCE_BY_TABLE
+from tallyframe.sources import MALFORMED, literal_rows
 
-# Names of the row-count checks.
+# The layers, tables and check names of the report, here and in the lines below.
 STAGING_ROWS = "source row-count reconciliation"
 CLEAN_ROWS = "cleaned row-count reconciliation"
 ANALYTICS_ROWS = "analytics row-count reconciliation"
@@ -193,6 +193,49 @@ def analytics_gate_report(tables: Mapping[str, DataFrame], expectations: DataFra
     return quality_report(tables, lines, expectations)
 
 
+# Numeric columns of the raw tables by type.
+NUMBERS = {
+    "stg_courses": {"module_presentation_length": "bigint"},
+    "stg_assessments": {"id_assessment": "bigint", "date": "bigint", "weight": "decimal(5,2)"},
+    "stg_vle": {"id_site": "bigint", "week_from": "bigint", "week_to": "bigint"},
+    "stg_student_info": {"id_student": "bigint", "num_of_prev_attempts": "bigint", "studied_credits": "bigint"},
+    "stg_student_registration": {"id_student": "bigint", "date_registration": "bigint", "date_unregistration": "bigint"},
+    "stg_student_assessment": {
+        "id_assessment": "bigint", "id_student": "bigint", "date_submitted": "bigint", "is_banked": "bigint", "score": "bigint",
+    },
+    "stg_student_vle": {"id_student": "bigint", "id_site": "bigint", "date": "bigint", "sum_click": "bigint"},
+}
+
+
+def intake_report(tables: Mapping[str, DataFrame], malformed: str = MALFORMED) -> DataFrame:
+    """What must be zero before raw tables are typed, each table in one scan.
+
+    Malformed rows (if the table has that column), missing presentation keys,
+    and numbers that are there but cannot be read, which would look missing.
+    """
+    lines = []
+    for table in STAGING_TABLES:
+        columns = tables[table].columns
+        if malformed in columns:
+            lines.append(exact_check("staging", table, "malformed rows", "Rows have as many fields as the header.",
+                                     value=F.count_if(F.col(malformed).isNotNull())))
+        if keys := [c for c in PRESENTATION_KEY if c in columns]:
+            lines.append(exact_check("staging", table, "missing presentation keys", "Rows name a module and a presentation.",
+                                     value=_any_missing(keys)))
+        for column, kind in NUMBERS[table].items():
+            unread = is_present(column) & null_markers(column).try_cast(kind).isNull()
+            lines.append(exact_check("staging", table, f"unparsable {column}", "Present values are numbers.",
+                                     value=F.count_if(unread)))
+    return quality_report(tables, lines)
+
+
+def rules_gate(report: DataFrame) -> None:
+    """Raise if a rule of a rule report is broken, naming the rules."""
+    broken = report.where("violations > 0").orderBy("table_name", "rule").collect()  # at most one row per rule
+    if broken:
+        raise QualityError("; ".join(f"{r.table_name}: {r.rule} is broken by {r.violations:,} rows" for r in broken))
+
+
 def check_clean_layer(tables: Mapping[str, DataFrame]) -> None:
     gate(clean_gate_report(tables))
 

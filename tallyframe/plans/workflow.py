@@ -12,14 +12,25 @@ import argparse
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.operators.joins import star_audit
 from tallyframe.operators.quality import QualityError, gate, rule_report
 from tallyframe.plans import analytics, clean, marts, quality
 from tallyframe.schemas import FULL_DATA_ROWS, PRESENTATION_KEY, SOURCES
-from tallyframe.session import build_session
-from tallyframe.sinks import export_run_log, logged_write, quality_markdown, replace_table, write_quality, write_tier
+from tallyframe.session import build_session, release
+from tallyframe.sinks import (
+    export_run_log,
+    logged_write,
+    quality_markdown,
+    read_table,
+    replace_table,
+    write_quality,
+    write_text,
+    write_tier,
+)
+from tallyframe.sinks.runlog import read_run_log
 from tallyframe.sources import load_staging, preflight
 
 
@@ -51,6 +62,14 @@ class Run:
     def log(self) -> str:
         return f"{self.out_dir}/ops/etl_run_log"
 
+    def logged(self) -> bool:
+        try:
+            return not read_run_log(self.spark, self.log).isEmpty()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+
     def _write(
         self, layer: str, stage: str, name: str, plan: Callable[[], DataFrame], source: str | None = None
     ) -> None:
@@ -66,40 +85,34 @@ class Run:
         loaded = load_staging(self.spark, self.data_dir)
         for s in SOURCES:
             self._write("staging", "staging_load", s.table, lambda s=s: loaded[s.table], s.filename)
+        path = f"{self.out_dir}/ops/intake"
+        replace_table(quality.intake_report(self.tables), path)
+        gate(read_table(self.spark, path))
 
     def clean(self) -> None:
         """Tables written so far are what the next ones are built from."""
         t = self.tables
-        plans = {
-            "clean_module_presentation": lambda: clean.clean_module_presentation(t["stg_courses"]),
-            "clean_student": lambda: clean.clean_student(t["stg_student_info"]),
-            "clean_registration": lambda: clean.clean_registration(t["stg_student_info"], t["stg_student_registration"]),
-            "clean_assessment": lambda: clean.clean_assessment(t["stg_assessments"]),
-            "clean_vle_resource": lambda: clean.clean_vle_resource(t["stg_vle"]),
-            "clean_student_assessment": lambda: clean.clean_student_assessment(
-                t["stg_student_assessment"], t["clean_assessment"]
-            ),
-            "clean_student_vle_interaction": lambda: clean.clean_student_vle_interaction(t["stg_student_vle"]),
-        }
-        for name, plan in plans.items():
+        for name, plan in clean.clean_plans(t).items():
             self._write("clean", "clean_transform", name, plan)
         quality.check_clean_layer(t)
+        self._keep_rules("clean_rules", t, clean.CLEAN_RULES)
+
+    def _keep_rules(self, name: str, tables: Mapping[str, DataFrame], rules: Mapping) -> None:
+        """Store how often each rule is broken, and stop if one is."""
+        path = f"{self.out_dir}/ops/{name}"
+        replace_table(rule_report(tables, rules), path)
+        quality.rules_gate(read_table(self.spark, path))
 
     def analyse(self) -> None:
+        """The click totals per registration are stored first; the engagement table joins them."""
         t = self.tables
-        plans = {
-            "analytics_student_engagement": lambda: analytics.student_engagement(t),
-            "analytics_completion_by_presentation": lambda: analytics.completion_by_presentation(t).drop(
-                "successful_students"
-            ),
-            "analytics_assessment_performance": lambda: analytics.assessment_performance(t),
-            "analytics_engagement_by_result": lambda: analytics.engagement_by_result(t["analytics_student_engagement"]),
-        }
-        for name, plan in plans.items():
-            self._write("analytics", "analytics_build", name, plan)
-        quality.check_analytics_layer(t, quality.expected_rows(self.spark, self.known_rows()))
         for name, df in analytics.click_log_aggregates(t["clean_student_vle_interaction"]).items():
             write_tier(df, self.out_dir, "aggregates", name)
+        totals = read_table(self.spark, f"{self.out_dir}/aggregates/student_engagement_summary/parquet")
+        for name, plan in analytics.analytics_plans(t, totals).items():
+            self._write("analytics", "analytics_build", name, plan)
+        quality.check_analytics_layer(t, quality.expected_rows(self.spark, self.known_rows()))
+        self._keep_rules("analytics_rules", t, analytics.ANALYTICS_RULES)
 
     def known_rows(self) -> Mapping[str, int]:
         """Expected counts as given, or else those that follow from the stored source table."""
@@ -108,13 +121,13 @@ class Run:
         return {name: self.tables[source].count() for name, source in SAME_ROWS.items()}
 
     def report(self) -> str:
-        """Write the quality report and return it as Markdown."""
+        """Write the quality report as table, CSV and Markdown, and return the Markdown."""
         expectations = quality.expected_rows(self.spark, self.known_rows())
         stored = write_quality(quality.full_report(self.tables, expectations), f"{self.out_dir}/ops")
-        replace_table(rule_report(self.tables, clean.CLEAN_RULES | analytics.ANALYTICS_RULES), f"{self.out_dir}/ops/rules")
-        export_run_log(self.spark, self.log, f"{self.out_dir}/ops/run_log_csv")
+        text = quality_markdown(stored)
+        write_text(self.spark, f"{self.out_dir}/ops/data_quality_summary.md", text)
         gate(stored.withColumnRenamed("result_id", "check_order"))
-        return quality_markdown(stored)
+        return text
 
     def build_marts(self) -> None:
         """Dimensions first: facts look their keys up in the stored tables."""
@@ -156,15 +169,37 @@ class Run:
             ],
         )
 
+    def check_marts(self) -> None:
+        """Stop if a fact lost or gained rows, a mart rule is broken, or a fact key meets no dimension."""
+        path = f"{self.out_dir}/ops/mart_rows"
+        replace_table(marts.row_differences(self.tables), path)
+        wrong = read_table(self.spark, path).where("difference <> 0").orderBy("fact").collect()  # a row per fact
+        if wrong:
+            raise QualityError("; ".join(f"{r.fact}: {r.difference:+,} rows against its source" for r in wrong))
+        mart = {n.partition(".")[2]: df for n, df in self.tables.items() if n.startswith("engagement_mart.")}
+        self._keep_rules("mart_rules", mart, marts.ENGAGEMENT_MART_RULES)
+        unmatched = {k: n for k, n in self.audit_engagement_mart().first().asDict().items() if n}
+        if unmatched:
+            raise QualityError(f"facts without dimension: {unmatched}")
+
 
 def run(spark: SparkSession, data_dir: str, out_dir: str, expected: Mapping[str, int] | None = None) -> Run:
-    """Run all stages. With ``expected`` (rows by table), each load must match it."""
+    """Run all stages. With ``expected`` (rows by table), each load must match it.
+
+    A failed check stops the run before the next layer is built; the tables
+    published so far, the report of the check and the run log remain.
+    """
     job = Run(spark, data_dir, out_dir, expected or {})
-    job.stage()
-    job.clean()
-    job.analyse()
-    job.report()
-    job.build_marts()
+    try:
+        job.stage()
+        job.clean()
+        job.analyse()
+        job.report()
+        job.build_marts()
+        job.check_marts()
+    finally:  # the log is for failures too, once there is one
+        if job.logged():
+            export_run_log(spark, job.log, f"{out_dir}/ops/run_log_csv")
     return job
 
 
@@ -174,7 +209,9 @@ def main() -> None:
     parser.add_argument("out_dir")
     parser.add_argument("--full-data", action="store_true", help="require the row counts of the full data set")
     args = parser.parse_args()
-    run(build_session(), args.data_dir, args.out_dir, FULL_DATA_ROWS if args.full_data else None)
+    spark = build_session()
+    run(spark, args.data_dir, args.out_dir, FULL_DATA_ROWS if args.full_data else None)
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,8 +30,9 @@ def build_session(app_name: str = "tallyframe", master: str | None = None, **set
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder. A cluster
-    session without it is an error, since executors share no local disk.
+    A local session without the setting gets a folder that goes when Python
+    ends. A cluster session without it is an error, since executors share no
+    local disk.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -39,9 +42,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
+def release(spark: SparkSession) -> None:
+    """Delete this application's intermediate results, once nothing reads them any more."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/{sc.applicationId}")
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in this application's folder below the shared one."""
     return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.sinks.runlog import read_run_log
-from tallyframe.sinks.tables import replace_table
+from tallyframe.sinks.tables import read_table, replace_table, write_csv
 
 REPORT_COLUMNS = (
     "layer", "table_name", "check_name", "observed_value", "expectation", "status", "interpretation",
@@ -36,7 +36,7 @@ def write_quality(report: DataFrame, root: str) -> DataFrame:
     path = f"{root}/data_quality_results"
     stamped = report.withColumnRenamed("check_order", "result_id").withColumn("generated_at", F.current_timestamp())
     replace_table(stamped, path)
-    stored = report.sparkSession.read.schema(stamped.schema).parquet(path)
+    stored = read_table(report.sparkSession, path, stamped.schema)
     _single_csv(stored, f"{root}/data_quality_report_csv", "result_id", REPORT_COLUMNS)
     return stored
 
@@ -66,6 +66,5 @@ def quality_markdown(report: DataFrame, title: str = "Data-quality report") -> s
 
 
 def export_run_log(spark: SparkSession, log_path: str, out_path: str) -> None:
-    """The run log in id order as CSV."""
-    log = read_run_log(spark, log_path)
-    _single_csv(log, out_path, "log_id", log.columns)
+    """The run log in time order as CSV; a long one in several parts."""
+    write_csv(read_run_log(spark, log_path).orderBy("logged_at", "run_id", "log_id"), out_path)

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.sinks.tables import read_table, replace_table
-from tallyframe.sources import CountMismatch, literal_rows
+from tallyframe.sources import literal_rows
 
-MESSAGE_LENGTH = 500
 LOG_SCHEMA = (
-    "log_id bigint, pipeline_stage string, source_file string, target_table string, row_count bigint,"
+    "log_id bigint, run_id string, pipeline_stage string, source_file string, target_table string, row_count bigint,"
     " duration_seconds decimal(12,2), status string, message string"
 )
 
+_numbers: dict[tuple[str, str], itertools.count] = {}
+
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA + ", logged_at timestamp").parquet(path)
@@ -35,16 +36,14 @@ def log_run(
     message: str = "",
     source: str | None = None,
 ) -> None:
-    """Append one row to the run log; ids count up from 1."""
-    try:
-        last = read_run_log(spark, path).agg(F.max("log_id")).first()[0] or 0
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0  # the first row makes the log
-    row = (
-        last + 1, stage, source, target, rows, Decimal(f"{seconds:.2f}"), status, message[:MESSAGE_LENGTH],
-    )
+    """Append one row to the run log, with the whole message.
+
+    ``run_id`` is the application's; ``log_id`` counts its rows from 1, so runs
+    that write at the same time share no pair of both.
+    """
+    run = spark.sparkContext.applicationId
+    number = next(_numbers.setdefault((run, path), itertools.count(1)))
+    row = (number, run, stage, source, target, rows, Decimal(f"{seconds:.2f}"), status, message)
     (
         literal_rows(spark, [row], LOG_SCHEMA)
         .withColumn("logged_at", F.current_timestamp())
@@ -65,17 +64,16 @@ def logged_write(
     source: str | None = None,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Build a table, replace it, check its row count, log the outcome, and read it back.
+    """Build a table, publish it if its row count is right, log the outcome, and read it back.
 
     ``plan`` is called here, so that steps it runs by itself are timed and logged too.
     """
     started, rows = time.perf_counter(), None
     try:
         df = plan()
-        rows = replace_table(df, path, partition_by)
-        if expected_rows is not None and rows != expected_rows:
-            raise CountMismatch(f"wrote {rows:,} rows to {target} where {expected_rows:,} were due")
+        rows = replace_table(df, path, partition_by, expected_rows)
     except Exception as error:
+        rows = getattr(error, "rows", rows)
         log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "FAILED", str(error), source)
         raise
     message = "Rows written." if expected_rows is None else "Row count matched the expected count."

@@ -2,34 +2,96 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyframe.sources import CountMismatch
+
 TIERS = ("aggregates", "restricted")
+KEPT_VERSIONS = 2
+
+
+class PublishError(RuntimeError):
+    """Another writer published the version that this one meant to."""
+
+
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the published versions of a table, oldest first."""
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(folder) if f.isDirectory()]
+    return [f"{path}/{n}" for n in sorted(names) if n.startswith("version-")]
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace the Parquet table at ``path`` and return the rows written.
+def current_version(spark: SparkSession, path: str) -> str:
+    """The path that readers of a table should use: its newest published version."""
+    published = versions(spark, path)
+    if not published:
+        raise FileNotFoundError(f"no version of a table at {path}")
+    return published[-1]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small text file, replacing it."""
+    file, files = _folder(spark, path)
+    out = files.create(file, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), expected_rows: int | None = None) -> int:
+    """Write a new version of the Parquet table at ``path``, check it, publish it; returns its rows.
+
+    The version is written aside, and becomes visible by one rename after its
+    rows have been counted. If the write or the count fails, the old version
+    stays. The newest ``KEPT_VERSIONS`` remain for readers that still use one.
 
     The rows are counted by the writing tasks themselves, so there is no second
     pass, and a stage that is run again for a lost executor counts once.
     With ``partition_by``, rows of a partition are brought together first;
     adaptive execution splits a large partition over several files.
     """
+    spark = df.sparkSession
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return seen.get["rows"]
+    pending = f"{path}/.pending-{uuid.uuid4().hex}"
+    aside, files = _folder(spark, pending)
+    try:
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(pending)
+        rows = seen.get["rows"]
+        if expected_rows is not None and rows != expected_rows:
+            raise CountMismatch(f"wrote {rows:,} rows where {expected_rows:,} were due", rows)
+        published = versions(spark, path)
+        number = 1 + int(published[-1].rpartition("-")[2]) if published else 1
+        target, _ = _folder(spark, f"{path}/version-{number:08d}")
+        if files.exists(target) or not files.rename(aside, target):
+            raise PublishError(f"version {number} of {path} exists already")
+    except Exception:
+        files.delete(aside, True)
+        raise
+    for old in published[: max(0, len(published) + 1 - KEPT_VERSIONS)]:
+        files.delete(_folder(spark, old)[0], True)
+    return rows
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A stored table with its columns in the order of ``schema``."""
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The newest version of a stored table, with its columns in the order of ``schema`` if that is given."""
+    stored = current_version(spark, path)
+    return spark.read.parquet(stored) if schema is None else spark.read.schema(schema).parquet(stored).select(*schema.names)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -46,7 +108,7 @@ def write_tier(df: DataFrame, root: str, tier: str, name: str) -> int:
         raise ValueError(f"tier must be one of {TIERS}")
     base = f"{root}/{tier}/{name}"
     rows = replace_table(df, f"{base}/parquet")
-    write_csv(df.sparkSession.read.schema(df.schema).parquet(f"{base}/parquet"), f"{base}/csv")
+    write_csv(read_table(df.sparkSession, f"{base}/parquet", df.schema), f"{base}/csv")
     return rows
 
 

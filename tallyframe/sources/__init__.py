@@ -1,6 +1,7 @@
 """CSV and generated sources, header preflight and count gates."""
 
 from tallyframe.sources.files import (  # noqa: F401
+    MALFORMED,
     CountMismatch,
     assert_counts,
     load_staging,

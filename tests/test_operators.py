@@ -15,11 +15,12 @@ from tallyframe.operators.corrections import (
     apply_valid_corrections,
     correction_evidence,
     rejected_corrections,
+    rejected_rows,
     rows_corrected,
 )
 from tallyframe.operators.joins import has_orphans, orphan_counts, orphans, star_audit, star_denormalise, star_lookup
 from tallyframe.operators.ordering import first_per_key, running_total, surrogate_key, top_k
-from tallyframe.operators.quality import Check, ForeignKey, NotNull, Unique, violations
+from tallyframe.operators.quality import Check, ForeignKey, NotNull, Unique, one_of, violations
 
 
 @pytest.fixture(scope="module")
@@ -137,6 +138,9 @@ def test_string_list_is_distinct_and_ordered(spark):
     assert rows(agg.string_list(df, ["k"], "v", "s", " | ")) == [(1, "a | b"), (2, "x")]
     placed = df.withColumn("o", F.when(F.col("v") == "a", 2).otherwise(1))
     assert rows(agg.string_list(placed, ["k"], "v", "s", " | ", "o")) == [(1, "b | a"), (2, "x")]
+    assert rows(agg.string_list(placed, ["k"], "v", "s", "'", "o", distinct=False)) == [(1, "b'b'a"), (2, "x")]
+    nulls = spark.createDataFrame([(1, None), (1, "a"), (2, None)], "k int, v string")
+    assert rows(agg.string_list(nulls, ["k"], "v", "s")) == [(1, "a"), (2, None)]
 
 
 def test_top_k(spark):
@@ -213,6 +217,31 @@ def test_repeated_fixes_never_multiply_rows(spark, marks):
     assert apply_valid_corrections(marks, batch.drop("at"), KEY, VALID).count() == 3
 
 
+def test_every_fix_is_judged_before_one_is_chosen(spark, marks):
+    batch = fixes(spark, (1752, 11, -5), (1752, 11, 85), (1752, 12, 85), (1752, 12, 120))
+    assert rows(apply_valid_corrections(marks, batch, KEY, VALID)) == [(1752, 11, 85), (1752, 12, 85), (1753, 11, None)]
+    name = "score within 0 to 100"
+    assert rows(rejected_corrections(marks, batch, KEY, VALID)) == [(1752, 11, -5, name), (1752, 12, 120, name)]
+    stamped = spark.createDataFrame([(1752, 11, 85, 1), (1752, 11, 60, 2), (1752, 11, 101, 3)], "a int, s int, score int, t int")
+    assert rows(apply_valid_corrections(marks, stamped, KEY, VALID, [F.desc("t")]))[0] == (1752, 11, 60)
+    assert rows(rejected_corrections(marks, stamped, KEY, VALID)) == [(1752, 11, 101, 3, name)]
+
+
+def test_bad_row_takes_no_good_one_with_it(spark, marks):
+    rules = [Unique(("a", "s")), *VALID]
+    new = fixes(spark, (7, 10, 10), (7, 10, 500), (8, 1, 1), (8, 1, 2))
+    assert rows(append_valid(marks, new, rules).subtract(marks)) == [(7, 10, 10)]
+    assert rows(rejected_rows(marks, new, rules)) == [
+        (7, 10, 500, "score within 0 to 100"), (8, 1, 1, "unique: a, s"), (8, 1, 2, "unique: a, s"),
+    ]
+
+
+def test_labels_with_quotes(spark):
+    df = spark.createDataFrame([("O'Brien",), ('a"b',), ("c\\d",), ("x",)], "v string")
+    known = Check("known", one_of("v", ["O'Brien", 'a"b', "c\\d"]))
+    assert [r.v for r in violations(df, known).collect()] == ["x"]
+
+
 def test_evidence(spark, marks):
     after = apply_corrections(marks, fixes(spark, (1752, 11, 85)), KEY)
     assert one(correction_evidence(marks, after, marks, KEY)) == {

@@ -18,7 +18,9 @@ from tallyframe.sinks import (
 )
 from tallyframe.sinks.runlog import read_run_log
 from tallyframe.sinks.tables import read_table
+from tallyframe.operators import profile
 from tallyframe.sources import (
+    MALFORMED,
     CountMismatch,
     assert_counts,
     day_range,
@@ -37,8 +39,9 @@ def test_staging_reads_line_ends_and_bom(spark, tmp_path, newline, bom):
         "stg_courses": 2, "stg_assessments": 3, "stg_vle": 3, "stg_student_info": 6,
         "stg_student_registration": 6, "stg_student_assessment": 8, "stg_student_vle": 20,
     }
-    assert rows(stg["stg_courses"]) == [("AAA", "2013J", "268"), ("BBB", "2014B", "240")]
+    assert rows(stg["stg_courses"].drop(MALFORMED)) == [("AAA", "2013J", "268"), ("BBB", "2014B", "240")]
     assert all(f.dataType == StringType() for df in stg.values() for f in df.schema)
+    assert all(r[MALFORMED] is None for df in stg.values() for r in df.collect())
 
 
 def test_quoted_comma(spark, tmp_path):
@@ -73,7 +76,7 @@ def test_preflight_accepts_folders_of_parts(spark, tmp_path):
     stg = load_staging(spark, raw_files.write(tmp_path / "raw"))
     parts = str(tmp_path / "parts")
     for name, source in SOURCE_BY_TABLE.items():
-        stg[name].repartition(2).write.option("header", True).csv(f"{parts}/{source.filename}")
+        stg[name].drop(MALFORMED).repartition(2).write.option("header", True).csv(f"{parts}/{source.filename}")
     assert {r.status for r in preflight(spark, parts).collect()} == {"OK"}
 
 
@@ -96,7 +99,7 @@ def test_replace_table_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert replace_table(spark.range(7), path) == 7
     assert replace_table(spark.range(3), path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert read_table(spark, path).count() == 3
 
 
 def test_partitioned_table_keeps_columns_and_rows(spark, tmp_path):
@@ -104,7 +107,59 @@ def test_partitioned_table_keeps_columns_and_rows(spark, tmp_path):
     assert replace_table(df, path, ["k"]) == 10
     back = read_table(spark, path, df.schema)
     assert back.columns == ["k", "id"] and rows(back) == rows(df)
-    assert len(list((tmp_path / "t").glob("k=*"))) == 2
+    assert len(list((tmp_path / "t").glob("version-00000001/k=*"))) == 2
+
+
+def test_failed_replace_leaves_the_published_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert replace_table(spark.range(3), path, expected_rows=3) == 3
+    reader = read_table(spark, path)
+    with pytest.raises(CountMismatch, match="wrote 1 rows where 3 were due"):
+        replace_table(spark.range(1), path, expected_rows=3)
+    with pytest.raises(Exception, match="no such row"):
+        replace_table(spark.range(5).select(F.raise_error(F.lit("no such row")).cast("bigint").alias("id")), path)
+    assert read_table(spark, path).count() == 3 and not list((tmp_path / "t").glob(".pending-*"))
+    replace_table(spark.range(9), path)
+    assert reader.count() == 3 and read_table(spark, path).count() == 9  # a reader keeps its version
+    replace_table(spark.range(10), path)
+    assert [p.name for p in sorted((tmp_path / "t").glob("version-*"))] == ["version-00000002", "version-00000003"]
+
+
+def test_doubled_quotes_and_malformed_rows(spark, tmp_path):
+    lines = ['1,AAA,2013J,"A ""x"", y",,', "2,AAA,2013J,page,,,surplus", "3,AAA,2013J", "4,BBB,2014B,quiz,1,2"]
+    folder = raw_files.write(tmp_path, {"vle.csv": lines})
+    vle = load_staging(spark, folder)["stg_vle"]
+    got = {r.id_site: (r.activity_type, r[MALFORMED]) for r in vle.collect()}
+    assert got["1"] == ('A "x", y', None) and got["4"] == ("quiz", None)
+    assert got["2"][1] == lines[1] and got["3"][1] == lines[2]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, f"{folder}/vle.csv", SOURCE_BY_TABLE["stg_vle"].text_schema).collect()
+
+
+def test_line_end_inside_quotes(spark, tmp_path):
+    folder = raw_files.write(tmp_path, {"vle.csv": ['1,AAA,2013J,"two\nlines",,']})
+    schema = SOURCE_BY_TABLE["stg_vle"].text_schema
+    assert [r.activity_type for r in read_csv(spark, f"{folder}/vle.csv", schema, multi_line=True).collect()] == ["two\nlines"]
+    assert sum(r[MALFORMED] is not None for r in load_staging(spark, folder)["stg_vle"].collect()) == 2
+
+
+def test_every_part_needs_the_header(spark, tmp_path):
+    folder = tmp_path / "raw"
+    raw_files.write(folder, {"courses.csv": None})
+    parts = folder / "courses.csv"
+    parts.mkdir()
+    (parts / "part-0.csv").write_text(raw_files.HEADERS["courses.csv"] + "\nAAA,2013J,268\n")
+    (parts / "part-1.csv").write_text("code_presentation,code_module,module_presentation_length\n2014B,BBB,240\n")
+    report = {r.file: r for r in preflight(spark, str(folder)).collect()}["courses.csv"]
+    assert report.status == "INVALID COLUMNS" and report.found.startswith("code_presentation")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_staging(spark, str(folder))["stg_courses"].collect()
+    assert {r.status for r in preflight(spark, str(tmp_path / "none")).collect()} == {"MISSING"}
+
+
+def test_unparsable_values_are_counted(spark):
+    df = literal_rows(spark, [("abc", "1"), ("78.5", "?"), (" 7 ", None), ("", "2.5")], "score string, weight string")
+    assert rows(profile.unparsable(df, {"score": "bigint", "weight": "decimal(5,2)"})) == [("score", 2), ("weight", 0)]
 
 
 def test_literal_rows_are_small_to_the_planner(spark):
@@ -117,7 +172,7 @@ def test_literal_rows_are_small_to_the_planner(spark):
 
 def test_tiers_keep_both_formats(spark, tmp_path):
     assert write_tier(spark.range(3), str(tmp_path), "aggregates", "x") == 3
-    assert spark.read.parquet(str(tmp_path / "aggregates/x/parquet")).count() == 3
+    assert read_table(spark, str(tmp_path / "aggregates/x/parquet")).count() == 3
     assert spark.read.option("header", True).csv(str(tmp_path / "aggregates/x/csv")).columns == ["id"]
     with pytest.raises(ValueError):
         write_tier(spark.range(3), str(tmp_path), "public", "x")
@@ -132,7 +187,8 @@ def test_run_log(spark, tmp_path):
     log_run(spark, log, "staging_load", "v", 1, 0.5, "SUCCESS", "m" * 600, source="v.csv")
     stored = rows(read_run_log(spark, log).select("log_id", "target_table", "row_count", "status"), "log_id")
     assert stored == [(1, "t", 4, "SUCCESS"), (2, "u", 4, "FAILED"), (3, "v", 1, "SUCCESS")]
-    assert read_run_log(spark, log).where("log_id = 3").first().message == "m" * 500
+    assert read_run_log(spark, log).where("log_id = 3").first().message == "m" * 600
+    assert read_run_log(spark, log).select("run_id").distinct().count() == 1
     export_run_log(spark, log, out)
     exported = spark.read.option("header", True).csv(out)
     assert exported.columns[0] == "log_id" and [r.log_id for r in exported.collect()] == ["1", "2", "3"]

@@ -106,14 +106,27 @@ def _(spark, d):
     + """, dim_date AS (
       SELECT CAST(d AS BIGINT) AS date_key, CAST(trunc(d / 7.0) AS BIGINT) AS week_number, d < 0 AS is_before_start
       FROM range(-150, 301) t(d))
-    SELECT week_number, is_before_start, CAST(sum(clicks) AS BIGINT) AS total_clicks, count(DISTINCT date_key) AS days
-    FROM clean JOIN dim_date ON day = date_key GROUP BY ALL""",
+    SELECT week_number, is_before_start, CAST(sum(clicks) AS BIGINT) AS total_clicks, count(DISTINCT day) AS days,
+      date_key IS NULL AS outside_dimension
+    FROM clean LEFT JOIN dim_date ON day = date_key GROUP BY ALL""",
 )
 def _(spark, d):
-    joined = consolidated(spark, d).join(dim_date(spark), F.col("day") == F.col("date_key"))
-    return joined.groupBy("week_number", "is_before_start").agg(
-        F.sum("clicks").alias("total_clicks"), F.countDistinct("date_key").alias("days")
-    )
+    """Days beyond the dimension's range are counted in a group of their own."""
+    joined = consolidated(spark, d).join(dim_date(spark), F.col("day") == F.col("date_key"), "left")
+    groups = ["week_number", "is_before_start", F.col("date_key").isNull().alias("outside_dimension")]
+    return joined.groupBy(*groups).agg(F.sum("clicks").alias("total_clicks"), F.countDistinct("day").alias("days"))
+
+
+@query(
+    "dim_date",
+    """SELECT CAST(d AS BIGINT) AS date_key, CAST(CASE WHEN d < 0 THEN -((-d) // 7) ELSE d // 7 END AS BIGINT) AS week_number,
+      d < 0 AS is_before_start, (SELECT count(*) FROM events WHERE date_diff('day', DATE '2024-01-08', CAST(ts AS DATE)) = d) AS events
+    FROM range(-150, 301) t(d)""",
+)
+def _(spark, d):
+    """The date dimension with the number of events of each day."""
+    per_day = clicks(spark, d).groupBy(F.col("day").alias("date_key")).agg(F.count(F.lit(1)).alias("events"))
+    return dim_date(spark).join(per_day, "date_key", "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
 MART_SQL = (

@@ -9,8 +9,8 @@ from tallyframe.plans import analytics, clean, marts, profiling, quality
 from tallyframe.schemas import PRESENTATION_KEY
 from tallyframe.session import materialise
 from workload.registry import doubles, query
-from workload.staging_sql import LAYERS, rounded_mean, rounded_pct
-from workload.tables import Plans, enrolments, layers, order_lines, staging
+from workload.staging_sql import LAYERS, flawed_sql, rounded_mean, rounded_pct
+from workload.tables import Plans, enrolments, flawed, layers, order_lines, staging
 
 
 def sql(body: str, *ctes: str) -> str:
@@ -188,7 +188,7 @@ def _(spark, d):
     "presentation_trend",
     sql(
         """SELECT * FROM trend WHERE code_module = 'AAA' AND code_presentation = '1996J'
-        ORDER BY presentation_week LIMIT 15""",
+        ORDER BY presentation_week""",
         TREND,
     ),
 )
@@ -219,14 +219,14 @@ def _register_profiles(table):
     def _(spark, d):
         return profiling.missing_values(staging(spark, d), table)
 
-    keys = ", ".join(profiling.RAW_KEYS[table])
+    keys = ", ".join(k if k == "date" else f"trim({k}) AS {k}" for k in profiling.RAW_KEYS[table])
 
     @query(
         f"repeated_{table}",
-        sql(f"SELECT {keys}, count(*) AS number_of_records FROM {table} GROUP BY ALL HAVING count(*) > 1"),
+        flawed_sql(f"SELECT {keys}, count(*) AS number_of_records FROM {table} GROUP BY ALL HAVING count(*) > 1"),
     )
     def _(spark, d):
-        return profiling.repeated_keys(staging(spark, d), table)
+        return profiling.repeated_keys(flawed(spark, d), table)
 
 
 for _name in quality.STAGING_TABLES:
@@ -236,30 +236,27 @@ for _name in quality.STAGING_TABLES:
 def _register_unknown(table):
     @query(
         f"unknown_presentations_{table}",
-        sql(
-            f"""SELECT code_module, code_presentation, count(*) AS unmatched_records FROM {table} t
-            WHERE NOT EXISTS (FROM stg_courses c WHERE c.code_module = t.code_module
+        flawed_sql(
+            f"""SELECT trim(code_module) AS code_module, code_presentation, count(*) AS unmatched_records FROM {table} t
+            WHERE NOT EXISTS (FROM stg_courses c WHERE c.code_module = trim(t.code_module)
               AND c.code_presentation = t.code_presentation) GROUP BY ALL"""
         ),
     )
     def _(spark, d):
-        return profiling.unknown_presentations(staging(spark, d), table)
+        return profiling.unknown_presentations(flawed(spark, d), table)
 
 
 for _name in ("stg_assessments", "stg_vle", "stg_student_info"):
     _register_unknown(_name)
 
 
-def _profile(name, body, function=None, rounded=()):
-    @query(name, sql(body))
+def _profile(name, body, function=None, rounded=(), tables=staging, over=sql):
+    @query(name, over(body))
     def _(spark, d):
-        return doubles((function or getattr(profiling, name))(_bare(staging(spark, d))), *rounded)
+        return doubles((function or getattr(profiling, name))(tables(spark, d)), *rounded)
 
 
-def _bare(stg):
-    """Enrolment rows with their padding removed, as the raw joins compare text as it stands."""
-    trimmed = {c: F.trim(c) for c in ("code_module", "id_student")}
-    return stg.also({"stg_student_info": lambda _: stg["stg_student_info"].withColumns(trimmed)})
+FLAWED = {"tables": flawed, "over": flawed_sql}
 
 
 INFO = """(SELECT * REPLACE (trim(code_module) AS code_module, trim(id_student) AS id_student) FROM stg_student_info)"""
@@ -271,6 +268,7 @@ _profile(
     f"""SELECT * FROM stg_courses WHERE NOT regexp_matches(trim(code_module), '^[A-Z]{{3}}$')
     OR NOT regexp_matches(trim(code_presentation), '^[0-9]{{4}}[BJ]$')
     OR NOT regexp_matches(trim(module_presentation_length), '^[0-9]+$') OR coalesce({LENGTH}, 0) <= 0""",
+    **FLAWED,
 )
 _profile(
     "course_summary",
@@ -299,6 +297,7 @@ _profile(
     f"""SELECT code_module, code_presentation, id_assessment, assessment_type, {number('date')} AS deadline_day,
     {LENGTH} AS length_days FROM stg_assessments JOIN stg_courses USING (code_module, code_presentation)
     WHERE {number('date')} < 0 OR {number('date')} > {LENGTH}""",
+    **FLAWED,
 )
 _profile(
     "week_pairs",
@@ -373,13 +372,17 @@ _profile(
     (SELECT count(*) FROM {INFO} s WHERE NOT EXISTS (FROM stg_student_registration r WHERE s.id_student = r.id_student
       AND s.code_module = r.code_module AND s.code_presentation = r.code_presentation)) AS student_info_without_registration""",
 )
-# The padded text of the enrolment table matches nothing when it is compared as it stands.
-_padded_sides = f"""SELECT
-    (SELECT count(*) FROM stg_student_registration) AS registrations_without_student_info,
-    (SELECT count(*) FROM stg_student_info) AS student_info_without_registration"""
+# The enrolment table is padded, the registration table is not; the operator compares cleaned keys.
+PADDED_SIDES = [
+    f"{name} AS (SELECT trim(id_student) AS s, trim(code_module) AS m, trim(code_presentation) AS p FROM {table})"
+    for name, table in (("r", "stg_student_registration"), ("i", "stg_student_info"))
+]
+PADDED_COUNTS = """SELECT
+    (SELECT count(*) FROM r ANTI JOIN i USING (s, m, p)) AS registrations_without_student_info,
+    (SELECT count(*) FROM i ANTI JOIN r USING (s, m, p)) AS student_info_without_registration"""
 
 
-@query("registration_mismatches_padded", sql(_padded_sides))
+@query("registration_mismatches_padded", sql(PADDED_COUNTS, *PADDED_SIDES))
 def _(spark, d):
     return profiling.registration_mismatches(staging(spark, d))
 
@@ -427,12 +430,14 @@ _profile(
     LEFT JOIN stg_student_registration sr ON sa.id_student = sr.id_student AND a.code_module = sr.code_module
       AND a.code_presentation = sr.code_presentation
     WHERE sr.id_student IS NULL GROUP BY a.code_module, a.code_presentation""",
+    **FLAWED,
 )
 _profile(
     "results_without_assessment",
     """SELECT sa.id_assessment, count(*) AS unmatched_records FROM stg_student_assessment sa
     LEFT JOIN stg_assessments a ON sa.id_assessment = a.id_assessment
     WHERE a.id_assessment IS NULL GROUP BY sa.id_assessment""",
+    **FLAWED,
 )
 LATE = f"""late AS (
   SELECT sa.id_student, sa.id_assessment, a.code_module, a.code_presentation, a.assessment_type, sa.date_submitted,
@@ -674,7 +679,7 @@ def _gate_sql(lines):
 
 @query(
     "clean_gate",
-    sql(
+    flawed_sql(
         _gate_sql(
             [
                 ("nonpositive click totals", _count("clean_student_vle_interaction", "sum_click <= 0"), "0"),
@@ -687,7 +692,7 @@ def _gate_sql(lines):
     ),
 )
 def _(spark, d):
-    t = _written(layers(spark, d), "clean_student_vle_interaction")
+    t = _written(layers(spark, d, flawed(spark, d)), "clean_student_vle_interaction")
     return quality.clean_gate_report(t).select("check_name", "observed_value", "status")
 
 
@@ -714,12 +719,42 @@ def _(spark, d):
     return report.select("check_name", "observed_value", "status")
 
 
+# When a row breaks the rule of a name, written here anew in SQL.
+BROKEN = {
+    "length above zero": "module_presentation_length < 1",
+    "known gender": "gender <> 'M' AND gender <> 'F'",
+    "known disability flag": "disability <> 'Y' AND disability <> 'N'",
+    "known deprivation band": "NOT regexp_matches(imd_band, '^([1-8]0|0)-[1-9]0%$|^90-100%$') OR imd_band = '0-20%'",
+    "known age band": "age_band <> '0-35' AND age_band <> '35-55' AND age_band <> '55<='",
+    "attempts not negative": "num_of_prev_attempts < 0",
+    "credits above zero": "studied_credits < 1",
+    "known result": "final_result NOT IN ('Pass', 'Fail', 'Withdrawn', 'Distinction')",
+    "unregistered after registering": "date_registration > date_unregistration",
+    "known assessment type": "assessment_type NOT IN ('Exam', 'CMA', 'TMA')",
+    "weight within 0 to 100": "weight < 0 OR weight > 100",
+    "weeks both missing or in order": "(week_from IS NULL) <> (week_to IS NULL) OR week_from < 0 OR week_from > week_to",
+    "banked flag 0 or 1": "is_banked < 0 OR is_banked > 1",
+    "score within 0 to 100": "score < 0 OR score > 100",
+    "clicks above zero": "sum_click < 1",
+    "clicks not negative": "total_clicks < 0",
+    "days not negative": "active_days < 0",
+    "resources not negative": "resources_used < 0",
+    "submissions not negative": "assessment_submissions < 0",
+    "mean score within 0 to 100": "average_score < 0 OR average_score > 100",
+    "rate within 0 to 100": "successful_completion_rate_pct < 0 OR successful_completion_rate_pct > 100",
+    "banked rate within 0 to 100": "banked_result_rate_pct < 0 OR banked_result_rate_pct > 100",
+    "known term": "presentation_term <> 'B' AND presentation_term <> 'J'",
+    "age order 1 to 3": "age_band_order < 1 OR age_band_order > 3",
+    "success flag 0 or 1": "successful_completion < 0 OR successful_completion > 1",
+}
+
+
 def _violations_sql(table, rule):
     """The number of rows of ``table`` that break a rule, in SQL."""
     if isinstance(rule, NotNull):
         return _count(table, " OR ".join(f"{c} IS NULL" for c in rule.columns))
     if isinstance(rule, Check):
-        return _count(table, f"NOT coalesce({rule.condition}, true)")
+        return _count(table, BROKEN[rule.name])
     keys = ", ".join(rule.keys)
     if isinstance(rule, ForeignKey):
         pairs = zip(rule.parent_keys or rule.keys, rule.keys, strict=True)
@@ -737,9 +772,10 @@ def _rules_sql(rules):
     )
 
 
-@query("clean_rules", sql(_rules_sql(clean.CLEAN_RULES)))
+@query("clean_rules", flawed_sql(_rules_sql(clean.CLEAN_RULES)))
 def _(spark, d):
-    return rule_report(_all_layers(spark, d), clean.CLEAN_RULES)
+    t = _written(layers(spark, d, flawed(spark, d)), *quality.CLEAN_TABLES)
+    return rule_report(t, clean.CLEAN_RULES)
 
 
 ENGAGEMENT_SCORED = "engagement_scored AS (SELECT *, score_cents / 100 AS average_score FROM analytics_student_engagement)"

@@ -23,6 +23,7 @@ from tallyframe.operators.corrections import (
     apply_valid_corrections,
     correction_evidence,
     rejected_corrections,
+    rejected_rows,
     rows_corrected,
 )
 from tallyframe.operators.joins import (
@@ -628,6 +629,16 @@ def _(spark, d):
     return agg.string_list(table(spark, d, "orders"), ["o_custkey"], entry, "history", " | ")
 
 
+@query(
+    "string_list_all",
+    """SELECT o_custkey, string_agg(o_orderpriority || ': ' || o_orderstatus, ' | '
+      ORDER BY o_orderdate, o_orderpriority || ': ' || o_orderstatus) AS history FROM orders GROUP BY o_custkey""",
+)
+def _(spark, d):
+    entry = composite("o_orderpriority", "o_orderstatus", sep=": ")
+    return agg.string_list(table(spark, d, "orders"), ["o_custkey"], entry, "history", " | ", "o_orderdate", distinct=False)
+
+
 @query(
     "group_by_expr",
     "SELECT CAST(floor(o_totalprice / 50000) AS BIGINT) AS price_class, count(*) AS orders FROM orders GROUP BY ALL",
@@ -762,6 +773,25 @@ RULES = {
 }
 
 
+@query(
+    "unparsable_values",
+    """WITH t AS (SELECT CASE WHEN l_linenumber = 7 THEN l_returnflag WHEN l_linenumber = 6 THEN '?'
+        WHEN l_linenumber = 5 THEN ' ' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' ' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity,
+      CASE WHEN l_discount > 0.05 THEN CAST(l_linenumber AS VARCHAR) || '.5x' ELSE CAST(l_linenumber AS VARCHAR) || '.5' END AS part
+      FROM lineitem)
+    SELECT 'quantity' AS column_name, count(*) FILTER (trim(quantity) NOT IN ('', '?')
+      AND NOT regexp_matches(trim(quantity), '^[+-]?[0-9]+$')) AS unparsable_values FROM t
+    UNION ALL SELECT 'part', count(*) FILTER (part LIKE '%x') FROM t""",
+)
+def _(spark, d):
+    number = F.col("l_quantity").cast("bigint").cast("string")
+    line = F.col("l_linenumber")
+    quantity = F.when(line == 7, F.col("l_returnflag")).when(line == 6, "?").when(line == 5, F.concat(F.lit(" "), number, F.lit(" ")))
+    half = F.concat(line.cast("string"), F.when(F.col("l_discount") > 0.05, ".5x").otherwise(".5"))
+    text = table(spark, d, "lineitem").select(quantity.otherwise(number).alias("quantity"), half.alias("part"))
+    return profile.unparsable(text, {"quantity": "bigint", "part": "decimal(5,2)"})
+
+
 @query(
     "rule_report",
     """SELECT 'lineitem' AS table_name, 'not null: l_orderkey, l_linenumber' AS rule,
@@ -842,6 +872,47 @@ def _(spark, d):
     return rows_corrected(table(spark, d, "customer"), _fixes(spark), ["c_custkey"])
 
 
+PROPOSALS_SQL = """WITH proposals AS (
+  SELECT o_custkey AS c_custkey, o_orderkey, o_orderdate AS made,
+    CASE WHEN o_orderstatus = 'O' THEN 'NO SUCH SEGMENT' WHEN o_orderkey % 2 = 0 THEN 'FURNITURE' ELSE 'BUILDING' END AS c_mktsegment
+  FROM orders)
+"""
+
+
+def _proposals(spark, d):
+    """A fix per order, so several per customer, some of them invalid; the order's date is their time stamp."""
+    even = F.when(F.col("o_orderkey") % 2 == 0, "FURNITURE").otherwise("BUILDING")
+    segment = F.when(F.col("o_orderstatus") == "O", "NO SUCH SEGMENT").otherwise(even)
+    return table(spark, d, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), segment.alias("c_mktsegment"), "o_orderkey", F.col("o_orderdate").alias("made")
+    )
+
+
+@query(
+    "corrections_several_per_key",
+    PROPOSALS_SQL
+    + """, latest AS (
+      SELECT c_custkey, max_by(c_mktsegment, (made, o_orderkey)) AS segment FROM proposals WHERE c_mktsegment <> 'NO SUCH SEGMENT'
+      GROUP BY c_custkey)
+    SELECT c.c_custkey, c_name, coalesce(segment, c_mktsegment) AS c_mktsegment FROM customer c LEFT JOIN latest USING (c_custkey)""",
+)
+def _(spark, d):
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    order = [F.desc("made"), F.desc("o_orderkey")]
+    return apply_valid_corrections(customers, _proposals(spark, d), ["c_custkey"], [SEGMENT_CHECK], order)
+
+
+@query(
+    "rejected_several_per_key",
+    PROPOSALS_SQL
+    + """SELECT c_custkey, p.c_mktsegment, o_orderkey, 'known segment' AS broken_rule
+    FROM proposals p JOIN customer USING (c_custkey) WHERE p.c_mktsegment = 'NO SUCH SEGMENT'""",
+)
+def _(spark, d):
+    customers = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    return rejected_corrections(customers, _proposals(spark, d), ["c_custkey"], [SEGMENT_CHECK]).drop("made")
+
+
 def _new_orders(spark):
     """A good row, an unknown customer, a used key, and a key that occurs twice."""
     rows = [(-1, 1, "O"), (-2, -5, "O"), (0, 1, "F"), (-3, 2, "P"), (-3, 3, "P"), (-4, 2, "X")]
@@ -864,6 +935,56 @@ def _(spark, d):
     return append_valid(orders, _new_orders(spark), ORDER_RULES, {"customer": table(spark, d, "customer")})
 
 
+PARTLY_SQL = """WITH new_orders AS (
+  SELECT -o_orderkey - 1 AS o_orderkey, o_custkey, o_orderstatus FROM orders
+  UNION ALL SELECT -o_orderkey - 1, o_custkey, 'X' FROM orders WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT -o_orderkey - 1, -o_custkey - 1, 'O' FROM orders WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT -o_orderkey - 1, o_custkey, 'P' FROM orders WHERE o_orderkey % 7 = 0
+  UNION ALL SELECT o_orderkey, o_custkey, 'F' FROM orders WHERE o_orderkey % 11 = 0),
+judged AS (
+  SELECT n.*, CASE WHEN c_custkey IS NULL THEN 'reference: o_custkey in customer'
+    WHEN o_orderstatus NOT IN ('F', 'O', 'P') THEN 'known status' END AS broken
+  FROM new_orders n LEFT JOIN customer ON c_custkey = o_custkey),
+counted AS (SELECT *, count(*) FILTER (broken IS NULL) OVER (PARTITION BY o_orderkey) AS n FROM judged),
+final AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN broken IS NOT NULL THEN broken
+    WHEN n > 1 OR o_orderkey IN (SELECT o_orderkey FROM orders) THEN 'unique: o_orderkey' END AS broken_rule
+  FROM counted)
+"""
+
+
+def _partly_valid(spark, d):
+    """For each order a good new row, and for some a bad status, an unknown customer, a second good row or a used key."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    every = lambda n: orders.where(F.col("o_orderkey") % n == 0)
+    fresh = -F.col("o_orderkey") - 1
+    rows = [
+        orders.withColumn("o_orderkey", fresh),
+        every(3).withColumns({"o_orderkey": fresh, "o_orderstatus": F.lit("X")}),
+        every(5).withColumns({"o_orderkey": fresh, "o_custkey": -F.col("o_custkey") - 1, "o_orderstatus": F.lit("O")}),
+        every(7).withColumns({"o_orderkey": fresh, "o_orderstatus": F.lit("P")}),
+        every(11).withColumn("o_orderstatus", F.lit("F")),
+    ]
+    return orders, union_all(rows), {"customer": table(spark, d, "customer")}
+
+
+@query(
+    "append_partly_valid",
+    PARTLY_SQL
+    + """SELECT o_orderkey, o_custkey, o_orderstatus FROM final WHERE broken_rule IS NULL
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders""",
+)
+def _(spark, d):
+    orders, new, tables = _partly_valid(spark, d)
+    return append_valid(orders, new, ORDER_RULES, tables)
+
+
+@query("rows_rejected", PARTLY_SQL + "SELECT * FROM final WHERE broken_rule IS NOT NULL")
+def _(spark, d):
+    orders, new, tables = _partly_valid(spark, d)
+    return rejected_rows(orders, new, ORDER_RULES, tables)
+
+
 @query(
     "correction_evidence",
     """SELECT count(*) AS rows_before, count(*) + 1 AS rows_after, CAST(1 AS BIGINT) AS rows_foreign_to_source

@@ -170,3 +170,51 @@ analytics_engagement_by_result AS (
   FROM analytics_student_engagement GROUP BY ALL)"""
 
 LAYERS = "WITH" + STAGING + "," + CLEAN + "," + ANALYTICS
+
+# The staging tables with rows that break their rules.
+FLAWS = """
+f_stg_courses AS (
+  SELECT * FROM stg_courses
+  UNION ALL SELECT * FROM stg_courses WHERE code_module = 'AAA'
+  UNION ALL SELECT lower(code_module), code_presentation || 'X', 'none' FROM stg_courses WHERE code_module = 'BBB'
+  UNION ALL SELECT 'YYY', code_presentation, '0' FROM stg_courses WHERE code_module = 'CCC'),
+f_stg_assessments AS (
+  SELECT * FROM stg_assessments
+  UNION ALL SELECT * FROM stg_assessments WHERE code_module = 'AAA' AND assessment_type = 'Exam'
+  UNION ALL SELECT code_module, code_presentation, id_assessment || '7', 'Essay', '900', '150' FROM stg_assessments
+    WHERE code_module = 'BBB' AND assessment_type = 'CMA'
+  UNION ALL SELECT 'ZZZ', code_presentation, id_assessment || '8', assessment_type, date, NULL FROM stg_assessments
+    WHERE code_module = 'CCC' AND assessment_type = 'TMA'),
+f_stg_vle AS (
+  SELECT * FROM stg_vle
+  UNION ALL SELECT * FROM stg_vle WHERE code_module = 'AAA' AND activity_type = 'quiz'
+  UNION ALL SELECT id_site || '7', 'ZZZ', code_presentation, NULL, '9', '2' FROM stg_vle
+    WHERE code_module = 'BBB' AND activity_type = 'home'),
+f_stg_student_info AS (
+  SELECT * FROM stg_student_info
+  UNION ALL SELECT * FROM stg_student_info WHERE final_result = 'Distinction'
+  UNION ALL SELECT 'ZZZ', code_presentation, id_student, 'X', region, highest_education, '5-15%', '20-30', '-1', '0', 'Q', 'Left'
+    FROM stg_student_info WHERE final_result = 'Withdrawn'
+  UNION ALL SELECT code_module, code_presentation, '-' || trim(id_student), NULL, NULL, highest_education, imd_band, age_band,
+    num_of_prev_attempts, studied_credits, disability, final_result FROM stg_student_info WHERE age_band = '55<='),
+f_stg_student_registration AS (
+  SELECT * FROM stg_student_registration
+  UNION ALL SELECT * FROM stg_student_registration WHERE date_unregistration <> '?' AND code_module = 'AAA'
+  UNION ALL SELECT 'ZZZ', code_presentation, id_student, '10', '5' FROM stg_student_registration WHERE date_unregistration <> '?'),
+f_stg_student_assessment AS (
+  SELECT * FROM stg_student_assessment
+  UNION ALL SELECT * FROM stg_student_assessment WHERE is_banked = '1'
+  UNION ALL SELECT id_assessment, '-' || id_student, date_submitted, '5', '101' FROM stg_student_assessment WHERE score = '100'
+  UNION ALL SELECT id_assessment || '99', id_student, date_submitted, is_banked, score FROM stg_student_assessment WHERE score = '98'
+  UNION ALL SELECT id_assessment, id_student || '0', NULL, is_banked, score FROM stg_student_assessment WHERE score = '96'),
+f_stg_student_vle AS (
+  SELECT * FROM stg_student_vle
+  UNION ALL SELECT code_module, code_presentation, '-' || id_student, id_site || '9', date, '0' FROM stg_student_vle
+    WHERE sum_click = '50'
+  UNION ALL SELECT code_module, code_presentation, id_student, id_site, NULL, sum_click FROM stg_student_vle
+    WHERE sum_click = '49')"""
+
+
+def flawed_sql(body: str) -> str:
+    """``body`` over the flawed staging tables and the clean tables made from them."""
+    return "WITH" + STAGING + "," + FLAWS + "," + (CLEAN + "\n" + body).replace("stg_", "f_stg_")

@@ -227,9 +227,80 @@ def staging(spark: SparkSession, sf_dir: str) -> Plans:
     )
 
 
-def layers(spark: SparkSession, sf_dir: str) -> Plans:
-    """Staging tables and the clean tables over them."""
-    return staging(spark, sf_dir).also(
+def flawed(spark: SparkSession, sf_dir: str) -> Plans:
+    """The staging tables with rows that break their rules, all derived from rows of the given tables."""
+    good = staging(spark, sf_dir)
+    c, lit = F.col, F.lit
+
+    def extra(df: DataFrame, where: str, **changes) -> DataFrame:
+        return df.where(where).withColumns({k: v if isinstance(v, Column) else lit(v).cast("string") for k, v in changes.items()})
+
+    def more(table: str, *rows) -> Callable[[Plans], DataFrame]:
+        def build(_):
+            df = good[table]
+            for where, changes in rows:
+                df = df.unionByName(extra(good[table], where, **changes))
+            return df
+
+        return build
+
+    after = lambda name, digits: F.concat(c(name), lit(digits))
+    minus = F.concat(lit("-"), F.trim("id_student"))
+    return good.also(
+        {
+            "stg_courses": more(
+                "stg_courses",
+                ("code_module = 'AAA'", {}),
+                ("code_module = 'BBB'", {"code_module": F.lower("code_module"), "code_presentation": after("code_presentation", "X"),
+                                         "module_presentation_length": "none"}),
+                ("code_module = 'CCC'", {"code_module": "YYY", "module_presentation_length": "0"}),
+            ),
+            "stg_assessments": more(
+                "stg_assessments",
+                ("code_module = 'AAA' AND assessment_type = 'Exam'", {}),
+                ("code_module = 'BBB' AND assessment_type = 'CMA'",
+                 {"id_assessment": after("id_assessment", "7"), "assessment_type": "Essay", "date": "900", "weight": "150"}),
+                ("code_module = 'CCC' AND assessment_type = 'TMA'",
+                 {"id_assessment": after("id_assessment", "8"), "code_module": "ZZZ", "weight": None}),
+            ),
+            "stg_vle": more(
+                "stg_vle",
+                ("code_module = 'AAA' AND activity_type = 'quiz'", {}),
+                ("code_module = 'BBB' AND activity_type = 'home'",
+                 {"id_site": after("id_site", "7"), "code_module": "ZZZ", "activity_type": None, "week_from": "9", "week_to": "2"}),
+            ),
+            "stg_student_info": more(
+                "stg_student_info",
+                ("final_result = 'Distinction'", {}),
+                ("final_result = 'Withdrawn'",
+                 {"code_module": "ZZZ", "gender": "X", "imd_band": "5-15%", "age_band": "20-30", "num_of_prev_attempts": "-1",
+                  "studied_credits": "0", "disability": "Q", "final_result": "Left"}),
+                ("age_band = '55<='", {"id_student": minus, "gender": None, "region": None}),
+            ),
+            "stg_student_registration": more(
+                "stg_student_registration",
+                ("date_unregistration <> '?' AND code_module = 'AAA'", {}),
+                ("date_unregistration <> '?'", {"code_module": "ZZZ", "date_registration": "10", "date_unregistration": "5"}),
+            ),
+            "stg_student_assessment": more(
+                "stg_student_assessment",
+                ("is_banked = '1'", {}),
+                ("score = '100'", {"id_student": minus, "is_banked": "5", "score": "101"}),
+                ("score = '98'", {"id_assessment": after("id_assessment", "99")}),
+                ("score = '96'", {"id_student": after("id_student", "0"), "date_submitted": None}),
+            ),
+            "stg_student_vle": more(
+                "stg_student_vle",
+                ("sum_click = '50'", {"id_student": minus, "id_site": after("id_site", "9"), "sum_click": "0"}),
+                ("sum_click = '49'", {"date": None}),
+            ),
+        }
+    )
+
+
+def layers(spark: SparkSession, sf_dir: str, stg: Plans | None = None) -> Plans:
+    """Staging tables (``stg``, or the derived ones) and the clean tables over them."""
+    return (stg or staging(spark, sf_dir)).also(
         {
             "clean_module_presentation": lambda t: clean.clean_module_presentation(t["stg_courses"]),
             "clean_student": lambda t: clean.clean_student(t["stg_student_info"]),
