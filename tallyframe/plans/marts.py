@@ -167,28 +167,31 @@ ENGAGEMENT_MART_RULES: dict[str, tuple[Rule, ...]] = {
 }
 
 def row_differences(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per fact: its rows, those it should have by its source's keys, and the difference.
+    """One row per fact in ``tables``: its rows, those it should have by its source, and the difference.
 
     A fact that looks its dimensions up by inner joins loses rows without any
     unmatched key showing in it, so it is held against its source.
     """
-    results = tables["stg_student_assessment"].select(to_int("id_student"), to_int("id_assessment")).distinct()
-    info = tables["stg_student_info"]
-    enrolled = info.select(to_int("id_student"), *[F.trim(F.col(c)) for c in PRESENTATION_KEY]).distinct()
+
+
+    def keys(table: str, *names: str) -> DataFrame:
+        return tables[table].select(*[to_int(c) if c.startswith("id_") else F.trim(F.col(c)) for c in names]).distinct()
+
     sources = {
-        "engagement_mart.fact_learning_engagement": tables["clean_registration"],
-        "click_mart.fact_student_enrollment": enrolled,
-        "click_mart.fact_student_assessment": results,
-        "click_mart.fact_student_vle": tables["stg_student_vle"],
+        "engagement_mart.fact_learning_engagement": lambda: tables["clean_registration"],
+        "click_mart.fact_student_enrollment": lambda: keys("stg_student_info", *REGISTRATION_KEY),
+        "click_mart.fact_student_assessment": lambda: keys("stg_student_assessment", "id_student", "id_assessment"),
+        "click_mart.fact_student_vle": lambda: tables["stg_student_vle"],
     }
     return union_all(
         [
             spread(
                 union_all([row_count(tables[fact], "n").withColumn("side", F.lit("fact_rows")),
-                           row_count(source, "n").withColumn("side", F.lit("expected_rows"))]),
+                           row_count(source(), "n").withColumn("side", F.lit("expected_rows"))]),
                 "side", "n", ["fact_rows", "expected_rows"],
             ).select(F.lit(fact).alias("fact"), "*", (F.col("fact_rows") - F.col("expected_rows")).alias("difference"))
             for fact, source in sources.items()
+            if fact in tables
         ]
     )
 

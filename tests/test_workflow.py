@@ -8,6 +8,7 @@ from conftest import one, rows
 
 from tallyframe.operators.quality import QualityError, rule_report
 from tallyframe.plans import analytics, clean, marts, profiling, quality, workflow
+from tallyframe.sinks import read_table
 from tallyframe.sources import CountMismatch, load_staging
 
 
@@ -273,3 +274,51 @@ def test_run_stops_at_wrong_count(spark, tmp_path):
 def test_run_stops_at_bad_header(spark, tmp_path):
     with pytest.raises(QualityError, match="vle.csv: MISSING"):
         workflow.run(spark, raw_files.write(tmp_path / "raw", {"vle.csv": None}), str(tmp_path / "out"))
+
+
+# Changes to the good files that break one rule each, and what the run says about it.
+BROKEN = {
+    "malformed row": ({"vle.csv": [*raw_files.OK["vle.csv"], "300,AAA,2013J,page"]}, "malformed rows is 1"),
+    "unparsable number": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"][1:], "10,1,18,0,abc"]}, "unparsable score is 1"),
+    "blank key": ({"studentVle.csv": [*raw_files.OK["studentVle.csv"], " ,2013J,1,100,0,2"]}, "missing presentation keys is 1"),
+    "null": ({"studentInfo.csv": ["AAA,2013J,1,,Wales,A Level,?,0-35,0,60,N,Pass"] + raw_files.OK["studentInfo.csv"][2:]}, "not null"),
+    "check": ({"studentInfo.csv": ["AAA,2013J,1,X,Wales,A Level,?,0-35,0,60,N,Pass", *raw_files.OK["studentInfo.csv"][1:]]}, "known gender"),
+    "unique": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"], "10,1,19,0,70"]}, "unique: id_assessment, id_student"),
+    "reference": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"], "10,9,19,0,70"]}, "in clean_registration"),
+    "unknown resource": ({"studentVle.csv": [*raw_files.OK["studentVle.csv"], "AAA,2013J,1,999,0,2"]}, "interactions without contextual resource is 1"),
+}
+
+
+@pytest.mark.parametrize("case", BROKEN)
+def test_a_bad_row_stops_the_run_before_analytics(spark, tmp_path, case):
+    changes, message = BROKEN[case]
+    with pytest.raises(QualityError, match=message):
+        workflow.run(spark, raw_files.write(tmp_path / "raw", changes), str(tmp_path / "out"))
+    assert not (tmp_path / "out/analytics").exists() and not (tmp_path / "out/engagement_mart").exists()
+    exported = spark.read.option("header", True).csv(str(tmp_path / "out/ops/run_log_csv"))
+    assert exported.count() == spark.read.parquet(str(tmp_path / "out/ops/etl_run_log")).count() >= 7
+
+
+def test_run_leaves_reports_and_the_whole_log(spark, tmp_path):
+    out = tmp_path / "out"
+    workflow.run(spark, raw_files.write(tmp_path / "raw"), str(out), ROWS)
+    text = (out / "ops/data_quality_summary.md").read_text()
+    assert "Overall: **PASS** (31 passed, 0 failed, 7 informational)" in text and text.count("\n| ") == 39
+    exported = spark.read.option("header", True).csv(str(out / "ops/run_log_csv"))
+    assert exported.where("pipeline_stage = 'mart_build'").count() == 13 and exported.count() == 31
+    differences = read_table(spark, str(out / "ops/mart_rows"))
+    assert rows(differences.select("fact_rows", "difference")) == [(20, 0), (6, 0), (6, 0), (8, 0)]
+
+
+def test_lost_fact_rows_stop_the_run(spark, tmp_path):
+    """An assessment that is in two presentations of the raw files, but not of the clean ones."""
+    job = workflow.Run(spark, raw_files.write(tmp_path / "raw"), str(tmp_path / "out"))
+    job.stage()
+    job.clean()
+    job.analyse()
+    job.build_marts()
+    job.check_marts()
+    name = "click_mart.fact_student_vle"
+    job.tables[name] = job.tables[name].limit(18)
+    with pytest.raises(QualityError, match="fact_student_vle: -2 rows"):
+        job.check_marts()
