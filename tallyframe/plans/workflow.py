@@ -21,6 +21,7 @@ from tallyframe.plans import analytics, clean, marts, quality
 from tallyframe.schemas import FULL_DATA_ROWS, PRESENTATION_KEY, SOURCES
 from tallyframe.session import build_session, release
 from tallyframe.sinks import (
+    analysed_table,
     export_run_log,
     logged_write,
     quality_markdown,
@@ -94,6 +95,8 @@ class Run:
         t = self.tables
         for name, plan in clean.clean_plans(t).items():
             self._write("clean", "clean_transform", name, plan)
+            if name not in PARTITIONED:  # of the partitioned click table, the files tell the size
+                t[name] = analysed_table(self.spark, f"tallyframe_{name}", f"{self.out_dir}/clean/{name}", t[name].schema)
         quality.check_clean_layer(t)
         self._keep_rules("clean_rules", t, clean.CLEAN_RULES)
 

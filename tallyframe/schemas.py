@@ -105,6 +105,7 @@ FULL_DATA_ROWS = {
     "analytics_engagement_by_result": 4,
 }
 
+# The keys of the tables.
 PRESENTATION_KEY = ("code_module", "code_presentation")
 REGISTRATION_KEY = ("id_student", "code_module", "code_presentation")
 SITE_KEY = ("id_site", "code_module", "code_presentation")

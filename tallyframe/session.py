@@ -18,6 +18,8 @@ def build_session(app_name: str = "tallyframe", master: str | None = None, **set
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.cbo.enabled", "true")
+        .config("spark.sql.cbo.joinReorder.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:

@@ -120,6 +120,19 @@ def save_table(df: DataFrame, name: str, bucket_by: Sequence[str] = (), buckets:
     writer.saveAsTable(name)
 
 
+def analysed_table(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+    """The newest version of a stored table as a table of the catalogue, with statistics for join planning.
+
+    The catalogue only points to the files; the entry of an older version is replaced.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    location = current_version(spark, path).replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{location}'")
+    refresh_statistics(spark, name)
+    return spark.table(name)
+
+
 def refresh_statistics(spark: SparkSession, *tables: str) -> None:
     """Row, size and column statistics of saved tables, for join planning."""
     for table in tables:

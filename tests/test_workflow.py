@@ -281,7 +281,7 @@ BROKEN = {
     "malformed row": ({"vle.csv": [*raw_files.OK["vle.csv"], "300,AAA,2013J,page"]}, "malformed rows is 1"),
     "unparsable number": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"][1:], "10,1,18,0,abc"]}, "unparsable score is 1"),
     "blank key": ({"studentVle.csv": [*raw_files.OK["studentVle.csv"], " ,2013J,1,100,0,2"]}, "missing presentation keys is 1"),
-    "null": ({"studentInfo.csv": ["AAA,2013J,1,,Wales,A Level,?,0-35,0,60,N,Pass"] + raw_files.OK["studentInfo.csv"][2:]}, "not null"),
+    "null": ({"studentInfo.csv": [x.replace("4,M,Wales", "4,,Wales") for x in raw_files.OK["studentInfo.csv"]]}, "not null"),
     "check": ({"studentInfo.csv": ["AAA,2013J,1,X,Wales,A Level,?,0-35,0,60,N,Pass", *raw_files.OK["studentInfo.csv"][1:]]}, "known gender"),
     "unique": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"], "10,1,19,0,70"]}, "unique: id_assessment, id_student"),
     "reference": ({"studentAssessment.csv": [*raw_files.OK["studentAssessment.csv"], "10,9,19,0,70"]}, "in clean_registration"),
@@ -306,6 +306,9 @@ def test_run_leaves_reports_and_the_whole_log(spark, tmp_path):
     assert "Overall: **PASS** (31 passed, 0 failed, 7 informational)" in text and text.count("\n| ") == 39
     exported = spark.read.option("header", True).csv(str(out / "ops/run_log_csv"))
     assert exported.where("pipeline_stage = 'mart_build'").count() == 13 and exported.count() == 31
+    facts = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED tallyframe_clean_registration").collect()}
+    assert "6 rows" in facts["Statistics"]
+    assert spark.sql("DESCRIBE EXTENDED tallyframe_clean_registration id_student").where("info_name = 'distinct_count'").first().info_value == "4"
     differences = read_table(spark, str(out / "ops/mart_rows"))
     assert rows(differences.select("fact_rows", "difference")) == [(20, 0), (6, 0), (6, 0), (8, 0)]
 
