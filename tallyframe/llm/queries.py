@@ -197,8 +197,8 @@ def op3_dice_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_cross_entropy_difference")
 def op5_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("target"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left")
-    # Three passes over the texts follow, so the join is done once.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
+    # Three passes over the texts follow, so the join is done once. Labels grow with the texts: always a merge join.
     docs = materialise(docs.withColumn("target", F.coalesce("target", F.lit(False))), "targets")
     return crossentropy.score(docs, crossentropy.fit(docs), keep=["doc_id"])
 
