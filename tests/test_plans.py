@@ -39,8 +39,8 @@ def no_broadcast(spark):
 def test_engagement_mart_joins_reuse_the_partitioning_of_the_totals(clean, no_broadcast):
     text = plan(analytics.student_engagement(clean))
     exchanges = re.findall(r"Exchange (\S+?)\(", text)
-    # registrations once; clicks per distinct pair and per key; marks per key
-    assert exchanges == ["hashpartitioning"] * 4
+    # registrations once; clicks per key and day, per key and resource, then per key; marks per key
+    assert exchanges == ["hashpartitioning"] * 5 and "Expand" not in text
     assert text.count("SortMergeJoin") == 2
 
 
