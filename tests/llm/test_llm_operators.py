@@ -229,6 +229,16 @@ def test_codec_against_sentencepiece():
     assert [e.ids for e in pieces.build(codec.spec, True).encode_batch(texts, add_special_tokens=False)] == wanted
 
 
+def test_long_texts_are_encoded_in_sections(monkeypatch):
+    monkeypatch.setattr(pieces, "SECTION", 7)
+    monkeypatch.setattr(pieces, "WORDS_AT_ONCE", 3)
+    data = pieces.read_model(pieces.MODEL_FILE)
+    codec, model = pieces.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    r = random.Random(5)
+    texts = ["".join(r.choice("ab   ▁\nté日") for _ in range(r.randrange(0, 60))) for _ in range(600)] + ["a" * 50, " " * 30, "▁" * 20 + "a", "x " + " " * 9]
+    assert [g[0].tolist() for g in codec.encode(texts)] == model.encode(texts)
+
+
 def unigram_model(byte_fallback):
     """A unigram model file, written by the wire format."""
 
@@ -444,6 +454,12 @@ def test_sample_is_bounded_by_language(spark):
     assert sorted(model.languages) == ["germanic", "other", "romance"] and model.predict("ccc ddd ccc")[0] == "xx"
 
 
+def test_hot_ids_and_languages_stay_within_the_sample(spark):
+    hot = spark.range(60_000).selectExpr("IF(id % 3 = 0, 1, id) AS doc_id", "'the cat sat on the mat' AS text", "IF(id % 2 = 0, 'en', 'de') AS lang")
+    model = language.fit(hot, per_language=20)
+    assert sorted(model.languages["germanic"].classes) == ["de", "en"]
+
+
 def test_support_vectors_separate():
     r = np.random.default_rng(2)
     x = r.normal(size=(200, 5)).astype(np.float32)
@@ -471,6 +487,12 @@ def test_variants_meet_within_distance(spark):
     assert got == wanted and len(got) > 100
 
 
+def test_variants_are_not_broadcast(spark):
+    """The planner takes the exploded index for as small as the fingerprints."""
+    plan = simhash.links(spark.createDataFrame([(1,), (2,)], "fp bigint"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Cartesian" not in plan
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201)]
     random.Random(2).shuffle(edges)
