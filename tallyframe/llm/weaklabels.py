@@ -9,8 +9,8 @@ whole text. No given label takes part.
 
 Defined results: a null, empty or blank text gets no votes, posterior and score
 0, and is not kept. Texts too short for a labeller get no vote from it.
-Repeated rows get equal scores; the sample is the ``TRAIN_ROWS`` rows with the
-smallest hash of id and text, so copies of a row may all teach. If all posterior
+Repeated rows get equal scores; the sample is at most ``TRAIN_ROWS`` rows drawn
+by hashes of id and text, so copies of a row may all teach. If all posterior
 labels agree, every text with words gets that label's score. Columns other than
 the text pass unchanged; input columns named like a result are replaced.
 """
@@ -223,11 +223,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows:
     # At most 3 ** labellers patterns reach the driver.
     patterns = rows.select("text").mapInArrow(vote, "votes string").groupBy("votes").count().orderBy("votes").collect()
     model = expectation_maximisation(vote_matrix([p.votes for p in patterns]), np.array([p["count"] for p in patterns], float))
-    edge = rows.select("h").orderBy("h").limit(train_rows).agg(F.max("h")).first()[0]
-    taught = []
-    if edge is not None:
-        sample = rows.filter(F.col("h") <= edge).mapInArrow(describe, "h bigint, votes string, x binary")
-        taught = sample.orderBy("h", "votes").limit(train_rows).collect()
+    # About twice the rows wanted pass a cut at a hash, so that no task ranks rows of the whole corpus.
+    place = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(1 << 30)
+    drawn = rows.filter(place * sum(p["count"] for p in patterns) < 2 * train_rows + 50)
+    described = drawn.mapInArrow(describe, "h bigint, votes string, x binary")
+    taught = described.orderBy("h", "votes").limit(train_rows).collect()
     x = np.zeros((len(taught), DIMENSIONS), np.float32)
     for row, r in zip(x, taught, strict=True):
         n = len(r.x) // 6
