@@ -59,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Id, tokens and parity of each document."""
-    tokens = pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"])
+    tokens = pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"], results="tokens")
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "parity")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,14 +37,30 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+#: Text that is worked on at once, and so bounds what a task holds beside its batch; at least one row.
+PIECE_BYTES = 8 << 20
+
+
+def sizes_of(column: pa.Array) -> list[int]:
+    """Bytes of each text, or values of each list; 0 for null."""
+    length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    return pc.fill_null(length(column), 0).to_pylist()
+
+
 def add_columns(
-    docs: DataFrame, text: str, keep: list[str], schema: str, start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], also: tuple[str, ...] = ()
+    docs: DataFrame,
+    text: str,
+    keep: list[str],
+    schema: str,
+    start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
+    also: tuple[str, ...] = (),
+    piece_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """The columns ``keep`` and those of ``schema``, which a task makes out of Arrow batches.
 
     ``start`` is called once in each task and returns the function of a batch.
-    Batches hold ``keep``, the text and the columns ``also``. A kept column named
-    like a new one is replaced by it.
+    Batches hold ``keep``, the text and the columns ``also``, and about
+    ``piece_bytes`` of text. A kept column named like a new one is replaced by it.
     """
     new = T.StructType.fromDDL(schema)
     keep = [c for c in keep if c not in new.names]
@@ -53,12 +70,14 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + work(batch), keep + new.names)
+            for part in groups_of(range(batch.num_rows), sizes_of(batch.column(text)), piece_bytes):
+                piece = batch.slice(part.start, part.stop - part.start)
+                yield pa.RecordBatch.from_arrays([piece.column(c) for c in keep] + work(piece), keep + new.names)
 
     return frame.mapInArrow(run, T.StructType([frame.schema[c] for c in keep] + new.fields))
 
 
-def groups_of(items: list, sizes: list[int], limit: int) -> Iterator[slice]:
+def groups_of(items: Sequence, sizes: list[int], limit: int) -> Iterator[slice]:
     """Slices of ``items`` whose sizes sum to about ``limit``, at least one item each."""
     start = total = 0
     for k, size in enumerate(sizes):

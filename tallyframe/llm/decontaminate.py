@@ -299,10 +299,7 @@ def find(
     def passing(shared, first: bool, last: bool):
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             texts = [t or b"" for t in as_bytes(batch.column(text))]
-            words, spans, items = [], [], []
-            for part in groups_of(texts, [len(t) for t in texts], shard_bytes):
-                for out, new in zip((words, spans, items), search_shard(texts[part], shared.value), strict=True):
-                    out.extend(new)
+            words, spans, items = search_shard(texts, shared.value)
             if not first:
                 spans = [merged(s + [(x["start"], x["end"]) for x in o]) for s, o in zip(spans, batch.column(state[0]).to_pylist(), strict=True)]
                 items = [i.union(o) for i, o in zip(items, batch.column(state[1]).to_pylist(), strict=True)]
@@ -326,7 +323,7 @@ def find(
     for k, shared in enumerate(searches):
         last = k == len(searches) - 1
         schema = RESULT if last else "__spans array<struct<start:bigint,end:bigint>>, __items array<string>"
-        frame = add_columns(frame, text, keep if last else list(dict.fromkeys([*keep, text])), schema, passing(shared, k == 0, last), state if k else ())
+        frame = add_columns(frame, text, keep if last else list(dict.fromkeys([*keep, text])), schema, passing(shared, k == 0, last), state if k else (), shard_bytes)
     return frame
 
 

@@ -24,6 +24,7 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -32,13 +33,19 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from tallyframe.llm.common import add_columns, groups_of
+from tallyframe.llm.common import add_columns
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_WORDS = 500_000
-BATCH_BYTES = 8 << 20
-RESULT = "ids array<int>, decoded string, parity boolean"
+CACHE_WORDS = 200_000
+WORDS_AT_ONCE = 8192
+BATCH_BYTES = 4 << 20
+SECTION = 1 << 20
+RESULTS = {
+    "tokens": "ids array<int>, parity boolean",
+    "texts": "ids array<int>, decoded string, parity boolean",
+    "digests": "n_tokens bigint, ids_sha256 string, round_trip boolean, parity boolean",
+}
 
 # Fixed values of the model format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -172,9 +179,7 @@ class Codec:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.parts: list[np.ndarray] = []
-        self.same: list[bool] = []
-        self.flat = np.zeros(0, np.int32)
+        self.flat, self.sizes, self.agree = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
 
     def both(self, units: list[str], plain: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Tokens of units, and whether both libraries agree on them."""
@@ -192,31 +197,54 @@ class Codec:
         text = " " + text.replace(MARK, " ")
         return text[1:].split(" ") if "  " not in text and text[-1] != " " else re.findall(r" *[^ ]+| +", text)
 
+    def sections(self, text: str) -> Iterator[str]:
+        """Parts of a very long text that have its units between them, about ``SECTION`` characters each."""
+        start = 0
+        while len(text) - start > SECTION:
+            cut = re.compile(f"[^ {MARK}][ {MARK}]").search(text, start + SECTION)
+            if not cut:
+                break
+            yield text[start : cut.start() + 1]
+            start = cut.start() + 2  # the space comes back before the next part
+        yield text[start:]
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """Tokens of each text, and whether they were found alike by both libraries."""
         if not self.by_words:
             ids, same = self.both(texts, texts)
             return [(np.array(i, np.int32), s) for i, s in zip(ids, same, strict=True)]
+        short = iter(self.encode_words([self.units(t) for t in texts if len(t) <= SECTION]))
+        out = []
+        for t in texts:
+            if len(t) <= SECTION:
+                out.append(next(short))
+                continue
+            parts = [self.encode_words([self.units(part) or [""]])[0] for part in self.sections(t)]
+            out.append((np.concatenate([ids for ids, _ in parts]), all(same for _, same in parts)))
+        return out
+
+    def encode_words(self, units: list[list[str]]) -> list[tuple[np.ndarray, bool]]:
+        """Tokens of lists of units, of which only those not met before are encoded."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
-        units = [self.units(t) for t in texts]
         fresh = list({u for us in units for u in us if u not in self.number})
-        if fresh:
+        self.number.update(zip(fresh, range(len(self.sizes), len(self.sizes) + len(fresh)), strict=True))
+        flat, sizes, agree = [self.flat], [self.sizes], [self.agree]
+        for start in range(0, len(fresh), WORDS_AT_ONCE):  # the library's results are much larger than the tokens
             # A unit without its spaces stands for one with a single space before it.
-            marked = [u if u.startswith(" ") else " " + u for u in fresh]
-            for unit, ids, same in zip(fresh, *self.both(marked, [u[1:] for u in marked]), strict=True):
-                self.number[unit] = len(self.parts)
-                self.parts.append(np.array(ids, np.int32))
-                self.same.append(same)
-        self.flat = np.concatenate(self.parts) if fresh else self.flat
-        sizes = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
-        starts, agree = np.cumsum(sizes) - sizes, np.array(self.same, bool)
+            marked = [u if u.startswith(" ") else " " + u for u in fresh[start : start + WORDS_AT_ONCE]]
+            ids, same = self.both(marked, [u[1:] for u in marked])
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
+            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
+            agree.append(np.array(same, bool))
+        self.flat, self.sizes, self.agree = np.concatenate(flat), np.concatenate(sizes), np.concatenate(agree)
+        starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
         out = []
         for us in units:
             at = np.fromiter(map(self.number.__getitem__, us), np.int64, len(us))
-            size = sizes[at]
+            size = self.sizes[at]
             shift = np.repeat(starts[at] - (np.cumsum(size) - size), size)
-            out.append((self.flat[shift + np.arange(len(shift))], bool(agree[at].all())))
+            out.append((self.flat[shift + np.arange(len(shift))], bool(self.agree[at].all())))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
@@ -235,8 +263,8 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", digests: bool = False) -> DataFrame:
-    """The columns ``keep`` with tokens, the text decoded from them, and parity.
+def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", results: str = "texts") -> DataFrame:
+    """The columns ``keep`` with tokens and parity, and with ``texts`` also the text decoded from the tokens.
 
     With ``digests``, the number of tokens, SHA-256 of the tokens as little-endian
     32-bit numbers, and whether the decoded text equals the given one, instead of
@@ -249,16 +277,13 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", d
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             given = batch.column(text).to_pylist()
-            ids: list[np.ndarray | None] = []
-            decoded: list[str | None] = []
-            same: list[bool | None] = []
-            for part in groups_of(given, [len(t or "") for t in given], BATCH_BYTES):
-                for t, (tokens, parity) in zip(given[part], codec.encode([t or "" for t in given[part]]), strict=True):
-                    ids.append(None if t is None else tokens)
-                    decoded.append(None if t is None else codec.decode(tokens))
-                    same.append(None if t is None else parity)
-            parity = pa.array(same, pa.bool_())
-            if not digests:
+            found = codec.encode([t or "" for t in given])
+            ids = [None if t is None else i for t, (i, _) in zip(given, found, strict=True)]
+            parity = pa.array([None if t is None else same for t, (_, same) in zip(given, found, strict=True)], pa.bool_())
+            if results == "tokens":
+                return [pa.array(ids, pa.list_(pa.int32())), parity]
+            decoded = [None if i is None else codec.decode(i) for i in ids]
+            if results == "texts":
                 return [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), parity]
             return [
                 pa.array([None if i is None else len(i) for i in ids], pa.int64()),
@@ -269,8 +294,7 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", d
 
         return work
 
-    schema = "n_tokens bigint, ids_sha256 string, round_trip boolean, parity boolean" if digests else RESULT
-    return add_columns(docs, text, keep, schema, start)
+    return add_columns(docs, text, keep, RESULTS[results], start, piece_bytes=BATCH_BYTES)
 
 
 def decode(tokens: DataFrame, model: bytes, keep: list[str], ids: str = "ids") -> DataFrame:

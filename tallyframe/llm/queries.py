@@ -155,7 +155,7 @@ def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sentencepiece_tokenizers")
 def op4_sentencepiece_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"], digests=True)
+    return pieces.encode(docs, pieces.read_model(pieces.MODEL_FILE), keep=["doc_id"], results="digests")
 
 
 def _licence_words(text: str) -> str:
