@@ -112,7 +112,11 @@ def variants(value: Column, distance: int = DISTANCE) -> Column:
 
 
 def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Pairs ``u < v`` of different fingerprints in column ``fp`` at ``distance`` or less, each once."""
+    """Pairs ``u < v`` of different fingerprints in column ``fp`` at ``distance`` or less, each once.
+
+    The join must be a merge join: the planner takes the index for as small as
+    the fingerprints, though it has a row per bit of each, and might broadcast it.
+    """
     index = classes.select("fp", F.explode(variants(F.col("fp"), distance)).alias("key"))
     a, b = index.select(F.col("fp").alias("u"), "key"), index.select(F.col("fp").alias("v"), F.col("key").alias("key_v"))
     differ = F.col("u").bitwiseXOR(F.col("v"))
@@ -123,7 +127,7 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
         first = F.when(F.bit_count(part) <= 1, bit.cast("long")).otherwise(first)
     found = (F.col("key") == F.col("key_v")) & (F.col("u") < F.col("v"))
     found &= (F.bit_count(differ) <= distance) & (F.shiftright("key", 32) == first)
-    return a.join(b, found).select("u", "v")
+    return a.join(b.hint("merge"), found).select("u", "v")
 
 
 def stars(edges: DataFrame) -> DataFrame:
@@ -196,7 +200,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     slim = prints.select("__id", "__fp")
     found = slim.join(components(slim, distance).withColumnRenamed("fp", "__fp"), "__fp", "left")
     stay = found.filter(F.coalesce("component", "__id") == F.col("__id")).groupBy("__id", "__fp").agg(F.count(F.lit(1)).alias("__n"))
-    kept = prints.join(materialise(stay, "kept"), ["__id", "__fp"])
+    # A merge join leaves the rows where the window needs them.
+    kept = prints.join(materialise(stay, "kept").hint("merge"), ["__id", "__fp"])
     once = Window.partitionBy("__id", "__fp").orderBy("__id", "__fp")
     kept = kept.withColumn("__k", F.row_number().over(once)).filter("__k = 1")
     return kept.select(*[(F.col("text").alias(c) if c == text else F.col("__rest")[c].alias(c)) for c in docs.columns])
