@@ -1,8 +1,11 @@
 """Operators of the llm package on small hand-made and random cases."""
 
 import gzip
+import hashlib
 import math
 import random
+import re
+import struct
 import zlib
 from collections import Counter
 
@@ -131,7 +134,7 @@ def archive(compress, n=25):
     out, ends = b"", []
     for i, url, html in pages(n, 3):
         payload = (html or "").replace("WARC", "Warc").encode()
-        data = warc.record_bytes(i, url, payload, __import__("hashlib").sha256(payload).hexdigest(), None)
+        data = warc.record_bytes(i, url, payload, hashlib.sha256(payload).hexdigest(), None)
         out += warc.member(data) if compress else data
         ends.append(len(out))
     return out, ends
@@ -149,12 +152,7 @@ def test_salvage_recovers_what_is_whole(compress):
             for k in range(at, min(len(data), at + r.randrange(1, 30))):
                 broken[k] ^= 1 << r.randrange(8)
                 hurt.add(next(i for i, e in enumerate(ends) if k < e))
-        found, at = [], 0
-        for start, end, what in warc.salvage(bytes(broken)):
-            assert start >= at and (isinstance(what, str) or start == at or True)
-            at = end
-            if not isinstance(what, str):
-                found += [(start, end)]
+        found = [(start, end) for start, end, what in warc.salvage(bytes(broken)) if not isinstance(what, str)]
         whole = [(b, e) for i, (b, e) in enumerate(zip(begins, ends, strict=True)) if i not in hurt]
         assert set(whole) <= set(found)
         # What is not a record is in a gap: nothing is lost without a line in the log.
@@ -252,7 +250,7 @@ def unigram_model(byte_fallback):
         if isinstance(value, int):
             return varint(number << 3) + varint(value)
         if isinstance(value, float):
-            return varint(number << 3 | 5) + __import__("struct").pack("<f", value)
+            return varint(number << 3 | 5) + struct.pack("<f", value)
         return varint(number << 3 | 2) + varint(len(value)) + value
 
     r = random.Random(8)
@@ -367,7 +365,7 @@ def test_weak_label_cases(odd, nothing):
 
 
 def brute_measures(text):
-    words = [w for w in __import__("re").findall("[^\x20\x09-\x0d]+", text or "")]
+    words = [w for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
     windows = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
     often, covered = Counter(windows), set()
     for k, w in enumerate(windows):
@@ -425,7 +423,8 @@ def test_versions_of_a_map(spark, odd, nothing):
     stored = slots.SlotMap(spark, path)
     assert slots.grow(spark, stored, 0, loads, 4) == 1
     old, new = ({r.vslot: r.shard for r in stored.read(v).collect()} for v in (0, 1))
-    assert old.keys() == new.keys() and all(new[s] in (old[s], 3) or True for s in old) and {r.version for r in stored.read(1).collect()} == {1}
+    assert old.keys() == new.keys() and set(old.values()) <= {0, 1, 2} and set(new.values()) <= {0, 1, 2, 3}
+    assert {r.version for r in stored.read(1).collect()} == {1}
     by = {r.doc_id: r for r in out}
     assert by[3].size == 16 and by[3].text_crc32 == 0 and by[8].size == 20 and by[8].text_crc32 == zlib.crc32(b"Wort")
     assert slots.shard(nothing, shards=3).count() == 0

@@ -1,6 +1,7 @@
 """Registered queries of the llm package against SQL, brute force and labels."""
 
 import hashlib
+import re
 import zlib
 from pathlib import Path
 
@@ -96,7 +97,7 @@ def prints(texts):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     out = []
     for text in texts:
-        words = [w for w in __import__("re").findall("[^\x20\x09-\x0d]+", (text or "").translate(lower))]
+        words = [w for w in re.findall("[^\x20\x09-\x0d]+", (text or "").translate(lower))]
         shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))] if words else []
         hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
         out.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
