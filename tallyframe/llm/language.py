@@ -5,8 +5,8 @@ The first level chooses the language family, the second the language within it:
 linear support vector machines, one for each pair of classes, vote at both
 levels. Pairs are trained only inside a family, so each separates what is close.
 
-The machines are fitted on at most ``PER_LANGUAGE`` rows of a language, those
-with the smallest hashed ids; the number of weights depends on languages only.
+The machines are fitted on at most ``PER_LANGUAGE`` rows of a language, drawn by
+hashes of their ids; the number of weights depends on languages only.
 
 Defined results: a null text, a text without a letter, and every text if nothing
 was learned are ``und`` with score 0. Rows without id or language teach nothing;
@@ -157,8 +157,14 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     key, name = F.col(f"`{doc_id}`"), F.col(f"`{lang}`").cast("string")
     rows = docs.select(key.alias("id"), name.alias("lang"), F.col(f"`{text}`").alias("text"))
     rows = rows.filter("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("id")))
+    # About twice the ids wanted pass a cut at a hash, each once, so that no language is ranked whole.
+    slim = rows.select("id", "lang")
+    totals = slim.groupBy("lang").agg(F.approx_count_distinct("id").alias("n"))
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    # The totals are a row per language, as few as the model's classes.
+    drawn = slim.join(F.broadcast(totals), "lang").filter(place * F.col("n") < 2 * per_language + 50).select("id", "lang").distinct()
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
+    chosen = drawn.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
     # At most per_language rows of each language are broadcast, and their counts collected.
     sample = rows.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"], "left_semi")
 
