@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyframe.llm import crossentropy, decontaminate, language, licences, pieces, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
-from tallyframe.session import materialise, scratch
+from tallyframe.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -198,9 +198,9 @@ def op3_dice_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("target"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
-    # Three passes over the texts follow, so the join is done once. Labels grow with the texts: always a merge join.
-    docs = materialise(docs.withColumn("target", F.coalesce("target", F.lit(False))), "targets")
-    return crossentropy.score(docs, crossentropy.fit(docs), keep=["doc_id"])
+    # Labels grow with the texts: always a merge join.
+    docs = docs.withColumn("target", F.coalesce("target", F.lit(False)))
+    return crossentropy.score(docs, crossentropy.fit(docs, keep=["doc_id"]), keep=["doc_id"])
 
 
 QUERIES["pipeline"] = corpus_pipeline.run

@@ -334,6 +334,20 @@ def test_cross_entropy_cases(odd, nothing):
     assert crossentropy.score(empty, crossentropy.fit(empty), ["doc_id"]).count() == 0
 
 
+def test_rare_and_long_words_have_counts_of_their_own(spark):
+    # More different words than any fixed vocabulary would hold, each in two documents, and one too long for a table of short words.
+    words = [f"w{k}" for k in range(9_000)] + ["x" * 100]
+    rows = [(2 * k + j, w, j == 0) for k, w in enumerate(words) for j in (0, 1)] + [(-1, "never", False), (-2, "y" * 100, False)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, target boolean").repartition(4)
+    models = crossentropy.fit(docs)
+    got = {r.doc_id: r for r in crossentropy.score(docs, models, ["doc_id"]).collect()}
+    other = [got[2 * k + 1] for k in range(len(words))]  # the target has their word, in their place
+    n, size, prior = len(words), len(words) + 2 + 2, crossentropy.PRIOR
+    known, unseen = (-math.log((seen + prior * (seen + 0.5) / (n + 0.5 * size)) / (n + prior)) for seen in (1, 0))
+    assert all(r.target_loss == pytest.approx(known) for r in other)
+    assert got[-1].target_loss == pytest.approx(unseen) and got[-2].target_loss == pytest.approx(unseen)
+
+
 # Weak labels
 
 
