@@ -7,6 +7,13 @@ a and b obey ``t / (2 - t) <= a / b <= (2 - t) / t``, so a unit is compared with
 the few templates in that range and most units with none. The templates are
 constants of the scan: nothing is joined or shuffled.
 
+A licence inside a longer text or line is found as a passage: any run of the text's
+words, across lines and paragraphs, in which the sizes obey the bounds. Only runs are
+tried that begin with a pair of the template and end before that pair comes again, as
+others have the same pairs or more foreign ones. So a text's work is at most its length
+times a template's, and none if it has too few of the template's pairs. Passages
+are not counted as units.
+
 Words are letters, digits and bytes above ASCII, in ASCII lower case; British
 and American spelling of "licence" are one, and lines that begin with a
 copyright sign or word are left out, as each owner has another.
@@ -126,7 +133,12 @@ class Scan:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD):
         self.threshold = threshold
         sets = [(name, pairs([w for line in text.encode().split(b"\n") for w in line_words(line)])) for name, text in templates]
-        self.sets = [(name, s, threshold / (2 - threshold) * len(s), (2 - threshold) / threshold * len(s)) for name, s in sets if s]
+        # The small shift keeps sizes that lie on a bound in spite of rounding.
+        self.sets = [(name, s, threshold / (2 - threshold) * len(s) - 1e-9, (2 - threshold) / threshold * len(s) + 1e-9) for name, s in sets if s]
+        self.having: dict[tuple[bytes, bytes], list[int]] = {}
+        for k, (_, template, _, _) in enumerate(self.sets):
+            for pair in template:
+                self.having.setdefault(pair, []).append(k)
         self.least = min((low for *_, low, _ in self.sets), default=float("inf"))
 
     def unit(self, words: list[bytes], found: dict[str, float]) -> None:
@@ -143,6 +155,38 @@ class Scan:
                 if dice >= self.threshold and dice > found.get(name, 0.0):
                     found[name] = dice
 
+    def passages(self, words: list[bytes], found: dict[str, float]) -> None:
+        """Add the templates that a run of words reaches."""
+        sequence = list(zip(words, words[1:], strict=False))
+        starts: dict[int, list[int]] = {}
+        for at, templates in enumerate(map(self.having.get, sequence)):
+            for k in templates or ():
+                starts.setdefault(k, []).append(at)
+        for k, places in starts.items():
+            name, template, low, high = self.sets[k]
+            if len(places) < low or len({sequence[at] for at in places}) < low:  # too few can be shared
+                continue
+            best = found.get(name, 0.0)
+            for start in places:
+                if best == 1.0:
+                    break
+                seen: set[tuple[bytes, bytes]] = set()
+                shared = 0
+                for at in range(start, len(sequence)):
+                    pair = sequence[at]
+                    if pair in seen:
+                        if pair == sequence[start]:
+                            break
+                        continue
+                    seen.add(pair)
+                    if len(seen) > high:
+                        break
+                    if pair in template:
+                        shared += 1
+                        best = max(best, 2 * shared / (len(seen) + len(template)))
+            if best >= self.threshold:
+                found[name] = best
+
     def text(self, text: bytes) -> tuple[dict[str, float], int]:
         """Best coefficient per licence reached, and the number of different units."""
         found: dict[str, float] = {}
@@ -164,6 +208,7 @@ class Scan:
         units.discard(())
         for unit in units:
             self.unit(list(unit), found)
+        self.passages(whole + block, found)
         return found, len(units)
 
 

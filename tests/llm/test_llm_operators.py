@@ -211,6 +211,40 @@ def test_size_bounds_lose_no_match():
         assert got == wanted
 
 
+@pytest.mark.parametrize("k", [k for k, (_, text) in enumerate(licences.TEMPLATES) if len(text) > 300])
+def test_licences_inside_longer_texts(k):
+    name, text = licences.TEMPLATES[k]
+    code = "".join(f"int value{n} = call{n}(other{n});\n" + "\n" * (n % 5 == 0) for n in range(80))
+    parts = re.sub(r"(?<=[.:;]) ", "\n\n", text)
+    found, _ = licences.Scan().text(f"{code}\nCopyright 2020 me\n\n{parts}\n\n{code}".encode())
+    assert found[name] == 1.0
+
+
+def test_notices_inside_a_line():
+    line = "This tool was made by me. Released under the MIT License. Write to us if you find that it does not work as it should."
+    assert licences.Scan().text(line.encode())[0] == {"MIT": 1.0}
+    assert licences.Scan().text(line.replace("MIT", "same").encode())[0] == {}
+
+
+def test_passages_against_all_runs():
+    r = random.Random(8)
+    templates = tuple((f"t{k}", " ".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 15)))) for k in range(8))
+    scan = licences.Scan(templates, 0.8)
+    for _ in range(150):
+        words = [r.choice("abcdefgh").encode() for _ in range(r.randrange(0, 30))]
+        if r.random() < 0.5:
+            words[5:5] = r.choice(templates)[1].encode().split()
+        got, wanted = {}, {}
+        for name, text in templates:
+            other = licences.pairs([w.encode() for w in text.split()])
+            runs = (licences.pairs(words[i:j]) for i in range(len(words)) for j in range(i + 2, len(words) + 1))
+            dice = max((2 * len(own & other) / (len(own) + len(other)) for own in runs), default=0.0)
+            if dice >= 0.8:
+                wanted[name] = dice
+        scan.passages(words, got)
+        assert got == wanted
+
+
 # SentencePiece
 
 
