@@ -9,7 +9,10 @@ The reader takes members one after another and checks each: gzip checksum,
 version line, headers, length, ending, payload digest. Where a check fails it
 searches for the next place at which a whole valid member or record begins,
 goes on from there, and reports the bytes between as a quarantined gap.
-Uncompressed archives are read the same way, by version lines.
+Uncompressed archives are read the same way, by version lines, and so are the bytes
+that can be unpacked from a damaged member or one with a bad record inside. Of a member
+that is cut off, a record that ends just where the cut is counts as damaged. HTTP header
+lines without a colon are no damage.
 
 Defined results: a null payload is written as an empty one, and empty input as
 no record. Pages tied on the smallest id of a group are all responses; a null id
@@ -43,6 +46,7 @@ GZIP = b"\x1f\x8b\x08"
 EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _OUT_BYTES = 8 << 20
 _FEED = 1 << 14
 
@@ -140,12 +144,15 @@ def write_archives(pages: DataFrame, path: str, compress: bool = True, file_reco
     writer.option("lineSep", EMPTY_MEMBER if compress else "\r\n\r\n").text(path)
 
 
-def fields(lines: list[bytes]) -> dict[str, str]:
+def fields(lines: list[bytes], strict: bool = True) -> dict[str, str]:
+    """Header fields; a line without a colon is damage, or passed over if not ``strict``."""
     out = {}
     for line in lines:
         key, colon, value = line.partition(b":")
         if not colon:
-            raise Damage("header line")
+            if strict:
+                raise Damage("header line")
+            continue
         out[key.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     return out
 
@@ -168,7 +175,7 @@ def parse(data: bytes, at: int, end: int | None = None) -> tuple[Record, int]:
     http, payload = {}, block
     if headers.get("content-type", "").startswith("application/http"):
         head, _, payload = block.partition(b"\r\n\r\n")
-        http = fields(head.split(b"\r\n")[1:])
+        http = fields(head.split(b"\r\n")[1:], strict=False)  # as the server sent them
     if headers.get("warc-type") != "revisit":
         check_digest(headers.get("warc-payload-digest"), payload, "payload digest")
     return Record(headers, http, payload), begin + size + 4
@@ -179,33 +186,69 @@ def check_digest(wanted: str | None, data: bytes, what: str) -> None:
         raise Damage(what)
 
 
-def read_at(data: bytes, at: int) -> tuple[list[Record], int]:
-    """The records of the member, or the record, that begins at ``at``, and where it ends."""
-    if not data.startswith(GZIP, at):
-        record, end = parse(data, at)
-        return [record], end
+def unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The bytes of the gzip member at ``at`` as far as they can be had, where they end, and what is wrong with the member."""
     unpacker, view, parts, fed = zlib.decompressobj(31), memoryview(data), [], at
     try:
         while not unpacker.eof and fed < len(data):  # by pieces, as what is left over gets copied
             parts.append(unpacker.decompress(view[fed : fed + _FEED]))
             fed += _FEED
-    except zlib.error as error:
-        raise Damage("gzip member") from error
+    except zlib.error:
+        unpacker = zlib.decompressobj(31)
+        for start in range(at, fed, _FEED):
+            unpacker.decompress(view[start : start + _FEED])
+        try:
+            while fed < len(data):  # the piece that failed, byte by byte
+                parts.append(unpacker.decompress(view[fed : fed + 1]))
+                fed += 1
+        except zlib.error:
+            return b"".join(parts), fed, "gzip member"
     if not unpacker.eof:
-        raise Damage("gzip member not ended")
-    plain, records, k = b"".join(parts), [], 0
-    while k < len(plain):
-        record, k = parse(plain, k)
+        return b"".join(parts), len(data), "gzip member not ended"
+    return b"".join(parts), min(fed, len(data)) - len(unpacker.unused_data), ""
+
+
+def records_in(plain: bytes) -> tuple[list[Record], list[str], int]:
+    """The valid records of unpacked bytes, the reason of each gap between them, and where the last record begins."""
+    records, reasons, last, at, whole = [], [], 0, 0, True
+    while at < len(plain):
+        try:
+            record, end = parse(plain, at)
+        except Damage as damage:
+            if whole:
+                reasons.append(str(damage))
+            following = _VERSION_LINE.search(plain, at + 1)
+            at, whole = following.start() if following else len(plain), False
+            continue
         records.append(record)
-    return records, min(fed, len(data)) - len(unpacker.unused_data)
+        last, at, whole = at, end, True
+    return records, reasons, last if whole else len(plain)
+
+
+def read_at(data: bytes, at: int) -> tuple[list[Record], int, list[str]]:
+    """The records of the member, or the record, that begins at ``at``, where it ends, and what is wrong inside a member."""
+    if not data.startswith(GZIP, at):
+        record, end = parse(data, at)
+        return [record], end, []
+    plain, end, wrong = unpack(data, at)
+    records, reasons, last = records_in(plain)
+    if wrong == "gzip member not ended" and last < len(plain):
+        records.pop()  # it goes up to the cut, and the checksum that would show its end is not there
+    if not records and (wrong or reasons):
+        raise Damage(wrong or reasons[0])
+    return records, end, [wrong] if wrong else reasons
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | str]]:
-    """Start, end, and the records of each valid stretch, or the reason of each gap, in order."""
+    """Start, end, and the records of each valid stretch, or the reason of each gap, in order.
+
+    Damage inside a member with valid records is a gap without length behind it, or
+    goes on from where the member cannot be unpacked.
+    """
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
-            records, end = read_at(data, at)
+            records, end, wrong = read_at(data, at)
         except Damage as damage:
             if gap is None:
                 gap, reason = at, str(damage)
@@ -218,6 +261,13 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | str]]:
         if records:
             yield at, end, records
         at = end
+        if wrong and wrong[0] == "gzip member":
+            gap, reason = end, wrong[0]
+            following = _BEGIN.search(data, end)
+            at = following.start() if following else len(data)
+        else:
+            for what in wrong:
+                yield end, end, what
     if gap is not None:
         yield gap, len(data), reason
 

@@ -168,6 +168,30 @@ def test_salvage_of_cut_and_foreign_bytes():
     assert [type(w) for _, _, w in warc.salvage(plain.replace(b"Content-Length: ", b"Content-Length: 9", 1))] == [str, list]
 
 
+def test_salvage_inside_a_member():
+    plain, ends = archive(False, 12)
+    ids = lambda data: [r.headers["warc-record-id"] for _, _, what in warc.salvage(data) if not isinstance(what, str) for r in what]
+    every = ids(plain)
+    bad = bytearray(plain)
+    bad[ends[4] - 10] ^= 1  # in the block of the fifth record
+    one = warc.member(bytes(bad))
+    assert len(every) == 12 and ids(one) == every[:4] + every[5:]
+    assert [what for _, _, what in warc.salvage(one) if isinstance(what, str)] == ["block digest"]
+    checksum = warc.member(plain)[:-8] + b"\0" * 8
+    assert ids(checksum + warc.member(plain)) == every * 2
+    cut = warc.member(plain, 0)  # stored, so that half of the bytes hold half of the records
+    got = ids(cut[: len(cut) // 2])
+    assert got == every[: len(got)] and len(got) >= sum(e < len(cut) // 2 - 200 for e in ends) - 1 > 0
+
+
+def test_odd_http_header_lines():
+    block = b"HTTP/1.1 200 OK\r\nno colon here\r\nContent-Length: 2\r\n\r\nhi"
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}\r\n"
+    data = f"{head}Content-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    ((_, _, (record,)),) = warc.salvage(data)
+    assert record.payload == b"hi" and record.http == {"content-length": "2"}
+
+
 def test_pages_ties_and_nulls(spark):
     same = "z" * 200
     rows = [(1, None, same), (1, None, same), (2, None, same), (None, None, same), (None, "u", None)]
