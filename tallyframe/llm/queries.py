@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyframe.llm import crossentropy, decontaminate, language, licences, pieces, rules, simhash, slots, warc, weaklabels
+from tallyframe.llm import chat, crossentropy, decontaminate, interactions, language, licences, lloyd, pieces, rules, simhash, slots, warc, weaklabels
 from tallyframe.llm.common import table
 from tallyframe.session import scratch
 
@@ -203,6 +203,122 @@ def op5_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crossentropy.score(docs, crossentropy.fit(docs, keep=["doc_id"]), keep=["doc_id"])
 
 
+def _lloyd_sql() -> str:
+    """One assignment and one update for each round, over vectors of integers."""
+    parts = [
+        f"""i AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({lloyd.SCALE} * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('{lloyd.SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k, v FROM i
+            QUALIFY k < {lloyd.CLUSTERS})""",
+    ]
+    for n in range(lloyd.ROUNDS + 1):
+        parts.append(
+            f"""a{n} AS MATERIALIZED (
+            SELECT r, vec_id, i.v, k, d FROM (
+              SELECT i.r, i.vec_id, i.v, c.k, list_sum(list_transform(range(1, 65), lambda j: (i.v[j] - c.v[j]) * (i.v[j] - c.v[j])))::BIGINT AS d
+              FROM i, c{n} AS c) AS i QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+        )
+        if n < lloyd.ROUNDS:
+            parts.append(
+                f"""c{n + 1} AS MATERIALIZED (
+            SELECT k, coalesce(u.v, c.v) AS v FROM c{n} AS c LEFT JOIN (
+              SELECT k, list(m ORDER BY j) AS v FROM (
+                SELECT k, j, (s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END)::BIGINT AS m FROM (
+                  SELECT k, j, sum(x)::BIGINT AS s, count(*) AS n FROM (
+                    SELECT k, unnest(v) AS x, unnest(range(64)) AS j FROM a{n}) GROUP BY k, j)) GROUP BY k) AS u USING (k))"""
+            )
+    last = lloyd.ROUNDS
+    return f"""
+    WITH {", ".join(parts)}
+    SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+           (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+    FROM a{last} JOIN c{last} AS c USING (k)
+    """
+
+
+@query("op11_dimension_sharded_lloyd", _lloyd_sql())
+def op11_dimension_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lloyd.cluster(table(spark, sf_dir, "embeddings"), dimensions=64)
+    return lloyd.with_inertia(found).withColumnRenamed("id", "vec_id")
+
+
+@query(
+    "op12_sparse_matrix_audit",
+    r"""
+    WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+    l AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+    d AS (SELECT r, part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic,
+                 concat(CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                        CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 'C' END,
+                        CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > first THEN 'E' END) AS failed
+          FROM w LEFT JOIN l USING (doc_id)),
+    p AS (SELECT '' AS o UNION ALL SELECT o || f FROM p, unnest(['A', 'B', 'C', 'D', 'E']) AS u(f) WHERE NOT contains(o, f)),
+    s AS (SELECT o, step::INTEGER AS step, substr(o, step, 1) AS own, substr(o, 1, step - 1) AS before FROM p, range(1, 6) AS u(step) WHERE length(o) = 5),
+    g AS (SELECT part, failed, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM d GROUP BY part, failed),
+    x AS (SELECT part, o, step, own, n, good, toxic, failed, contains(failed, own) AS hit, translate(failed, before, '') <> failed AS gone FROM g, s),
+    y AS (SELECT part, o, step, own, sum(n) FILTER (NOT hit AND NOT gone) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed,
+                 sum(n) FILTER (hit AND gone) AS redundant, sum(n) FILTER (failed = own) AS unique_fails,
+                 sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(toxic) FILTER (hit AND NOT gone) AS toxic_lost
+          FROM x GROUP BY part, o, step, own)
+    SELECT part, o AS filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+           coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+           coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+           (sum(coalesce(removed, 0)) OVER (PARTITION BY part, own))::BIGINT AS shapley
+    FROM y
+    """,
+)
+def op12_sparse_matrix_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _broken_up(text: str) -> str:
+    for plain, safe in chat.BROKEN_UP:
+        text = f"replace({text}, '{plain}', '{safe}')"
+    return text
+
+
+@query(
+    "op13_relational_chats",
+    rf"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+    e AS (SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS opens,
+                 length({_broken_up("text")}) AS n, length(replace({_broken_up("role")}, ': ', ':\ ')) AS r FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(n + CASE WHEN opens THEN r + {len(chat.HEADER + chat.HEADER_END + chat.END)} ELSE {len(chat.NEXT)} END)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """,
+)
+def op13_relational_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
+    made = chat.format_chats(chats)
+    turns, texts = chat.read_turns(F.col("formatted")), chat.read_loss_texts(F.col("formatted"), F.col("loss_spans"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return made.select(
+        "conv_id", turns.alias("turns"), F.array_join(texts, "").alias("loss"), F.char_length("formatted").alias("chars")
+    ).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.col("chars").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -38,7 +38,7 @@ def by_id(spark, name, folder):
 
 def test_all_are_registered():
     assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -51,7 +51,7 @@ def test_query_matches_sql(spark, duck, name):
     assert got == sorted(repr(r) for r in result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op7_quality_rules", "op8_fixed_slots"])
+@pytest.mark.parametrize("name", ["op7_quality_rules", "op8_fixed_slots", "op13_relational_chats"])
 def test_native_plans(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
