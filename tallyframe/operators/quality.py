@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators.aggregates import duplicate_keys
 from tallyframe.operators.joins import orphans, union_all
+from tallyframe.operators.references import KeySet, key_set, marked
+from tallyframe.session import materialise
 
 
 class QualityError(RuntimeError):
@@ -94,52 +96,68 @@ def violations(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | None
     return df.where(rule.broken)
 
 
-def _violation_count(df: DataFrame, rule: Unique | ForeignKey, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Surplus rows of repeated keys, or rows without a parent, as one row."""
+def surplus_rows(df: DataFrame, keys: Sequence[str], digest: Column | None = None) -> DataFrame:
+    """Rows beyond the first of each key, as one row, with 8 bytes of each key shuffled.
+
+    Keys are counted by a 64-bit hash (``digest``, if given). Rows whose hash
+    occurs more than once, and only those, are counted again by the keys
+    themselves, so that different keys of one hash are told apart.
+    """
+    hashed = df.select(*keys, (F.xxhash64(*keys) if digest is None else digest).alias("_hash"))
+    several = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_hash")
+    suspects = hashed.join(materialise(several, "hashes"), "_hash", "left_semi")
+    per_key = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return per_key.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("violations"))
+
+
+def _surplus(df: DataFrame, rule: Unique, clustered: Sequence[str]) -> DataFrame:
+    """Grouped in place where the table is clustered by some of the keys or has one key column, else by hashes."""
+    if len(rule.keys) > 1 and not (clustered and set(clustered) <= set(rule.keys)):
+        return surplus_rows(df, rule.keys)
     per_key = df.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_rows"))
-    if isinstance(rule, Unique):
-        total = per_key.agg(F.sum(F.col("_rows") - 1).alias("_n"))
-    else:
-        lone = orphans(per_key.dropna(subset=list(rule.keys)), parent_keys(rule, tables), rule.keys)
-        total = lone.agg(F.sum("_rows").alias("_n"))
-    return total.select(F.coalesce("_n", F.lit(0)).alias("violations"))
+    return per_key.agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("violations"))
 
 
-def rule_report(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:
+def rule_report(
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, Sequence[Rule]],
+    clustered: Mapping[str, Sequence[str]] | None = None,
+    also: Mapping[str, Mapping[str, str]] | None = None,
+) -> DataFrame:
     """One row per rule with its number of violating rows.
 
-    All null and check rules of a table share one scan; key rules are counted
-    per key before anything is joined.
+    All null, check and reference rules of a table share one scan, to which the
+    parents' key sets are joined. Keys are counted for uniqueness without a
+    shuffle of the rows where ``clustered`` names columns that the table is
+    stored clustered by. ``also`` has further conditions (SQL) to count in the
+    same scan, by table and name; in them ``in_<parent>`` says whether a row's
+    key is in that parent, and is null if a part of the key is.
     """
     parts = []
+    sets: dict[tuple, KeySet] = {}
     for table, table_rules in rules.items():
         df = tables[table]
-        row_rules = [r for r in table_rules if isinstance(r, NotNull | Check)]
-        if row_rules:
-            counted = df.agg(*[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(row_rules)])
-            parts.append(
-                counted.select(
-                    F.inline(
-                        F.array(
-                            *[
-                                F.struct(
-                                    F.lit(table).alias("table_name"),
-                                    F.lit(r.name).alias("rule"),
-                                    F.col(f"r{i}").alias("violations"),
-                                )
-                                for i, r in enumerate(row_rules)
-                            ]
-                        )
-                    )
-                )
-            )
+        counts = {r.name: r.broken for r in table_rules if isinstance(r, NotNull | Check)}
+        joined = {}
+        for rule in table_rules:
+            if isinstance(rule, ForeignKey):
+                wanted = (rule.parent, rule.parent_keys or rule.keys, rule.keys)
+                if wanted not in sets:
+                    sets[wanted] = key_set(parent_keys(rule, tables), rule.keys)
+                joined[f"in_{rule.parent}"] = sets[wanted]
+                counts[rule.name] = F.col(f"in_{rule.parent}") == F.lit(False)
+        counts |= {name: F.expr(condition) for name, condition in (also or {}).get(table, {}).items()}
+        if counts:
+            counted = marked(df, joined).agg(*[F.count_if(c).alias(f"r{i}") for i, c in enumerate(counts.values())])
+            lines = [
+                F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("rule"), F.col(f"r{i}").alias("violations"))
+                for i, name in enumerate(counts)
+            ]
+            parts.append(counted.select(F.inline(F.array(*lines))))
         for rule in table_rules:
-            if isinstance(rule, Unique | ForeignKey):
-                parts.append(
-                    _violation_count(df, rule, tables).select(
-                        F.lit(table).alias("table_name"), F.lit(rule.name).alias("rule"), "violations"
-                    )
-                )
+            if isinstance(rule, Unique):
+                surplus = _surplus(df, rule, (clustered or {}).get(table, ()))
+                parts.append(surplus.select(F.lit(table).alias("table_name"), F.lit(rule.name).alias("rule"), "violations"))
     return union_all(parts)
 
 

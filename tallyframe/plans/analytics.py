@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import aggregates as agg
+from tallyframe.operators import bitmaps
 from tallyframe.operators.quality import Check, NotNull, Rule, Unique
 from tallyframe.schemas import PRESENTATION_KEY, REGISTRATION_KEY, SUCCESS_RESULTS
 
@@ -74,12 +75,28 @@ def build_analytics(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: tables.setdefault(name, plan()) for name, plan in analytics_plans(tables).items()}
 
 
-def click_log_aggregates(interactions: DataFrame) -> dict[str, DataFrame]:
-    """Three aggregates of consolidated clicks: by student, resource and week."""
+SUMMARY_KEY = [*PRESENTATION_KEY, "id_student"]
+
+
+def engagement_bitmaps(interactions: DataFrame) -> DataFrame:
+    """Days and resources of each student and presentation as bitmaps, for clicks stored clustered by student; to be stored."""
+    return bitmaps.engagement_bitmaps(interactions, SUMMARY_KEY, "sum_click", "interaction_date", "id_site")
+
+
+def presentation_engagement(stored: DataFrame) -> DataFrame:
+    """Clicks, active days and used resources of each presentation, merged from its students' bitmaps."""
+    return bitmaps.coarser_engagement(stored, PRESENTATION_KEY)
+
+
+def click_log_aggregates(interactions: DataFrame, stored: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Three aggregates of consolidated clicks: by student, resource and week.
+
+    With ``stored`` engagement bitmaps, the first is read off them.
+    """
     args = {"measure": "sum_click"}
     return {
-        "student_engagement_summary": agg.engagement(
-            interactions, [*PRESENTATION_KEY, "id_student"], day="interaction_date", resource="id_site", **args
+        "student_engagement_summary": bitmaps.engagement_counts(stored, SUMMARY_KEY) if stored is not None else agg.engagement(
+            interactions, SUMMARY_KEY, day="interaction_date", resource="id_site", **args
         ),
         "resource_popularity": agg.popularity(interactions, [*PRESENTATION_KEY, "id_site"], actor="id_student", **args),
         "weekly_engagement_trend": agg.weekly_trend(

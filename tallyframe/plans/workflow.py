@@ -21,7 +21,9 @@ from tallyframe.plans import analytics, clean, marts, quality
 from tallyframe.schemas import FULL_DATA_ROWS, PRESENTATION_KEY, SOURCES
 from tallyframe.session import build_session, release
 from tallyframe.sinks import (
+    Clustering,
     analysed_table,
+    buckets_for,
     export_run_log,
     logged_write,
     quality_markdown,
@@ -35,8 +37,13 @@ from tallyframe.sinks.runlog import read_run_log
 from tallyframe.sources import load_staging, preflight
 
 
-# The click table is stored by presentation, so that reports on one read only its files.
+# The click table is stored by presentation, so that reports on one read only its files, and inside that
+# clustered by student, so that no grouping by student, or by student and more, shuffles it. All rows of a
+# student lie in one bucket: they are at most one for each resource and day of the student's presentations.
 PARTITIONED = {"clean_student_vle_interaction": PRESENTATION_KEY}
+CLUSTERED = {"clean_student_vle_interaction": ("id_student",)}
+SORTED = {"clean_student_vle_interaction": ("id_student", "id_site")}
+SOURCE_OF = {"clean_student_vle_interaction": "stg_student_vle"}
 
 
 # Tables that have one row for each row of their source.
@@ -74,9 +81,12 @@ class Run:
     def _write(
         self, layer: str, stage: str, name: str, plan: Callable[[], DataFrame], source: str | None = None
     ) -> None:
-        path = f"{self.out_dir}/{layer}/{name}"
+        path, cluster = f"{self.out_dir}/{layer}/{name}", None
+        if name in CLUSTERED:
+            buckets = buckets_for(self.spark, f"{self.out_dir}/staging/{SOURCE_OF[name]}")
+            cluster = Clustering(CLUSTERED[name], buckets, SORTED[name])
         self.tables[name] = logged_write(
-            self.spark, plan, path, self.log, stage, name, self.expected.get(name), source, PARTITIONED.get(name, ())
+            self.spark, plan, path, self.log, stage, name, self.expected.get(name), source, PARTITIONED.get(name, ()), cluster
         )
 
     def stage(self) -> None:
@@ -97,19 +107,29 @@ class Run:
             self._write("clean", "clean_transform", name, plan)
             if name not in PARTITIONED:  # of the partitioned click table, the files tell the size
                 t[name] = analysed_table(self.spark, f"tallyframe_{name}", f"{self.out_dir}/clean/{name}", t[name].schema)
-        quality.check_clean_layer(t)
-        self._keep_rules("clean_rules", t, clean.CLEAN_RULES)
+        # One scan of the clicks serves the gate, the rules and the report.
+        counted = self._count_rules("clean_rules", t, clean.CLEAN_RULES, {quality.CLICKS: quality.CLICK_COUNTS})
+        quality.check_clean_layer(t, counted)
+        quality.rules_gate(counted)
+
+    def _count_rules(self, name: str, tables: Mapping[str, DataFrame], rules: Mapping, also: Mapping | None = None) -> DataFrame:
+        """Store how often each rule is broken."""
+        path = f"{self.out_dir}/ops/{name}"
+        replace_table(rule_report(tables, rules, CLUSTERED, also), path)
+        return read_table(self.spark, path)
 
     def _keep_rules(self, name: str, tables: Mapping[str, DataFrame], rules: Mapping) -> None:
         """Store how often each rule is broken, and stop if one is."""
-        path = f"{self.out_dir}/ops/{name}"
-        replace_table(rule_report(tables, rules), path)
-        quality.rules_gate(read_table(self.spark, path))
+        quality.rules_gate(self._count_rules(name, tables, rules))
 
     def analyse(self) -> None:
-        """The click totals per registration are stored first; the engagement table joins them."""
+        """The bitmaps and click totals per registration are stored first; the engagement table joins them."""
         t = self.tables
-        for name, df in analytics.click_log_aggregates(t["clean_student_vle_interaction"]).items():
+        clicks, path = t["clean_student_vle_interaction"], f"{self.out_dir}/analytics/student_engagement_bitmaps"
+        replace_table(analytics.engagement_bitmaps(clicks), path)
+        bitmaps = read_table(self.spark, path)
+        results = analytics.click_log_aggregates(clicks, bitmaps)
+        for name, df in {**results, "presentation_engagement": analytics.presentation_engagement(bitmaps)}.items():
             write_tier(df, self.out_dir, "aggregates", name)
         totals = read_table(self.spark, f"{self.out_dir}/aggregates/student_engagement_summary/parquet")
         for name, plan in analytics.analytics_plans(t, totals).items():
@@ -126,7 +146,8 @@ class Run:
     def report(self) -> str:
         """Write the quality report as table, CSV and Markdown, and return the Markdown."""
         expectations = quality.expected_rows(self.spark, self.known_rows())
-        stored = write_quality(quality.full_report(self.tables, expectations), f"{self.out_dir}/ops")
+        counted = read_table(self.spark, f"{self.out_dir}/ops/clean_rules")
+        stored = write_quality(quality.full_report(self.tables, expectations, counted), f"{self.out_dir}/ops")
         text = quality_markdown(stored)
         write_text(self.spark, f"{self.out_dir}/ops/data_quality_summary.md", text)
         gate(stored.withColumnRenamed("result_id", "check_order"))

@@ -10,7 +10,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.sinks.tables import read_table, replace_table
+from tallyframe.sinks.tables import Clustering, read_clustered, read_table, replace_table
 from tallyframe.sources import literal_rows
 
 LOG_SCHEMA = (
@@ -63,19 +63,21 @@ def logged_write(
     expected_rows: int | None = None,
     source: str | None = None,
     partition_by: Sequence[str] = (),
+    cluster: Clustering | None = None,
 ) -> DataFrame:
     """Build a table, publish it if its row count is right, log the outcome, and read it back.
 
+    A clustered table is read back as the catalogue table ``tallyframe_<target>``.
     ``plan`` is called here, so that steps it runs by itself are timed and logged too.
     """
     started, rows = time.perf_counter(), None
     try:
         df = plan()
-        rows = replace_table(df, path, partition_by, expected_rows)
+        rows = replace_table(df, path, partition_by, expected_rows, cluster)
     except Exception as error:
         rows = getattr(error, "rows", rows)
         log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "FAILED", str(error), source)
         raise
     message = "Rows written." if expected_rows is None else "Row count matched the expected count."
     log_run(spark, log_path, stage, target, rows, time.perf_counter() - started, "SUCCESS", message, source)
-    return read_table(spark, path, df.schema)
+    return read_clustered(spark, f"tallyframe_{target}", path, df.schema) if cluster else read_table(spark, path, df.schema)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,25 @@ TIERS = ("aggregates", "restricted")
 KEPT_VERSIONS = 2
 
 
+#: Source bytes for each bucket of a clustered table.
+BUCKET_BYTES = 128 << 20
+LAYOUT_FILE = "_layout.json"  # Spark does not read files whose name begins so
+
+
+@dataclass(frozen=True)
+class Clustering:
+    """Rows with equal ``keys`` in one bucket, sorted by ``sort_by``; one file for each bucket and partition.
+
+    Grouping by the keys, or by more columns than them, needs no shuffle. All
+    rows of a key are read by one task, so the keys must not be hotter than a
+    task can take: choose keys whose rows are bounded.
+    """
+
+    keys: tuple[str, ...]
+    buckets: int
+    sort_by: tuple[str, ...]
+
+
 class PublishError(RuntimeError):
     """Another writer published the version that this one meant to."""
 
@@ -51,7 +72,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), expected_rows: int | None = None) -> int:
+def buckets_for(spark: SparkSession, source: str) -> int:
+    """Buckets for a table made from the files below ``source``: as many as follow from its size, or as there are cores."""
+    folder, files = _folder(spark, source)
+    size = files.getContentSummary(folder).getLength()
+    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+
+
+def _write_clustered(writer, path: str, partition_by: Sequence[str], cluster: Clustering) -> None:
+    """Bucketed files can only be written through the catalogue; its entry goes at once, the files stay."""
+    spark, name = writer._spark, f"pending_{uuid.uuid4().hex}"
+    writer = writer.format("parquet").option("path", path).bucketBy(cluster.buckets, *cluster.keys).sortBy(*cluster.sort_by)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+    write_text(spark, f"{path}/{LAYOUT_FILE}", json.dumps(asdict(cluster) | {"partition_by": list(partition_by)}))
+
+
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), expected_rows: int | None = None, cluster: Clustering | None = None
+) -> int:
     """Write a new version of the Parquet table at ``path``, check it, publish it; returns its rows.
 
     The version is written aside, and becomes visible by one rename after its
@@ -61,17 +100,23 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), ex
     The rows are counted by the writing tasks themselves, so there is no second
     pass, and a stage that is run again for a lost executor counts once.
     With ``partition_by``, rows of a partition are brought together first;
-    adaptive execution splits a large partition over several files.
+    adaptive execution splits a large partition over several files. With
+    ``cluster``, rows are shuffled into its buckets; ``read_clustered`` finds them.
     """
     spark = df.sparkSession
-    if partition_by:
+    if cluster:
+        df = df.repartition(cluster.buckets, *cluster.keys)
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     seen = Observation()
     pending = f"{path}/.pending-{uuid.uuid4().hex}"
     aside, files = _folder(spark, pending)
     try:
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(pending)
+        if cluster:
+            _write_clustered(writer, pending, partition_by, cluster)
+        else:
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(pending)
         rows = seen.get["rows"]
         if expected_rows is not None and rows != expected_rows:
             raise CountMismatch(f"wrote {rows:,} rows where {expected_rows:,} were due", rows)
@@ -94,6 +139,30 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return spark.read.parquet(stored) if schema is None else spark.read.schema(schema).parquet(stored).select(*schema.names)
 
 
+def read_clustered(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
+    """The newest version of a clustered table, as a catalogue table ``name``, which tells Spark the buckets.
+
+    The catalogue only points to the files; the entry of an older version is replaced.
+    """
+    stored = current_version(spark, path)
+    file, files = _folder(spark, f"{stored}/{LAYOUT_FILE}")
+    stream = files.open(file)
+    layout = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    listed = lambda names: ", ".join(f"`{n}`" for n in names)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    partitions = f"PARTITIONED BY ({listed(layout['partition_by'])})" if layout["partition_by"] else ""
+    location = stored.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet {partitions} CLUSTERED BY ({listed(layout['keys'])})"
+        f" SORTED BY ({listed(layout['sort_by'])}) INTO {layout['buckets']} BUCKETS LOCATION '{location}'"
+    )
+    if partitions:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name).select(*schema.names)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

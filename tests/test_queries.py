@@ -9,11 +9,6 @@ import __spark_entry__ as entry
 from workload.registry import QUERIES, SQL as ORACLES
 
 SF = "/root/testdata/sf0.001"
-# Queries over many layers, whose steps the workflow tests cover by hand-made data.
-LONG = {
-    "quality_report", "analytics_gate", "clean_rules", "analytics_rules", "engagement_mart_rules", "labelled_engagement",
-    "fact_student_vle_keys",
-}
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +28,7 @@ def test_entry_runs(spark):
     assert df.columns == ["event_type", "presentation_week", "total_clicks", "distinct_students"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES.keys() - LONG))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

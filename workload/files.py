@@ -23,7 +23,7 @@ from tallyframe.sinks import (
 from tallyframe.sources import assert_counts, load_staging, preflight, read_csv
 from workload.registry import query
 from workload.staging_sql import LAYERS
-from workload.tables import layers, staging, table
+from workload.tables import enrolments, layers, order_lines, staging, table
 
 # Text with commas, quotes and both, as a raw file may hold it.
 TRICKY_SQL = """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority || ', urgent' WHEN 1 THEN '"' || o_orderpriority || '"'
@@ -93,13 +93,13 @@ def _(spark, d):
 @query(
     "staging_from_files",
     LAYERS + " UNION ALL ".join(
-        f"\nSELECT '{s.table}' AS table_name, count(*) AS total_rows, count(DISTINCT t) AS distinct_rows FROM {s.table} t" for s in SOURCES[:3]
+        f"\nSELECT '{s.table}' AS table_name, count(*) AS total_rows, count(DISTINCT t) AS distinct_rows FROM {s.table} t" for s in SOURCES
     ),
 )
 def _(spark, d):
     """Staging tables loaded from files that are made of the derived ones, with their counts."""
-    names = [s.table for s in SOURCES[:3]]
-    stg = load_staging(spark, _raw(spark, d, names), SOURCES[:3])
+    names = [s.table for s in SOURCES]
+    stg = load_staging(spark, _raw(spark, d, names))
     parts = []
     for name in names:
         columns = SOURCE_BY_TABLE[name].columns
@@ -113,16 +113,27 @@ def _(spark, d):
 
 @query(
     "count_gate",
-    LAYERS + "\nSELECT 'stg_courses' AS table_name, (SELECT count(*) FROM stg_courses) AS total_rows",
+    LAYERS + " UNION ALL ".join(f"\nSELECT '{s.table}' AS table_name, count(*) AS total_rows FROM {s.table}" for s in SOURCES),
 )
 def _(spark, d):
-    """The count gate, held against counts worked out from the orders."""
-    stg = load_staging(spark, _raw(spark, d, ["stg_courses"]), SOURCES[:1])
-    expected = staging(spark, d)["_orders"].select("code_module", "code_presentation").distinct().count()
-    counts = assert_counts(stg, {"stg_courses": expected})
-    return stg["stg_courses"].groupBy().agg(F.lit("stg_courses").alias("table_name"), F.count("code_module").alias("total_rows")).where(
-        F.col("total_rows") == counts["stg_courses"]
-    )
+    """All seven files through the count gate, held against counts worked out from the given tables."""
+    orders = enrolments(spark, d)
+    lines = order_lines(spark, d, orders)
+    student = ["id_student", "code_module", "code_presentation"]
+    keys = {
+        "stg_courses": (orders, student[1:]),
+        "stg_student_info": (orders, student),
+        "stg_student_registration": (orders, student),
+        "stg_assessments": (lines, ["context", "l_returnflag"]),
+        "stg_vle": (lines, ["context", "l_linenumber"]),
+        "stg_student_assessment": (lines, ["context", "l_returnflag", "id_student"]),
+    }
+    expected = {name: df.select(*columns).distinct().count() for name, (df, columns) in keys.items()}
+    expected["stg_student_vle"] = table(spark, d, "lineitem").count()
+    stg = load_staging(spark, _raw(spark, d, [s.table for s in SOURCES]))
+    counts = assert_counts(stg, expected)
+    each = {name: df.agg(F.count(F.lit(1)).alias("total_rows")).where(F.col("total_rows") == counts[name]) for name, df in stg.items()}
+    return union_all([df.select(F.lit(name).alias("table_name"), "total_rows") for name, df in each.items()])
 
 
 @query(

@@ -1,13 +1,17 @@
 """The staging -> clean -> analytics -> quality -> mart workflow over derived tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from tallyframe.operators import aggregates as agg
+from tallyframe.operators import bitmaps
 from tallyframe.operators.joins import union_all
 from tallyframe.operators.quality import Check, ForeignKey, NotNull, rule_report
 from tallyframe.plans import analytics, clean, marts, profiling, quality
 from tallyframe.schemas import PRESENTATION_KEY
-from tallyframe.session import materialise
+from tallyframe.session import materialise, scratch
+from tallyframe.sinks import Clustering, read_clustered, replace_table
 from workload.registry import doubles, query
 from workload.staging_sql import LAYERS, flawed_sql, rounded_mean, rounded_pct
 from workload.tables import Plans, enrolments, flawed, layers, order_lines, staging
@@ -160,6 +164,44 @@ def _(spark, d):
     return analytics.click_log_aggregates(clicks)["student_engagement_summary"]
 
 
+def _clustered_clicks(spark, d):
+    """The clean clicks as the workflow stores them: by presentation, and clustered by student."""
+    clicks, path = layers(spark, d)["clean_student_vle_interaction"], scratch(spark, "clicks")
+    cluster = Clustering(("id_student",), spark.sparkContext.defaultParallelism, ("id_student", "id_site"))
+    replace_table(clicks, path, PRESENTATION_KEY, cluster=cluster)
+    return read_clustered(spark, f"clicks_{path.rpartition('-')[2]}", path, clicks.schema)
+
+
+@query(
+    "engagement_from_bitmaps",
+    sql(
+        """SELECT code_module, code_presentation, id_student, CAST(sum(sum_click) AS BIGINT) AS total_clicks,
+        count(DISTINCT interaction_date) AS active_days, count(DISTINCT id_site) AS distinct_resources,
+        min(interaction_date) AS first_active_day, max(interaction_date) AS last_active_day
+        FROM clean_student_vle_interaction GROUP BY ALL"""
+    ),
+)
+def _(spark, d):
+    """The engagement summary from stored bitmaps of clustered clicks."""
+    stored = materialise(analytics.engagement_bitmaps(_clustered_clicks(spark, d)), "bitmaps")
+    return bitmaps.engagement_counts(stored, analytics.SUMMARY_KEY)
+
+
+@query(
+    "presentation_engagement",
+    sql(
+        """SELECT code_module, code_presentation, CAST(sum(sum_click) AS BIGINT) AS total_clicks,
+        count(DISTINCT interaction_date) AS active_days, count(DISTINCT id_site) AS distinct_resources,
+        min(interaction_date) AS first_active_day, max(interaction_date) AS last_active_day
+        FROM clean_student_vle_interaction GROUP BY ALL"""
+    ),
+)
+def _(spark, d):
+    """The students' bitmaps merged by presentation."""
+    stored = materialise(analytics.engagement_bitmaps(_clustered_clicks(spark, d)), "bitmaps")
+    return analytics.presentation_engagement(stored)
+
+
 @query(
     "resource_popularity",
     sql(
@@ -719,14 +761,15 @@ def _(spark, d):
     return report.select("check_name", "observed_value", "status")
 
 
-# When a row breaks the rule of a name, written here anew in SQL.
+# When a row breaks the rule of a name (or of a table and a name), written here anew in SQL.
 BROKEN = {
     "length above zero": "module_presentation_length < 1",
     "known gender": "gender <> 'M' AND gender <> 'F'",
     "known disability flag": "disability <> 'Y' AND disability <> 'N'",
     "known deprivation band": "NOT regexp_matches(imd_band, '^([1-8]0|0)-[1-9]0%$|^90-100%$') OR imd_band = '0-20%'",
     "known age band": "age_band <> '0-35' AND age_band <> '35-55' AND age_band <> '55<='",
-    "attempts not negative": "num_of_prev_attempts < 0",
+    ("clean_registration", "attempts not negative"): "num_of_prev_attempts < 0",
+    ("fact_learning_engagement", "attempts not negative"): "previous_attempts < 0",
     "credits above zero": "studied_credits < 1",
     "known result": "final_result NOT IN ('Pass', 'Fail', 'Withdrawn', 'Distinction')",
     "unregistered after registering": "date_registration > date_unregistration",
@@ -754,7 +797,7 @@ def _violations_sql(table, rule):
     if isinstance(rule, NotNull):
         return _count(table, " OR ".join(f"{c} IS NULL" for c in rule.columns))
     if isinstance(rule, Check):
-        return _count(table, BROKEN[rule.name])
+        return _count(table, BROKEN.get((table, rule.name)) or BROKEN[rule.name])
     keys = ", ".join(rule.keys)
     if isinstance(rule, ForeignKey):
         pairs = zip(rule.parent_keys or rule.keys, rule.keys, strict=True)
@@ -875,10 +918,39 @@ def _(spark, d):
     return doubles(marts.labelled_engagement(fact, dims), "average_score")
 
 
-@query("engagement_mart_rules", sql(_rules_sql(marts.ENGAGEMENT_MART_RULES), ENGAGEMENT_MART))
+# Mart rows that break rules, made of good ones; the tables keep their names behind ``f_``.
+MART_FLAWS = """f_dim_student AS (FROM dim_student UNION ALL SELECT student_key + 1, * EXCLUDE student_key FROM dim_student WHERE student_key % 5 = 0),
+f_dim_module_presentation AS (FROM dim_module_presentation UNION ALL
+  SELECT module_presentation_key, code_module, 'x', presentation_year, 'X', 0 FROM dim_module_presentation WHERE code_module = 'AAA'),
+f_dim_age_band AS (FROM dim_age_band UNION ALL SELECT age_band_key + 10, '20-30', 9 FROM dim_age_band),
+f_dim_outcome AS (FROM dim_outcome UNION ALL SELECT outcome_key + 10, 'Left', outcome_category, 5, outcome_order FROM dim_outcome),
+f_fact_learning_engagement AS (FROM fact_learning_engagement UNION ALL
+  SELECT engagement_fact_key, -student_key, module_presentation_key, NULL, outcome_key + 20, 0, -1, total_clicks, active_days, resources_used,
+    assessment_submissions, average_score FROM fact_learning_engagement WHERE engagement_fact_key % 3 = 0
+  UNION ALL FROM fact_learning_engagement WHERE engagement_fact_key % 7 = 0)"""
+_MART_RULES = re.sub(r"\b(FROM|JOIN) (dim_|fact_)", r"\1 f_\2", _rules_sql(marts.ENGAGEMENT_MART_RULES))
+
+
+@query("engagement_mart_rules", sql(_MART_RULES, ENGAGEMENT_MART, MART_FLAWS))
 def _(spark, d):
+    """Mart rules over good rows and many that break one."""
     fact, dims = _engagement_fact(spark, d)
-    return rule_report({**dims, "fact_learning_engagement": materialise(fact, "fact")}, marts.ENGAGEMENT_MART_RULES)
+    key = F.col("engagement_fact_key")
+    fact = materialise(fact, "fact")
+    wrong = {
+        "student_key": -F.col("student_key"), "age_band_key": F.lit(None).cast("bigint"), "outcome_key": F.col("outcome_key") + 20,
+        "studied_credits": F.lit(0).cast("bigint"), "previous_attempts": F.lit(-1).cast("bigint"),
+    }
+    more = {
+        "dim_student": ("student_key % 5 = 0", {"student_key": F.col("student_key") + 1}),
+        "dim_module_presentation": ("code_module = 'AAA'", {
+            "code_presentation": F.lit("x"), "presentation_term": F.lit("X"), "module_presentation_length": F.lit(0).cast("bigint")}),
+        "dim_age_band": ("true", {"age_band_key": F.col("age_band_key") + 10, "age_band": F.lit("20-30"), "age_band_order": F.lit(9)}),
+        "dim_outcome": ("true", {"outcome_key": F.col("outcome_key") + 10, "final_result": F.lit("Left"), "successful_completion": F.lit(5)}),
+    }
+    tables = {name: dims[name].unionByName(dims[name].where(where).withColumns(changes)) for name, (where, changes) in more.items()}
+    tables["fact_learning_engagement"] = fact.unionByName(fact.where(key % 3 == 0).withColumns(wrong)).unionByName(fact.where(key % 7 == 0))
+    return rule_report(tables, marts.ENGAGEMENT_MART_RULES)
 
 
 @query(

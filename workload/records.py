@@ -16,7 +16,7 @@ from tallyframe.functions import (
     to_int,
 )
 from tallyframe.operators import aggregates as agg
-from tallyframe.operators import profile
+from tallyframe.operators import bitmaps, profile
 from tallyframe.operators.corrections import (
     append_valid,
     apply_corrections,
@@ -37,7 +37,8 @@ from tallyframe.operators.joins import (
     with_keys,
 )
 from tallyframe.operators.ordering import distinct_rows, first_per_key, surrogate_key, top_k
-from tallyframe.operators.quality import Check, ForeignKey, NotNull, Unique, rule_report, violations
+from tallyframe.operators.quality import Check, ForeignKey, NotNull, Unique, rule_report, surplus_rows, violations
+from tallyframe.operators.references import key_set, marked
 from tallyframe.session import materialise
 from tallyframe.sources import literal_rows, preview
 from workload.registry import doubles, query
@@ -542,14 +543,58 @@ def _(spark, d):
     count(DISTINCT o_orderpriority || '-' || o_orderstatus) AS pairs FROM orders""",
 )
 def _(spark, d):
-    return table(spark, d, "orders").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.countDistinct("o_custkey").alias("customers"),
-        F.countDistinct("o_orderpriority").alias("priorities"),
-        F.countDistinct(composite("o_orderpriority", "o_orderstatus")).alias("pairs"),
+    orders = table(spark, d, "orders").withColumn("pair", composite("o_orderpriority", "o_orderstatus"))
+    return bitmaps.distinct_counts(orders, [], {"customers": "o_custkey", "priorities": "o_orderpriority", "pairs": "pair"}, "rows")
+
+
+@query(
+    "distinct_by_group",
+    """SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, count(DISTINCT l_partkey) AS parts,
+    count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY l_returnflag""",
+)
+def _(spark, d):
+    """Three distinct counts of few large groups in one pass."""
+    return bitmaps.distinct_counts(
+        table(spark, d, "lineitem"), ["l_returnflag"], {"orders": "l_orderkey", "parts": "l_partkey", "suppliers": "l_suppkey"}
     )
 
 
+@query(
+    "surplus_by_hash",
+    """SELECT 'lineitem' AS table_name, count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS violations
+    FROM lineitem UNION ALL
+    SELECT 'events', count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) FROM events)) FROM events""",
+)
+def _(spark, d):
+    """Rows beyond the first of a wide key; only hashes are shuffled, and the keys of those that repeat."""
+    events = table(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
+    found = {
+        "lineitem": surplus_rows(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        "events": surplus_rows(events, ["user_id", "event_type", "day"]),
+    }
+    return union_all([df.select(F.lit(name).alias("table_name"), "violations") for name, df in found.items()])
+
+
+@query(
+    "references_in_one_scan",
+    """SELECT count(*) FILTER (NOT EXISTS (FROM orders o WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F')) AS no_open_order,
+      count(*) FILTER (NOT EXISTS (FROM part WHERE p_partkey = l_partkey AND p_size > 10)) AS no_large_part,
+      count(*) FILTER (NOT EXISTS (FROM supplier, nation WHERE s_suppkey = l_suppkey AND s_nationkey = n_nationkey AND n_regionkey < 3))
+        AS no_near_supplier,
+      count(*) FILTER (l_quantity > 45) AS large FROM lineitem""",
+)
+def _(spark, d):
+    """Three references and a condition, with many rows that break each."""
+    near = table(spark, d, "nation").where("n_regionkey < 3").select(F.col("n_nationkey").alias("s_nationkey"))
+    sets = {
+        "open_order": key_set(table(spark, d, "orders").where("o_orderstatus <> 'F'").withColumnRenamed("o_orderkey", "l_orderkey"), ["l_orderkey"]),
+        "large_part": key_set(table(spark, d, "part").where("p_size > 10").withColumnRenamed("p_partkey", "l_partkey"), ["l_partkey"]),
+        "near_supplier": key_set(table(spark, d, "supplier").join(near, "s_nationkey").withColumnRenamed("s_suppkey", "l_suppkey"), ["l_suppkey"]),
+    }
+    counts = [F.count_if(~F.coalesce(F.col(name), F.lit(False))).alias(f"no_{name}") for name in sets]
+    return marked(table(spark, d, "lineitem"), sets).agg(*counts, F.count_if(F.col("l_quantity") > 45).alias("large"))
+
+
 @query(
     "missing_profile",
     RAW_SQL
