@@ -7,9 +7,13 @@ scores or merges in the order of their scores, and byte fallback.
 If no piece reaches across a space, which the model's own pieces tell, a text's
 tokens are those of its words, each with the spaces before it. Then every
 different word of a batch is encoded once, by the library's threads, and texts
-are put together from these. Other models encode whole texts. Parity: whatever
-the library encodes is also encoded by the SentencePiece library and compared;
-a unit that differs takes SentencePiece's tokens and marks its text.
+are put together from these. Other models encode whole texts. Tokens and decoded
+texts are those of the rebuilt tokenizer. Parity: whatever it encodes is also
+encoded by the SentencePiece library and compared; a unit that differs marks its
+text.
+
+A worker process has one codec, which its tasks share, with a store of words that
+is bounded by bytes; each task first gives unused memory back to the system.
 
 Defined results: a null text gives null tokens and a null decoded text, an empty
 one no tokens. A text that holds the marker itself decodes to spaces in its
@@ -20,6 +24,7 @@ unchanged; input columns named like a result are replaced.
 from __future__ import annotations
 
 import codecs
+import ctypes
 import hashlib
 import os
 import re
@@ -38,8 +43,9 @@ from tallyframe.llm.common import add_columns
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-CACHE_WORDS = 400_000
-WORDS_AT_ONCE = 32_768
+#: Text of the words that a worker keeps, with an allowance for each word.
+CACHE_BYTES, WORD_BYTES = 32 << 20, 150
+WORDS_AT_ONCE = 4096
 #: Of the tokenizers library in each task; more than a task's cores only wait in turns.
 THREADS = 2
 BATCH_BYTES = 4 << 20
@@ -165,15 +171,13 @@ def splits_at_spaces(spec: Spec) -> bool:
 
 
 class Codec:
-    """Encoder and decoder of one task, with a bounded store of words already encoded."""
+    """Encoder and decoder of one worker, with a bounded store of words already encoded."""
 
     def __init__(self, data: bytes):
         self.spec = parse_model(data)
         self.by_words = splits_at_spaces(self.spec)
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))  # read when the library's threads start
-        self.tokenizer = build(self.spec, prefix=not self.by_words)
-        if self.by_words:
-            self.tokenizer.normalizer = normalizers.Sequence([])  # units are given with the marker in place
+        self.tokenizer = build(self.spec, prefix=not self.by_words)  # units come with their spaces
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.bytes_of = [
             bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(MARK, " ").encode()
@@ -181,9 +185,11 @@ class Codec:
         ]
         self.bytes_of[self.spec.unknown] = " ⁇ ".encode()
         codecs.register_error("each-byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+        self.control = frozenset(i for i, (_, _, kind) in enumerate(self.spec.pieces) if kind == CONTROL)
         self.clear()
 
     def clear(self) -> None:
+        self.held = 0
         self.number: dict[str, int] = {}
         self.flat, self.sizes, self.agree = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
 
@@ -194,7 +200,7 @@ class Codec:
         if self.by_words:  # a last single space, which SentencePiece alone would take for no text
             wanted = [w if p else [self.reference.piece_to_id(MARK)] for w, p in zip(wanted, plain, strict=True)]
         same = [a == b for a, b in zip(got, wanted, strict=True)]
-        return wanted, same
+        return got, same
 
     def units(self, text: str) -> list[str]:
         """Words of a text, each with the spaces before it."""
@@ -231,15 +237,16 @@ class Codec:
 
     def encode_words(self, units: list[list[str]]) -> list[tuple[np.ndarray, bool]]:
         """Tokens of lists of units, of which only those not met before are encoded."""
-        if len(self.number) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
         fresh = list({u for us in units for u in us if u not in self.number})
+        self.held += sum(map(len, fresh)) + WORD_BYTES * len(fresh)
         self.number.update(zip(fresh, range(len(self.sizes), len(self.sizes) + len(fresh)), strict=True))
         flat, sizes, agree = [self.flat], [self.sizes], [self.agree]
         for start in range(0, len(fresh), WORDS_AT_ONCE):  # the library's results are much larger than the tokens
             # A unit without its spaces stands for one with a single space before it.
             marked = [u if u.startswith(" ") else " " + u for u in fresh[start : start + WORDS_AT_ONCE]]
-            ids, same = self.both([u.replace(" ", MARK) for u in marked], [u[1:] for u in marked])
+            ids, same = self.both(marked, [u[1:] for u in marked])
             flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
             sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
             agree.append(np.array(same, bool))
@@ -254,8 +261,21 @@ class Codec:
         return out
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of tokens; each byte that is not UTF-8 becomes a replacement character."""
-        tokens = ids.tolist()
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, texts: list[np.ndarray]) -> list[str]:
+        """The text of each list of tokens; control pieces have none, and each byte that is not UTF-8 becomes a replacement character.
+
+        The rebuilt decoder gives up a whole run of byte pieces if a part of it is
+        not UTF-8, and does not know SentencePiece's sign for unknown pieces; such
+        lists, which no encoding of a text by bytes gives, are put together by bytes.
+        """
+        plain = [t.tolist() for t in texts]
+        odd = self.control | {self.spec.unknown}
+        found = self.tokenizer.decode_batch(plain, skip_special_tokens=False)
+        return [self.by_bytes(t) if "\ufffd" in text or not odd.isdisjoint(t) else text for t, text in zip(plain, found, strict=True)]
+
+    def by_bytes(self, tokens: list[int]) -> str:
         data = b"".join(map(self.bytes_of.__getitem__, tokens))
         first = next((p for p, _, kind in map(self.spec.pieces.__getitem__, tokens) if kind != CONTROL), "")
         if self.spec.dummy_prefix and first.startswith(MARK):
@@ -263,6 +283,23 @@ class Codec:
         return data.decode(errors="each-byte")
 
 
+def give_back() -> None:
+    """Return memory that neither Arrow nor the allocator uses to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def codec_of(held: dict) -> Codec:
+    """The codec of this worker process; ``held`` is a broadcast dictionary, of which a worker has one copy."""
+    give_back()
+    if "codec" not in held:
+        held["codec"] = Codec(held["model"])
+    return held["codec"]
+
+
 def read_model(path: str) -> bytes:
     """A model's bytes; the driver reads them, and the tasks get them by broadcast."""
     with open(path, "rb") as file:
@@ -276,10 +313,10 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", r
     32-bit numbers, and whether the decoded text equals the given one, instead of
     tokens and decoded text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast({"model": model})
 
     def start():
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             given = batch.column(text).to_pylist()
@@ -288,7 +325,8 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", r
             parity = pa.array([None if t is None else same for t, (_, same) in zip(given, found, strict=True)], pa.bool_())
             if results == "tokens":
                 return [pa.array(ids, pa.list_(pa.int32())), parity]
-            decoded = [None if i is None else codec.decode(i) for i in ids]
+            texts = iter(codec.decode_all([i for i in ids if i is not None]))
+            decoded = [None if i is None else next(texts) for i in ids]
             if results == "texts":
                 return [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), parity]
             return [
@@ -305,13 +343,15 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", r
 
 def decode(tokens: DataFrame, model: bytes, keep: list[str], ids: str = "ids") -> DataFrame:
     """The columns ``keep`` with ``decoded``, the text of each array of tokens (null for null)."""
-    shared = tokens.sparkSession.sparkContext.broadcast(model)
+    shared = tokens.sparkSession.sparkContext.broadcast({"model": model})
 
     def start():
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
-            return [pa.array([None if i is None else codec.decode(np.array(i, np.int32)) for i in batch.column(ids).to_pylist()], pa.string())]
+            given = [None if i is None else np.array(i, np.int32) for i in batch.column(ids).to_pylist()]
+            texts = iter(codec.decode_all([i for i in given if i is not None]))
+            return [pa.array([None if i is None else next(texts) for i in given], pa.string())]
 
         return work
 

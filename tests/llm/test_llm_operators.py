@@ -326,9 +326,40 @@ def test_unigram_models(byte_fallback):
     assert not codec.by_words
     r = random.Random(9)
     texts = ["".join(r.choice("aabbcc dé") for _ in range(r.randrange(0, 25))) for _ in range(300)]
-    got = codec.encode(texts)
-    assert [g[0].tolist() for g in got] == model.encode(texts)
-    assert np.mean([g[1] for g in got]) > 0.99
+    got, wanted = codec.encode(texts), model.encode(texts)
+    assert [g[1] for g in got] == [g[0].tolist() == w for g, w in zip(got, wanted, strict=True)]
+    assert np.mean([g[1] for g in got]) > 0.99  # equal scores may be settled otherwise
+    assert [codec.decode(np.array(w, np.int32)) for w in wanted] == model.decode(wanted)
+
+
+def test_tokens_are_those_of_the_rebuilt_tokenizer(monkeypatch):
+    """A backend that answers wrongly changes the tokens and the decoded text, and breaks parity."""
+    codec = pieces.Codec(pieces.read_model(pieces.MODEL_FILE))
+    true = codec.tokenizer
+
+    class Wrong:
+        def encode_batch_fast(self, units, add_special_tokens):
+            return true.encode_batch_fast(["x" for _ in units], add_special_tokens=add_special_tokens)
+
+        def decode_batch(self, ids, skip_special_tokens):
+            return ["?" for _ in ids]
+
+    right = codec.encode(["some words", "x x"])
+    codec.clear()
+    codec.tokenizer = Wrong()
+    wrong = codec.encode(["some words", "x x"])
+    assert right[0][1] and not wrong[0][1] and right[0][0].tolist() != wrong[0][0].tolist()
+    assert codec.decode(right[0][0]) == "?"
+
+
+def test_a_worker_shares_one_bounded_codec(monkeypatch):
+    held = {"model": pieces.read_model(pieces.MODEL_FILE)}
+    codec = pieces.codec_of(held)
+    assert pieces.codec_of(held) is codec
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 3000)
+    for k in range(40):
+        codec.encode([" ".join(f"w{k}x{j}" for j in range(10))])
+        assert codec.held <= 3000 + 10 * (pieces.WORD_BYTES + 10) and len(codec.number) == len(codec.sizes)
 
 
 def test_codec_cases(spark, odd, nothing):
