@@ -10,7 +10,8 @@ different word of a batch is encoded once, by the library's threads, and texts
 are put together from these. Other models encode whole texts. Tokens and decoded
 texts are those of the rebuilt tokenizer. Parity: whatever it encodes is also
 encoded by the SentencePiece library and compared; a unit that differs marks its
-text.
+text. Known to differ are long runs of one sign (such as 30 spaces): several
+merges give the same piece, and the libraries choose by position or by rank.
 
 A worker process has one codec, which its tasks share, with a store of words that
 is bounded by bytes; each task first gives unused memory back to the system.
