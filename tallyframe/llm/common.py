@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast, SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(sc: SparkContext, value: object) -> Broadcast:
+    """A broadcast of ``value`` by its contents, classes of this package included, for ``received``."""
+    return sc.broadcast({"pickled": cloudpickle.dumps(value)})
+
+
+def received(shared: Broadcast) -> object:
+    """The value that was shipped; a worker process makes it once."""
+    held = shared.value
+    if "value" not in held:
+        held["value"] = cloudpickle.loads(held.pop("pickled"))
+    return held["value"]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once however often ``body`` names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import add_columns, as_bytes, groups_of, word_pieces
+from tallyframe.llm.common import add_columns, as_bytes, groups_of, received, ship, word_pieces
 
 WINDOW = 13
 SHARD_BYTES = 32 << 20
@@ -293,13 +293,13 @@ def find(
 ) -> DataFrame:
     """The columns ``keep`` and the results. A document is contaminated if one word in ``part_of`` or more is hit."""
     sc = docs.sparkSession.sparkContext
-    searches = [sc.broadcast(Phrases(b, window)) for b in blocks(benchmark, item, item_text, block_bytes)]
+    searches = [ship(sc, Phrases(b, window)) for b in blocks(benchmark, item, item_text, block_bytes)]
     state = ("__spans", "__items")
 
     def passing(shared, first: bool, last: bool):
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             texts = [t or b"" for t in as_bytes(batch.column(text))]
-            words, spans, items = search_shard(texts, shared.value)
+            words, spans, items = search_shard(texts, received(shared))
             if not first:
                 spans = [merged(s + [(x["start"], x["end"]) for x in o]) for s, o in zip(spans, batch.column(state[0]).to_pylist(), strict=True)]
                 items = [i.union(o) for i, o in zip(items, batch.column(state[1]).to_pylist(), strict=True)]

@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import add_columns
+from tallyframe.llm.common import add_columns, received, ship
 
 PER_LANGUAGE = 300
 DIMENSIONS = 1 << 14
 PIECE = 1 << 20
 UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
+#: Letters, and number signs that count as word characters.
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII other than letters separates; bytes of other characters stay.
 _LETTER_BYTES = bytes(b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -84,6 +85,10 @@ def scaled(counts: np.ndarray) -> np.ndarray:
     return root / max(float(np.linalg.norm(root)), 1e-9)
 
 
+def has_letter(text: str) -> bool:
+    return any(sign.group().isalpha() for sign in _LETTER.finditer(text))
+
+
 class Machine(NamedTuple):
     """A linear separator; positive margins stand for the first class."""
 
@@ -119,7 +124,7 @@ class Model(NamedTuple):
     languages: dict[str, Level]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         x = scaled(counts_of(text))
         family, sure = self.families.choose(x)
@@ -191,10 +196,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession.sparkContext, model)
 
     def start():
-        predict = shared.value.predict
+        predict = received(shared).predict
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             found = [predict(t.as_py()) for t in batch.column(text)]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import add_columns, as_bytes
+from tallyframe.llm.common import add_columns, as_bytes, received, ship
 from tallyframe.llm.rules import STOP_WORDS
 
 TRAIN_ROWS = 4000
@@ -238,10 +238,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows:
 
 def judge(docs: DataFrame, model: Model, keep: list[str], text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
     """The columns ``keep`` with the posterior label, the scorer's probability of good, and whether it reaches ``keep_from``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession.sparkContext, model)
 
     def start():
-        labels, scorer = shared.value
+        labels, scorer = received(shared)
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             signs, scores = [], []

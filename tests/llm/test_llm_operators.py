@@ -377,6 +377,11 @@ def test_codec_cases(spark, odd, nothing):
     assert [tuple(r) for r in back.orderBy("k").collect()] == [(1, "a"), (2, None), (3, "")]
 
 
+def test_number_signs_are_no_letters():
+    assert not any(map(language.has_letter, ("", "½ ² ①", "Ⅷ 12 _ --", "\u0301")))
+    assert all(map(language.has_letter, ("½a", "é", "日", "ª", "_x")))
+
+
 # Cross-entropy difference
 
 
