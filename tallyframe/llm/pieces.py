@@ -45,7 +45,7 @@ from tallyframe.llm.common import add_columns
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Text of the words that a worker keeps, with an allowance for each word.
-CACHE_BYTES, WORD_BYTES = 32 << 20, 150
+CACHE_BYTES, WORD_BYTES = 64 << 20, 220
 WORDS_AT_ONCE = 4096
 #: Of the tokenizers library in each task; more than a task's cores only wait in turns.
 THREADS = 2
@@ -192,6 +192,7 @@ class Codec:
     def clear(self) -> None:
         self.held = 0
         self.number: dict[str, int] = {}
+        self.texts: list[str] = []
         self.flat, self.sizes, self.agree = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
 
     def both(self, units: list[str], plain: list[str]) -> tuple[list[list[int]], list[bool]]:
@@ -223,9 +224,17 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
         """Tokens of each text, and whether they were found alike by both libraries."""
+        return [(ids, same) for ids, same, _ in self.round_trip(texts)]
+
+    def round_trip(self, texts: list[str]) -> list[tuple[np.ndarray, bool, str]]:
+        """Tokens of each text, whether they were found alike by both libraries, and the text decoded from the tokens.
+
+        Where tokens are those of words, each different word's are decoded once.
+        """
         if not self.by_words:
             ids, same = self.both(texts, texts)
-            return [(np.array(i, np.int32), s) for i, s in zip(ids, same, strict=True)]
+            arrays = [np.array(i, np.int32) for i in ids]
+            return list(zip(arrays, same, self.decode_all(arrays), strict=True))
         short = iter(self.encode_words([self.units(t) for t in texts if len(t) <= SECTION]))
         out = []
         for t in texts:
@@ -233,11 +242,12 @@ class Codec:
                 out.append(next(short))
                 continue
             parts = [self.encode_words([self.units(part) or [""]])[0] for part in self.sections(t)]
-            out.append((np.concatenate([ids for ids, _ in parts]), all(same for _, same in parts)))
+            ids, same, back = zip(*parts, strict=True)
+            out.append((np.concatenate(ids), all(same), " ".join(back)))
         return out
 
-    def encode_words(self, units: list[list[str]]) -> list[tuple[np.ndarray, bool]]:
-        """Tokens of lists of units, of which only those not met before are encoded."""
+    def encode_words(self, units: list[list[str]]) -> list[tuple[np.ndarray, bool, str]]:
+        """Tokens of lists of units, and their texts, of which only those not met before are encoded and decoded."""
         if self.held > CACHE_BYTES:
             self.clear()
         fresh = list({u for us in units for u in us if u not in self.number})
@@ -248,6 +258,7 @@ class Codec:
             # A unit without its spaces stands for one with a single space before it.
             marked = [u if u.startswith(" ") else " " + u for u in fresh[start : start + WORDS_AT_ONCE]]
             ids, same = self.both(marked, [u[1:] for u in marked])
+            self.texts += self.decode_all(ids)  # without the space before it, as at the start of a text
             flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
             sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
             agree.append(np.array(same, bool))
@@ -258,20 +269,21 @@ class Codec:
             at = np.fromiter(map(self.number.__getitem__, us), np.int64, len(us))
             size = self.sizes[at]
             shift = np.repeat(starts[at] - (np.cumsum(size) - size), size)
-            out.append((self.flat[shift + np.arange(len(shift))], bool(self.agree[at].all())))
+            back = " ".join(map(self.texts.__getitem__, at.tolist()))
+            out.append((self.flat[shift + np.arange(len(shift))], bool(self.agree[at].all()), back))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
         return self.decode_all([ids])[0]
 
-    def decode_all(self, texts: list[np.ndarray]) -> list[str]:
+    def decode_all(self, texts: list[np.ndarray] | list[list[int]]) -> list[str]:
         """The text of each list of tokens; control pieces have none, and each byte that is not UTF-8 becomes a replacement character.
 
         The rebuilt decoder gives up a whole run of byte pieces if a part of it is
         not UTF-8, and does not know SentencePiece's sign for unknown pieces; such
         lists, which no encoding of a text by bytes gives, are put together by bytes.
         """
-        plain = [t.tolist() for t in texts]
+        plain = [t.tolist() if isinstance(t, np.ndarray) else t for t in texts]
         odd = self.control | {self.spec.unknown}
         found = self.tokenizer.decode_batch(plain, skip_special_tokens=False)
         return [self.by_bytes(t) if "\ufffd" in text or not odd.isdisjoint(t) else text for t, text in zip(plain, found, strict=True)]
@@ -321,13 +333,12 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", r
 
         def work(batch: pa.RecordBatch) -> list[pa.Array]:
             given = batch.column(text).to_pylist()
-            found = codec.encode([t or "" for t in given])
-            ids = [None if t is None else i for t, (i, _) in zip(given, found, strict=True)]
-            parity = pa.array([None if t is None else same for t, (_, same) in zip(given, found, strict=True)], pa.bool_())
+            found = codec.round_trip([t or "" for t in given])
+            ids = [None if t is None else i for t, (i, _, _) in zip(given, found, strict=True)]
+            parity = pa.array([None if t is None else same for t, (_, same, _) in zip(given, found, strict=True)], pa.bool_())
             if results == "tokens":
                 return [pa.array(ids, pa.list_(pa.int32())), parity]
-            texts = iter(codec.decode_all([i for i in ids if i is not None]))
-            decoded = [None if i is None else next(texts) for i in ids]
+            decoded = [None if t is None else back for t, (_, _, back) in zip(given, found, strict=True)]
             if results == "texts":
                 return [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string()), parity]
             return [

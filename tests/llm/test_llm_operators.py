@@ -277,9 +277,9 @@ def test_codec_against_sentencepiece():
     codec, model = pieces.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     r = random.Random(3)
     texts = ["".join(r.choice(list("ab  ▁\n\té日𐍈<0x41>s")) for _ in range(r.randrange(0, 40))) for _ in range(800)] + ["", " ", "  ", "a ", LONG]
-    got, wanted = codec.encode(texts), model.encode(texts)
+    got, wanted = codec.round_trip(texts), model.encode(texts)
     assert [g[0].tolist() for g in got] == wanted and all(g[1] for g in got)
-    assert [codec.decode(g[0]) for g in got] == model.decode(wanted)
+    assert [codec.decode(g[0]) for g in got] == model.decode(wanted) == [g[2] for g in got]
     loose = [[r.randrange(3, 32000) if r.random() < 0.5 else r.randrange(3, 259) for _ in range(9)] for _ in range(300)]
     assert [codec.decode(np.array(x)) for x in loose] == model.decode(loose)
     assert [e.ids for e in pieces.build(codec.spec, True).encode_batch(texts, add_special_tokens=False)] == wanted
@@ -292,8 +292,9 @@ def test_long_texts_are_encoded_in_sections(monkeypatch):
     codec, model = pieces.Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data)
     r = random.Random(5)
     texts = ["".join(r.choice("ab   ▁\nté日") for _ in range(r.randrange(0, 60))) for _ in range(600)] + ["a" * 50, " " * 30, "▁" * 20 + "a", "x " + " " * 9]
-    got, wanted = codec.encode(texts), model.encode(texts)
+    got, wanted = codec.round_trip(texts), model.encode(texts)
     assert [g[1] for g in got] == [g[0].tolist() == w for g, w in zip(got, wanted, strict=True)]
+    assert [g[2] for g in got] == [codec.decode(g[0]) for g in got]
     # Long runs of one sign, whose merges tie, are all that the two libraries cut differently.
     assert {t for t, g in zip(texts, got, strict=True) if not g[1]} <= {" " * 30, "▁" * 20 + "a", "x " + " " * 9}
     assert [codec.decode(g[0]) for g in got] == model.decode(wanted)
@@ -330,8 +331,9 @@ def test_unigram_models(byte_fallback):
     assert not codec.by_words
     r = random.Random(9)
     texts = ["".join(r.choice("aabbcc dé") for _ in range(r.randrange(0, 25))) for _ in range(300)]
-    got, wanted = codec.encode(texts), model.encode(texts)
+    got, wanted = codec.round_trip(texts), model.encode(texts)
     assert [g[1] for g in got] == [g[0].tolist() == w for g, w in zip(got, wanted, strict=True)]
+    assert [g[2] for g in got] == [codec.decode(g[0]) for g in got]
     assert np.mean([g[1] for g in got]) > 0.99  # equal scores may be settled otherwise
     assert [codec.decode(np.array(w, np.int32)) for w in wanted] == model.decode(wanted)
 
