@@ -46,7 +46,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Text of the words that a worker keeps, with an allowance for each word.
 CACHE_BYTES, WORD_BYTES = 64 << 20, 220
-WORDS_AT_ONCE = 4096
+WORDS_AT_ONCE = 16_384
 #: Of the tokenizers library in each task; more than a task's cores only wait in turns.
 THREADS = 2
 BATCH_BYTES = 4 << 20
