@@ -17,8 +17,8 @@ TIERS = ("aggregates", "restricted")
 KEPT_VERSIONS = 2
 
 
-#: Source bytes for each bucket of a clustered table.
-BUCKET_BYTES = 128 << 20
+#: Source bytes for each bucket of a clustered table, and for each while there are fewer buckets than cores.
+BUCKET_BYTES, LEAST_BUCKET_BYTES = 128 << 20, 8 << 20
 LAYOUT_FILE = "_layout.json"  # Spark does not read files whose name begins so
 
 
@@ -73,10 +73,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def buckets_for(spark: SparkSession, source: str) -> int:
-    """Buckets for a table made from the files below ``source``: as many as follow from its size, or as there are cores."""
+    """Buckets for a table made from the files below ``source``: as many as follow from its size, and enough for all cores."""
     folder, files = _folder(spark, source)
     size = files.getContentSummary(folder).getLength()
-    return max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    busy = min(spark.sparkContext.defaultParallelism, -(-size // LEAST_BUCKET_BYTES))
+    return max(1, busy, -(-size // BUCKET_BYTES))
 
 
 def _write_clustered(writer, path: str, partition_by: Sequence[str], cluster: Clustering) -> None:

@@ -122,7 +122,7 @@ def test_engagement_mart_joins_totals_from_bitmaps(spark, clicks, no_broadcast):
     assert "sum_click" not in text and "Expand" not in text
 
 
-def test_clustered_versions_replace_each_other(spark, tmp_path):
+def test_clustered_versions_replace_each_other(spark, tmp_path, monkeypatch):
     path, cluster = str(tmp_path / "t"), Clustering(("k",), 3, ("k",))
     first = spark.range(100).select((F.col("id") % 7).alias("k"), "id")
     assert replace_table(first, path, cluster=cluster) == 100
@@ -131,7 +131,11 @@ def test_clustered_versions_replace_each_other(spark, tmp_path):
     assert replace_table(first.limit(10), path, expected_rows=10, cluster=Clustering(("k",), 2, ("k",))) == 10
     assert read_clustered(spark, "test_versions", path, first.schema).count() == 10
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("pending_")]
+    assert buckets_for(spark, path) == 1
+    monkeypatch.setattr("tallyframe.sinks.tables.LEAST_BUCKET_BYTES", 50)
     assert buckets_for(spark, path) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr("tallyframe.sinks.tables.BUCKET_BYTES", 60)
+    assert buckets_for(spark, path) > spark.sparkContext.defaultParallelism
 
 
 # References
