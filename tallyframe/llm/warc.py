@@ -11,8 +11,10 @@ searches for the next place at which a whole valid member or record begins,
 goes on from there, and reports the bytes between as a quarantined gap.
 Uncompressed archives are read the same way, by version lines, and so are the bytes
 that can be unpacked from a damaged member or one with a bad record inside. Of a member
-that is cut off, a record that ends just where the cut is counts as damaged. HTTP header
-lines without a colon are no damage.
+that is cut off, a record that ends just where the cut is counts as damaged; what follows
+is searched from the member's first bytes, as the unpacker reads beyond a cut. HTTP header
+lines without a colon are no damage. The digests cover blocks and payloads, so headers that
+come from a member with a wrong checksum are as good as its bytes.
 
 Defined results: a null payload is written as an empty one, and empty input as
 no record. Pages tied on the smallest id of a group are all responses; a null id
@@ -20,7 +22,9 @@ is larger than all others and comes back as null. Control characters and spaces
 in a URL are percent-encoded, and a null URL is left out. Repeated pages become
 repeated records. A page with a payload that itself holds a WARC record is read
 whole, as its length is known; only behind damage could the inner record be
-taken for one. One record must fit in memory; files hold ``FILE_RECORDS`` at most.
+taken for one. One record must fit in memory. Written files hold about
+``FILE_BYTES`` and a record at most; a file is read as one value, so those of
+others must stay below 2 GB. Columns besides the three named are ignored.
 """
 
 from __future__ import annotations
@@ -35,10 +39,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.common import groups_of
 from tallyframe.session import materialise
 
 MIN_SHARED = 100
-FILE_RECORDS = 10_000
+#: Bytes of an archive file, written in rows of ``_ROW_BYTES``.
+FILE_BYTES = 128 << 20
 DATE = "1970-01-01T00:00:00Z"
 VERSION = b"WARC/1.1\r\n"
 GZIP = b"\x1f\x8b\x08"
@@ -48,6 +54,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _OUT_BYTES = 8 << 20
+_ROW_BYTES = 1 << 20
 _FEED = 1 << 14
 
 RECORD = (
@@ -121,8 +128,18 @@ def member(data: bytes, level: int = 3) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def write_archives(pages: DataFrame, path: str, compress: bool = True, file_records: int = FILE_RECORDS, **columns) -> None:
-    """Write the records of ``pages`` as files below ``path``."""
+def write_archives(pages: DataFrame, path: str, compress: bool = True, file_bytes: int = FILE_BYTES, **columns) -> None:
+    """Write the records of ``pages`` as files of about ``file_bytes`` below ``path``.
+
+    A row of the sink holds several records, and a file so many rows that their
+    bytes stay within the bound; one larger record makes a longer row.
+    """
+    row_bytes = min(_ROW_BYTES, file_bytes)
+    between = EMPTY_MEMBER.encode("latin-1") if compress else b"\r\n\r\n"
+
+    def rows_of_records(records: list[bytes]) -> pa.RecordBatch:
+        parts = groups_of(records, [len(r) for r in records], row_bytes)
+        return pa.RecordBatch.from_arrays([pa.array([between.join(records[p]) for p in parts], pa.binary())], ["value"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,12 +151,12 @@ def write_archives(pages: DataFrame, path: str, compress: bool = True, file_reco
                 out.append(member(data) if compress else data[:-4])
                 size += len(out[-1])
                 if size > _OUT_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                    yield rows_of_records(out)
                     out, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            yield rows_of_records(out)
 
     records = plan_records(pages, **columns).mapInArrow(build, "value binary").select(F.col("value").cast("string").alias("value"))
-    writer = records.write.option("maxRecordsPerFile", file_records).option("encoding", "ISO-8859-1")
+    writer = records.write.option("maxRecordsPerFile", max(1, file_bytes // row_bytes)).option("encoding", "ISO-8859-1")
     # An uncompressed record ends in two line ends, which the sink's separator supplies.
     writer.option("lineSep", EMPTY_MEMBER if compress else "\r\n\r\n").text(path)
 
@@ -239,11 +256,39 @@ def read_at(data: bytes, at: int) -> tuple[list[Record], int, list[str]]:
     return records, end, [wrong] if wrong else reasons
 
 
+def next_valid(data: bytes, at: int, end: int, saved: list[Record]) -> int:
+    """Where the first valid member or record behind the damaged member at ``at`` begins.
+
+    The unpacker takes the bytes behind a cut for more of the cut member, up to
+    ``end``, so the search starts at the member's own bytes. A stored member
+    shows its records there once more; those ``saved`` are passed over.
+    """
+    for found in _BEGIN.finditer(data, at + 1):
+        start = found.start()
+        if start >= end:
+            return start
+        try:
+            records, _, wrong = read_at(data, start)
+        except Damage:
+            continue
+        if [r for r in records if r not in saved] or not (records or wrong):
+            return start
+    return len(data)
+
+
+def before_cut(data: bytes) -> list[Record]:
+    """The records of a cut member that end before the cut."""
+    try:
+        return read_at(data, 0)[0]
+    except Damage:
+        return []
+
+
 def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | str]]:
     """Start, end, and the records of each valid stretch, or the reason of each gap, in order.
 
     Damage inside a member with valid records is a gap without length behind it, or
-    goes on from where the member cannot be unpacked.
+    goes on from where the member cannot be unpacked to the next valid one.
     """
     at, gap, reason = 0, None, ""
     while at < len(data):
@@ -258,16 +303,20 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, list[Record] | str]]:
         if gap is not None:
             yield gap, at, reason
             gap = None
+        if wrong and wrong[0].startswith("gzip member"):
+            following = next_valid(data, at, end, records)
+            if following < end:  # cut there: what was unpacked from behind the cut is none of its records
+                records, end = before_cut(data[at:following]), following
+            if records:
+                yield at, end, records
+            yield end if records else at, following, wrong[0]
+            at = following
+            continue
         if records:
             yield at, end, records
+        for what in wrong:
+            yield end, end, what
         at = end
-        if wrong and wrong[0] == "gzip member":
-            gap, reason = end, wrong[0]
-            following = _BEGIN.search(data, end)
-            at = following.start() if following else len(data)
-        else:
-            for what in wrong:
-                yield end, end, what
     if gap is not None:
         yield gap, len(data), reason
 

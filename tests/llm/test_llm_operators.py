@@ -116,7 +116,7 @@ def expected_pages(rows):
 def test_archives_round_trip(spark, compress):
     rows = pages(60)
     path = scratch(spark, "warc")
-    warc.write_archives(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3), path, compress=compress, file_records=7)
+    warc.write_archives(spark.createDataFrame(rows, "page_id int, url string, html string").repartition(3), path, compress=compress, file_bytes=900)
     got = warc.read_archives(spark, path).collect()
     assert {r.kind for r in got} == {"record"} and len(got) == 60
     html = {i: (h or "").encode() for i, _, h in rows}
@@ -184,6 +184,36 @@ def test_salvage_inside_a_member():
     assert got == every[: len(got)] and len(got) >= sum(e < len(cut) // 2 - 200 for e in ends) - 1 > 0
 
 
+@pytest.mark.parametrize("level", [3, 0])
+def test_salvage_behind_cut_members(level):
+    plain, ends = archive(False, 12)
+    parts = [plain[b:e] for b, e in zip([0, *ends[:-1]], ends, strict=True)]
+    ids = lambda data: [r.headers["warc-record-id"] for _, _, what in warc.salvage(data) if not isinstance(what, str) for r in what]
+    every = ids(plain)
+    first = warc.member(b"".join(parts[:4]), level)
+    second, third = warc.member(b"".join(parts[4:8]), level), warc.member(b"".join(parts[8:]), level)
+    r = random.Random(11)
+    for _ in range(150):
+        cut = r.randrange(20, len(first))
+        data = first[:cut] + second + third
+        got = ids(data)
+        assert got[-8:] == every[4:] and got[:-8] == every[: len(got) - 8]
+        spans = list(warc.salvage(data))
+        assert spans[0][0] == 0 and spans[-1][1] == len(data) and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+        again = first[:cut] + second[: r.randrange(20, len(second))] + third + plain
+        assert ids(again)[-16:] == every[8:] + every
+
+
+def test_salvage_of_a_record_line_behind_a_cut_member():
+    plain, ends = archive(False, 6)
+    first = warc.member(plain[: ends[3]])
+    r = random.Random(3)
+    for _ in range(60):
+        data = first[: r.randrange(20, len(first))] + plain[ends[3] :]
+        got = [x.headers["warc-record-id"] for _, _, what in warc.salvage(data) if not isinstance(what, str) for x in what]
+        assert len(got) == len(set(got)) and len(got) >= 2
+
+
 def test_odd_http_header_lines():
     block = b"HTTP/1.1 200 OK\r\nno colon here\r\nContent-Length: 2\r\n\r\nhi"
     head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}\r\n"
