@@ -9,7 +9,9 @@ A position inside a shard is the rows of the shard's earlier slots plus the
 position inside the slot, so no shard is ever gathered in one task.
 
 Defined results: a null key is hashed as empty text, a null text has no bytes.
-Rows of equal key share a slot; equal rows are told apart by their order only.
+Rows of equal key share a slot, unless that key alone holds more than
+``HEAVY`` of a shard's mean bytes: its rows are spread over all slots by key,
+text and place in the input. Equal rows are told apart by their order only.
 Empty input gives no rows. Columns other than the key and text are ignored.
 """
 
@@ -25,6 +27,8 @@ from tallyframe.session import materialise, scratch
 SLOTS = 8192
 SHARDS = 40
 ROW_BYTES = 16
+#: Part of a shard's mean bytes above which a slot is searched for heavy keys; there are at most ``shards / HEAVY`` of either.
+HEAVY = 0.02
 MAP_SCHEMA = "version int, vslot int, shard int, bytes bigint, rows bigint"
 
 
@@ -50,6 +54,27 @@ def slot_loads(records: DataFrame) -> DataFrame:
     return records.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
 
 
+def spread(records: DataFrame, loads: dict[int, int], shards: int, key: str = "doc_id", slots: int = SLOTS) -> DataFrame:
+    """``records`` with the rows of heavy keys over all slots; ``loads`` are the bytes per slot.
+
+    ``records`` must be stored and have the column ``_at``, a number for each row.
+    """
+    bound = sum(loads.values()) / shards * HEAVY
+    full = [slot for slot, size in loads.items() if size > bound]
+    inside = records.filter(F.col("vslot").isin(full)) if full else records.limit(0)
+    keys = inside.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    heavy = keys.filter((F.col("_bytes") > bound) & (F.col("_rows") > 1)).select("_key", F.lit(True).alias("_heavy"))
+    anew = slot_of(F.concat_ws(" ", F.col(f"`{key}`").cast("string"), "text_crc32", "_at"), slots)
+    return records.join(F.broadcast(heavy), F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left").select(
+        *[F.col(f"`{c}`") for c in records.columns if c != "vslot"], F.when(F.col("_heavy"), anew).otherwise(F.col("vslot")).alias("vslot")
+    )
+
+
+def bytes_by_slot(loads: DataFrame) -> dict[int, tuple[int, int]]:
+    """Bytes and rows of each slot; one row per slot at most comes to the driver."""
+    return {r.vslot: (r.bytes, r.rows) for r in loads.collect()}
+
+
 def assign(loads: dict[int, int], shards: int) -> dict[int, int]:
     """A first map: the heaviest slot goes to the lightest shard, ties to the lower number."""
     heap, placed = [(0, k) for k in range(shards)], {}
@@ -113,7 +138,7 @@ class SlotMap:
 def grow(spark: SparkSession, slot_map: SlotMap, version: int, loads: DataFrame, shards: int) -> int:
     """Store the next version for ``shards`` shards and the loads given; returns its number."""
     old = {r.vslot: r.shard for r in slot_map.read(version).collect()}
-    sizes = {r.vslot: (r.bytes, r.rows) for r in loads.collect()}
+    sizes = bytes_by_slot(loads)
     placed = rebalance(old, {s: b for s, (b, _) in sizes.items()}, shards)
     slot_map.write(version + 1, placed, sizes)
     return version + 1
@@ -122,8 +147,10 @@ def grow(spark: SparkSession, slot_map: SlotMap, version: int, loads: DataFrame,
 def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """Shard and gapless position of every record, through version 0 of a map stored at ``path``."""
     spark = docs.sparkSession
-    records = materialise(sized(docs, key, text, slots), "slots")
-    loads = {r.vslot: (r.bytes, r.rows) for r in slot_loads(records).collect()}  # one row per slot at most
+    records = materialise(sized(docs, key, text, slots).withColumn("_at", F.monotonically_increasing_id()), "slots")
+    loads = bytes_by_slot(slot_loads(records))
+    records = spread(records, {s: b for s, (b, _) in loads.items()}, shards, key, slots)
+    loads = bytes_by_slot(slot_loads(records))
     if path is None:
         path = scratch(spark, "slot-map")
     slot_map = SlotMap(spark, path)

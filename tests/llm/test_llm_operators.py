@@ -574,6 +574,24 @@ def test_versions_of_a_map(spark, odd, nothing):
     assert slots.shard(nothing, shards=3).count() == 0
 
 
+@pytest.mark.parametrize("hot", [77, None])
+def test_a_third_of_rows_under_one_id(spark, hot):
+    rows = [(hot if i % 3 == 0 else i, "same words" if i % 6 == 0 else f"text {i}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = slots.shard(docs).collect()
+    assert sorted((str(r.doc_id), r.size) for r in out) == sorted((str(i), len(t) + 16) for i, t in rows)
+    loads, places = Counter(), {}
+    for r in out:
+        loads[r.shard] += r["size"]
+        places.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    mean = sum(loads.values()) / slots.SHARDS
+    assert len(loads) == slots.SHARDS and max(loads.values()) <= 1.05 * mean and min(loads.values()) >= 0.95 * mean
+    lone = {r.doc_id: r.vslot for r in out if r.doc_id != hot}
+    by_id = {r.doc_id: r.vslot for r in slots.sized(docs).collect() if r.doc_id != hot}
+    assert lone == by_id  # only the heavy key is spread
+
+
 # Language
 
 
