@@ -41,13 +41,14 @@ _STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in rules.STOP_WORDS.val
     m AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
                  len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
                  coalesce(cov.n, 0) AS n_repeat_words, len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS stops, len(l) AS lines,
+                 2 * length(regexp_replace(text, '[^\p{{Latin}}]+', '', 'g')) >= length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS latin,
                  len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*' || chr(8226) || ']'))) AS bullets,
                  len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|' || chr(8230) || ')[\x20\x09-\x0D]*$'))) AS dots
           FROM t LEFT JOIN cov USING (r)),
     b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND word_chars / n_words BETWEEN 2 AND 14 AND n_symbols / n_words <= 0.3
-             AND (n_words < 50 OR stops / n_words >= 0.02)
+             AND (n_words < 50 OR stops / n_words >= 0.02 OR NOT latin)
              AND coalesce(n_dup_lines / nullif(lines, 0) <= 0.5 AND bullets / nullif(lines, 0) <= 0.9
                           AND dots / nullif(lines, 0) <= 0.5, TRUE) AS kept
     FROM b

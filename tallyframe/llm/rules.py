@@ -6,7 +6,8 @@ shuffle is involved.
 
 Defined results: a null text has no words, like an empty one, and fails the
 base rule. Repeated rows and ties each get their own row. Ratios over nothing
-are 0. Other columns are kept; an input column named like a measure is replaced.
+are 0. Stop words are judged only in texts of which at least half the letters are
+Latin, the script of all lists; a text without letters is judged. Other columns are kept; an input column named like a measure is replaced.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import let, space_words
 
 WINDOW = 5
+#: Words to a stop word up to which a text counts as written in a listed language.
+FEW = 10
 SYMBOLS = "[#*$%&|<>]"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -28,22 +31,36 @@ STOP_WORDS = {
     "fr": "au aux avec ce dans de des du elle en est et il la le les ne ou par pas pour que qui sur un une",
     "de": "als am auch auf aus bei das dem den der des die ein eine es für ich im in ist mit nicht sich sie und von zu",
     "es": "al como con de del el en es esta la las lo los más no para pero por que se su un una y",
+    "it": "che di il la per non una con del sono",
+    "pt": "que de não uma para com os do da em",
+    "nl": "het een van en de dat niet op te zijn",
+    "sv": "och att det som en är på för av inte",
+    "da": "og at det som en er på for af ikke",
+    "pl": "nie na się do to że jest jak od po",
+    "cs": "se na že je to ve jako za by pro",
+    "ro": "de la și în cu nu pe care din este",
+    "fi": "ja on ei että se oli hän mutta kuin myös",
+    "tr": "bir ve bu da de için ile çok gibi olarak",
 }
 
 
 class Rule(NamedTuple):
-    """A document passes if ``low <= measure <= high``; texts below ``from_words`` words are not judged."""
+    """A document passes if ``low <= measure <= high``.
+
+    Texts below ``from_words`` words are not judged, nor, if ``latin_only``, those mostly in other letters.
+    """
 
     measure: str
     low: float | None = None
     high: float | None = None
     from_words: int = 0
+    latin_only: bool = False
 
 
 RULES = (
     Rule("mean_word_chars", 2.0, 14.0),
     Rule("symbols_per_word", high=0.3),
-    Rule("stop_word_ratio", low=0.02, from_words=50),
+    Rule("stop_word_ratio", low=0.02, from_words=50, latin_only=True),
     Rule("dup_line_ratio", high=0.5),
     Rule("bullet_line_ratio", high=0.9),
     Rule("ellipsis_line_ratio", high=0.5),
@@ -75,26 +92,35 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(F.size(words) < width, F.lit(0)).otherwise(let(hashes, covered))
 
 
+def mostly_latin(text: Column) -> Column:
+    """Whether at least half of the letters are Latin."""
+    kept = lambda signs: F.length(F.regexp_replace(text, f"[^{signs}]+", ""))
+    return 2 * kept(r"\p{IsLatin}") >= kept(r"\p{L}")
+
+
 def measures(text: Column, stop_words: dict[str, str] = STOP_WORDS) -> Column:
     """All counts of a text as one struct."""
     text = F.coalesce(text, F.lit(""))
     stops = sorted({w for words in stop_words.values() for w in words.split()})
 
-    def counts(w: Column, lines: Column) -> Column:
+    def counts(w: Column, lines: Column, n_stops: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
             repeated_words(w).cast("long").alias("n_repeat_words"),
-            F.size(F.filter(w, lambda x: F.lower(x).isin(stops))).cast("long").alias("n_stop_words"),
+            n_stops.cast("long").alias("n_stop_words"),
+            # Letters are counted only where few words are stop words.
+            ((n_stops * FEW >= F.size(w)) | mostly_latin(text)).alias("latin"),
             F.size(lines).cast("long").alias("n_lines"),
             F.size(F.filter(lines, lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•]"))).cast("long").alias("n_bullet_lines"),
             F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long").alias("n_ellipsis_lines"),
         )
 
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(HAS_WORD))
-    return let(space_words(text), lambda w: let(lines, lambda ls: counts(w, ls)))
+    n_stops = lambda w: F.size(F.filter(w, lambda x: F.lower(x).isin(stops)))
+    return let(space_words(text), lambda w: let(lines, lambda ls: let(n_stops(w), lambda n: counts(w, ls, n))))
 
 
 def ratios(m: Column) -> dict[str, Column]:
@@ -119,6 +145,8 @@ def compiled(rules: tuple[Rule, ...], m: Column) -> Column:
         if rule.high is not None:
             tests.append(value > rule.high)
         bad = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+        if rule.latin_only:
+            bad = bad & m["latin"]
         broken.append(F.when((m["n_words"] >= rule.from_words) & bad, F.lit(rule.measure)))
     return F.array_compact(F.array(*broken))
 

@@ -689,3 +689,14 @@ def test_pipeline_cases(spark, odd, nothing, tmp_path):
         out = corpus_pipeline.run(spark, folder)
         kept = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
         assert (kept == []) if name == "nothing" else (1 in kept and not {2, 3, 4, 5, 7} & set(kept))
+
+
+def test_stop_words_of_other_scripts_and_languages(spark, nothing):
+    russian = "Вчера утром старый рыбак вышел из дома и долго смотрел на тихую реку потому что ветер наконец утих "
+    italian = "Il vecchio pescatore usciva ogni mattina per guardare il fiume che scorreva piano e non diceva una parola "
+    distinct = lambda t: " ".join(f"{w}{'' if k < 17 else chr(97 + k % 23) + chr(97 + k // 23)}" if k % 3 else w for k, w in enumerate((t * 4).split()))
+    noise = " ".join(f"xq{chr(97 + k % 26)}{chr(97 + k // 26)}zz" for k in range(60))
+    rows = [(1, distinct(russian)), (2, distinct(italian)), (3, noise), (4, " ".join(str(k * 37 + 1000) for k in range(60)))]
+    got = {r.doc_id: r.broken_rules for r in rules.judge(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {1: [], 2: [], 3: ["stop_word_ratio"], 4: ["stop_word_ratio"]}
+    assert rules.judge(nothing).collect() == []
