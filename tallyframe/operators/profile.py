@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import is_missing, is_present, null_markers
-from tallyframe.operators.ordering import running_total
-from tallyframe.session import materialise
+from tallyframe.operators.selection import exact_medians
+from tallyframe.sources.generated import literal_rows
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,31 +56,17 @@ def varying_entities(df: DataFrame, key: str, attribute: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(attribute).alias("_lo"), F.max(attribute).alias("_hi")).where("_lo < _hi").select(key)
 
 
-def _median(value_counts: DataFrame) -> DataFrame:
-    """Exact median per column from (column_name, value, n) counts."""
-    placed = running_total(value_counts, "column_name", "value", "n")
-    size = value_counts.groupBy("column_name").agg(F.sum("n").alias("size"))
-    low, high = F.expr("(size + 1) div 2"), F.expr("size div 2 + 1")
-    holds = lambda place: (place > F.col("running") - F.col("n")) & (place <= F.col("running"))
-    return (
-        placed.join(size, "column_name")
-        .where(holds(low) | holds(high))
-        .groupBy("column_name")
-        .agg(((F.min("value") + F.max("value")) / 2).alias("median"))
-    )
-
-
 def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """One row per column: centre, spread, range and missing values.
 
     Numbers get mean, median, most frequent value (the least one of several) and
     coefficient of variation; categories get the most frequent label and the
-    entropy of the label counts. Medians and modes are taken from value counts
-    that are grouped and stored once, never from a collected column: the table
-    is read once for them and once for the moments.
+    entropy of the label counts. One scan gives the moments, some more the medians
+    (``operators/selection.py``), and one the value counts of all columns, which are
+    summed up as they come and neither stored nor sorted. ``df`` must give the same
+    rows each time it is read.
     """
-    parts = []
-    counts = materialise(_value_counts(df, numeric, categorical), "value-counts")
+    rows = []
     if numeric:
         doubles = df.select(*[F.col(c).cast("double").alias(c) for c in numeric])
         moments = doubles.agg(
@@ -90,51 +76,35 @@ def column_stats(df: DataFrame, numeric: Sequence[str], categorical: Sequence[st
                     F.try_divide(F.stddev_pop(c), F.avg(c)).alias("dispersion"),
                     F.min(c).alias("min"),
                     F.max(c).alias("max"),
+                    F.count(c).alias("present"),
                     F.count_if(F.col(c).isNull()).alias("missing"),
                 ).alias(c)
                 for c in numeric
             ]
-        ).select(
-            F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`.*")) for c in numeric]))
-        )
-        values = counts.where("value IS NOT NULL").select("column_name", "value", "n")
-        mode = values.groupBy("column_name").agg(F.max(F.struct("n", -F.col("value"))).alias("top")).select(
-            "column_name", (-F.col("top.col2")).alias("mode")
-        )
-        parts.append(
-            moments.join(_median(values), "column_name", "left")
-            .join(mode, "column_name", "left")
-            .select(
-                "column_name", F.lit("numeric").alias("kind"), "mean", "median", "mode",
-                F.lit(None).cast("string").alias("mode_label"), "dispersion", "min", "max", "missing",
-            )
-        )
-    if categorical:
-        labels = counts.where(F.col("column_name").isin(*categorical)).select(
-            "column_name", "category", F.col("n").alias("frequency")
-        )
-        known = F.col("category").isNotNull()
-        n = F.when(known, F.col("frequency"))
-        summary = labels.groupBy("column_name").agg(
-            (F.log(F.sum(n)) - F.sum(n * F.log(n)) / F.sum(n)).alias("dispersion"),
-            F.max(n).alias("top"),
-            F.coalesce(F.sum(F.when(~known, F.col("frequency"))), F.lit(0)).alias("missing"),
-        )
-        mode = (
-            labels.where(known)
-            .join(summary.select("column_name", "top"), "column_name")
-            .where("frequency = top")
-            .groupBy("column_name")
-            .agg(F.min("category").alias("mode_label"))
-        )
-        none = lambda c: F.lit(None).cast("double").alias(c)
-        parts.append(
-            summary.join(mode, "column_name", "left").select(
-                "column_name", F.lit("category").alias("kind"), none("mean"), none("median"), none("mode"),
-                "mode_label", "dispersion", none("min"), none("max"), "missing",
-            )
-        )
-    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+        ).first()
+        medians = exact_medians(doubles, {c: moments[c].present for c in numeric})
+        for c in numeric:
+            m = moments[c]
+            rows.append((c, "numeric", m.mean, medians[c], m.dispersion, m.min, m.max, m.missing))
+    rows += [(c, "category", None, None, None, None, None, None) for c in categorical]
+    known = literal_rows(
+        df.sparkSession,
+        rows,
+        "column_name string, kind string, mean double, median double, _dispersion double, min double, max double, _missing bigint",
+    )
+    present = F.coalesce(F.col("value").isNotNull() | F.col("category").isNotNull(), F.lit(False))
+    n = F.when(present, F.col("n"))
+    summary = _value_counts(df, numeric, categorical).groupBy("column_name").agg(
+        (F.log(F.sum(n)) - F.sum(n * F.log(n)) / F.sum(n)).alias("_entropy"),
+        F.min(F.when(present, F.struct((-F.col("n")).alias("less"), "value", "category"))).alias("_top"),
+        F.sum(F.when(~present, F.col("n"))).alias("_absent"),
+    )
+    is_category = F.col("kind") == "category"
+    return known.join(summary, "column_name", "left").select(
+        "column_name", "kind", "mean", "median", F.col("_top.value").alias("mode"), F.col("_top.category").alias("mode_label"),
+        F.when(is_category, F.col("_entropy")).otherwise(F.col("_dispersion")).alias("dispersion"), "min", "max",
+        F.coalesce("_missing", "_absent", F.lit(0)).alias("missing"),
+    )
 
 
 def _value_counts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ class CountMismatch(RuntimeError):
         self.rows = rows
 
 
+#: Header lines read at the same time.
+HEADER_JOBS = 16
 #: Column of staging tables with the text of a row that has too many or too few fields, else null.
 MALFORMED = "_malformed"
 
@@ -104,8 +108,9 @@ def preflight(spark: SparkSession, data_dir: str, sources: Sequence[SourceFile]
 
     A "file" may be a folder of part files, as a large export would be; then the
     header of each part counts, and the first wrong one is shown. Sizes come
-    from a listing of the folder; only header lines are read. In a missing
-    folder all files are missing.
+    from a listing of the folder. Only header lines are read, those of
+    ``HEADER_JOBS`` parts at a time; one scan of all parts would have to read
+    their first blocks whole. In a missing folder all files are missing.
     """
     try:
         listed = _listed(spark, data_dir, [s.filename for s in sources])
@@ -113,13 +118,16 @@ def preflight(spark: SparkSession, data_dir: str, sources: Sequence[SourceFile]
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         listed = {}
+    wanted = [p for s in sources for p, n in listed.get(s.filename, ()) if n]
+    read = inheritable_thread_target(spark)(lambda p: ",".join(spark.read.option("header", True).csv(p).columns))
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        headers = dict(zip(wanted, pool.map(read, wanted), strict=True))
     rows = []
     for s in sources:
         expected, found, status, size = ",".join(s.columns), None, "MISSING", None
         if parts := listed.get(s.filename):
             size = sum(n for _, n in parts)
-            headers = (",".join(spark.read.option("header", True).csv(p).columns) for p, n in parts if n)
-            found = next((h for h in headers if h != expected), expected if size else "")
+            found = next((headers[p] for p, n in parts if n and headers[p] != expected), expected if size else "")
             status = "OK" if found == expected else "INVALID COLUMNS"
         rows.append((s.filename, status, expected, found, size, None if size is None else size / 1048576))
     return literal_rows(

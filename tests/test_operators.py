@@ -8,7 +8,7 @@ from conftest import one, rows
 from pyspark.sql import functions as F
 
 from tallyframe.operators import aggregates as agg
-from tallyframe.operators import profile
+from tallyframe.operators import profile, selection
 from tallyframe.operators.corrections import (
     append_valid,
     apply_corrections,
@@ -128,6 +128,33 @@ def test_column_stats_against_brute_force(skewed, spark, keep):
     assert got["site"]["missing"] == 1 + sum(r[1] == 2 for r in data)
 
 
+@pytest.mark.parametrize("few,accuracy", [(1, 100), (30, 20), (100_000, 10_000)])
+def test_medians_by_narrowing_brackets(spark, few, accuracy):
+    r = random.Random(few)
+    hot = [7.0] * 900 + [r.uniform(-50, 60) for _ in range(1100)]
+    columns = {
+        "hot": hot, "same": [3.0] * 2000, "two": [1.0] * 1000 + [2.0] * 1000, "wide": [r.uniform(-1, 1) * 10 ** r.randrange(-200, 200) for _ in range(2000)],
+        "gaps": [None if r.random() < 0.4 else float(r.randrange(500)) for _ in range(2000)], "one": [None] * 1999 + [5.0], "none": [None] * 2000,
+    }
+    for v in columns.values():
+        r.shuffle(v)
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(4)
+    present = {c: [x for x in v if x is not None] for c, v in columns.items()}
+    got = selection.exact_medians(df, {c: len(v) for c, v in present.items()}, few, accuracy)
+    assert got == {c: statistics.median(v) if v else None for c, v in present.items()}
+    ranks = {k: selection.Bracket("hot", k, 2000) for k in (1, 2, 500, 1999, 2000)}
+    assert selection.select_ranks(df, ranks, few, accuracy) == {k: sorted(hot)[k - 1] for k in ranks}
+
+
+def test_column_stats_of_nothing_and_without_writes(spark):
+    nothing = spark.createDataFrame([], "n int, label string")
+    got = {x.column_name: x for x in profile.column_stats(nothing, ["n"], ["label"]).collect()}
+    assert (got["n"]["median"], got["n"]["mode"], got["n"]["missing"], got["label"]["mode_label"], got["label"]["missing"]) == (None, None, 0, None, 0)
+    df = spark.range(1000).selectExpr("id % 7 AS n", "CAST(id % 3 AS STRING) AS label")
+    plan = profile.column_stats(df, ["n"], ["label"])._jdf.queryExecution().executedPlan().toString()
+    assert "Scan parquet" not in plan and "rangepartitioning" not in plan
+
+
 def test_consistency_ignores_nulls(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "a"), (2, " a "), (3, "a"), (3, "?")], "k int, v string")
     assert one(profile.consistency(df, "k", ["v"])) == {"inconsistent_v": 1}

@@ -80,6 +80,24 @@ def test_preflight_accepts_folders_of_parts(spark, tmp_path):
     assert {r.status for r in preflight(spark, parts).collect()} == {"OK"}
 
 
+def test_preflight_finds_one_wrong_header_among_many_parts(spark, tmp_path):
+    raw_files.write(tmp_path / "raw")
+    folder = tmp_path / "raw" / "vle.csv"
+    lines = folder.read_text()
+    folder.unlink()
+    folder.mkdir()
+    for k in range(60):
+        (folder / f"part-{k:03}.csv").write_text(lines)
+    (folder / "part-empty.csv").write_text("")
+    status = lambda: {r.file: (r.status, r.found) for r in preflight(spark, str(tmp_path / "raw")).collect()}
+    assert status()["vle.csv"][0] == "OK"
+    header, *rest = lines.split("\n")
+    names = header.split(",")
+    swapped = ",".join([names[1], names[0], *names[2:]])
+    (folder / "part-041.csv").write_text("\n".join([swapped, *rest]))
+    assert status()["vle.csv"] == ("INVALID COLUMNS", swapped)
+
+
 def test_count_gate(spark, tmp_path):
     stg = load_staging(spark, raw_files.write(tmp_path))
     assert assert_counts(stg, {"stg_courses": 2}) == {"stg_courses": 2}
