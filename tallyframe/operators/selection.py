@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: Accuracy of the sketch: its ranks are off by one row in so many.
 ACCURACY = 10_000
 #: Rows of a bracket that one task may sort.
-FEW_ROWS = 100_000
+FEW_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -44,10 +44,14 @@ class Bracket:
 
 
 def _proposed(df: DataFrame, brackets: list[Bracket], accuracy: int) -> list[list[float]]:
-    """Two values of each bracket, most likely one on either side of its rank."""
+    """Two values of each bracket, most likely one on either side of its rank.
+
+    Ranks are taken in steps, so that neighbours in one bracket share a sketch and the counts.
+    """
     sketches = []
     for k, b in enumerate(brackets):
-        near = [max(0.0, b.rank / b.rows - 2 / accuracy), min(1.0, b.rank / b.rows + 2 / accuracy)]
+        step = b.rank * accuracy // b.rows
+        near = [max(0, step - 2) / accuracy, min(accuracy, step + 3) / accuracy]
         sketches.append(F.percentile_approx(b.inside(), near, accuracy).alias(f"s{k}"))
     return list(df.agg(*sketches).first())
 
@@ -75,13 +79,16 @@ def _narrowed(df: DataFrame, brackets: list[Bracket], proposed: list[list[float]
 
 def _picked(df: DataFrame, brackets: list[Bracket]) -> list[float]:
     """The wanted values of brackets of few rows, by counts of their different values."""
-    cells = F.array(*[F.struct(F.lit(k).alias("bracket"), b.inside().alias("value")) for k, b in enumerate(brackets)])
-    counts = df.select(F.inline(cells)).where("value IS NOT NULL").groupBy("bracket", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.element_at(F.array(*[F.lit(b.rank).cast("bigint") for b in brackets]), F.col("bracket") + 1)
-    reached = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= rank)
-    values = {r.bracket: r.value for r in reached.groupBy("bracket").agg(F.min("value").alias("value")).collect()}
-    return [values[k] for k in range(len(brackets))]
+    places = {place: k for k, place in enumerate(dict.fromkeys((b.column, b.low, b.high) for b in brackets))}
+    parts = {places[b.column, b.low, b.high]: b for b in brackets}
+    cells = F.array(*[F.struct(F.lit(k).alias("part"), b.inside().alias("value")) for k, b in sorted(parts.items())])
+    counts = df.select(F.inline(cells)).where("value IS NOT NULL").groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = [
+        F.min(F.when((F.col("part") == places[b.column, b.low, b.high]) & (F.col("upto") >= b.rank), F.col("value"))).alias(f"v{k}")
+        for k, b in enumerate(brackets)
+    ]
+    return list(counts.withColumn("upto", F.sum("n").over(upto)).agg(*reached).first())
 
 
 def select_ranks(
