@@ -18,6 +18,7 @@ from tallyframe.operators.corrections import (
     rejected_rows,
     rows_corrected,
 )
+from tallyframe.operators.differences import checksums, differing_groups, row_difference
 from tallyframe.operators.joins import has_orphans, orphan_counts, orphans, star_audit, star_denormalise, star_lookup
 from tallyframe.operators.ordering import first_per_key, running_total, surrogate_key, top_k
 from tallyframe.operators.quality import Check, ForeignKey, NotNull, Unique, one_of, violations
@@ -293,3 +294,28 @@ def test_dependent_inserts_in_order(spark):
     assert append_valid(marks_, child, rules, {"students": students}).count() == 1
     students = append_valid(students, spark.createDataFrame([(2,)], "s int"), [Unique(("s",))])
     assert append_valid(marks_, child, rules, {"students": students}).count() == 2
+
+
+def test_row_difference(spark):
+    schema = "k int, a int, b int, c string"
+    same = [(i, i, None, "x") for i in range(100, 400)]
+    old = spark.createDataFrame([(1, 1, 1, "a"), (2, None, 5, "b"), (3, 3, 3, "c"), (4, 4, 4, "d"), (4, 4, 4, "d"), (None, 1, 1, "n"), (6, 1, 1, "p"), (6, 1, 1, "p"), *same], schema)
+    new = spark.createDataFrame([(1, 1, 1, "a"), (2, 5, None, "b"), (4, 4, 4, "d"), (5, 5, 5, None), (None, 1, 1, "m"), (6, 2, 2, "q"), (6, 2, 2, "q"), *reversed(same)], schema)
+    got = {x.k: tuple(x)[1:] for x in row_difference(old, new.repartition(5).select("c", "k", "b", "a"), ["k"]).collect()}
+    assert got == {
+        2: ("changed", 1, 1, "a, b"), 3: ("lost", 1, 0, None), 4: ("lost", 1, 0, None), 5: ("added", 0, 1, None),
+        None: ("changed", 1, 1, "c"), 6: ("several", 2, 2, None),
+    }
+    assert row_difference(old, old.repartition(3), ["k"]).collect() == []
+    assert {x.kind for x in row_difference(old, old.limit(0), ["k"]).collect()} == {"lost"}
+    assert row_difference(old, new, ["k"], groups=1).count() == len(got)
+    assert differing_groups(old, new, ["k"]).count() <= len(got) and checksums(old.limit(0), ["k"]).count() == 0
+    with pytest.raises(ValueError, match="different columns"):
+        row_difference(old, new.drop("c"), ["k"])
+
+
+def test_repeated_rows_do_not_cancel_in_checksums(spark):
+    pairs = lambda v: spark.createDataFrame([(1, v), (1, v)], "k int, v int")
+    assert differing_groups(pairs(1), pairs(2), ["k"]).count() == 1
+    swapped = [spark.createDataFrame([(1, *v)], "k int, a int, b int") for v in ((None, 7), (7, None))]
+    assert differing_groups(*swapped, ["k"]).count() == 1

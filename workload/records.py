@@ -26,6 +26,7 @@ from tallyframe.operators.corrections import (
     rejected_rows,
     rows_corrected,
 )
+from tallyframe.operators.differences import row_difference
 from tallyframe.operators.joins import (
     has_orphans,
     orphan_counts,
@@ -1050,3 +1051,48 @@ def _(spark, d):
 def _(spark, d):
     stored = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("stored_status"))
     return _new_orders(spark).drop("o_custkey").distinct().join(stored, "o_orderkey", "left")
+
+
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(
+    "row_difference",
+    """WITH old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+    edited AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 79 = 0 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+               CASE WHEN o_orderkey % 89 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_orderkey % 83 <> 0 THEN o_totalprice END AS o_totalprice
+        FROM old WHERE o_orderkey % 97 <> 0),
+    new AS (
+        FROM edited UNION ALL (SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM edited WHERE o_orderkey % 73 = 0)
+        UNION ALL (FROM edited WHERE o_orderkey % 71 = 0)),
+    d AS (
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(sum(sign) AS BIGINT) AS more
+        FROM (SELECT *, 1 AS sign FROM old UNION ALL SELECT *, -1 FROM new) GROUP BY ALL HAVING sum(sign) <> 0),
+    k AS (
+        SELECT o_orderkey, CAST(coalesce(sum(more) FILTER (more > 0), 0) AS BIGINT) AS rows_lost,
+               CAST(coalesce(-sum(more) FILTER (more < 0), 0) AS BIGINT) AS rows_added,
+               concat_ws(', ',
+                   CASE WHEN max(o_custkey) FILTER (more > 0) IS DISTINCT FROM max(o_custkey) FILTER (more < 0) THEN 'o_custkey' END,
+                   CASE WHEN max(o_orderstatus) FILTER (more > 0) IS DISTINCT FROM max(o_orderstatus) FILTER (more < 0) THEN 'o_orderstatus' END,
+                   CASE WHEN max(o_totalprice) FILTER (more > 0) IS DISTINCT FROM max(o_totalprice) FILTER (more < 0) THEN 'o_totalprice' END) AS names
+        FROM d GROUP BY o_orderkey)
+    SELECT o_orderkey, CASE WHEN rows_lost = 1 AND rows_added = 1 THEN 'changed' WHEN rows_added = 0 THEN 'lost'
+                            WHEN rows_lost = 0 THEN 'added' ELSE 'several' END AS kind,
+           rows_lost, rows_added, CASE WHEN rows_lost = 1 AND rows_added = 1 THEN names END AS changed_columns
+    FROM k""",
+)
+def _(spark, d):
+    """Orders against an edited copy: rows left out, changed, new and repeated."""
+    key = F.col("o_orderkey")
+    old = table(spark, d, "orders").select(*ORDER_COLUMNS)
+    edited = old.where(key % 97 != 0).withColumns(
+        {
+            "o_custkey": F.when(key % 79 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+            "o_orderstatus": F.when(key % 89 == 0, "X").otherwise(F.col("o_orderstatus")),
+            "o_totalprice": F.when(key % 83 != 0, F.col("o_totalprice")),
+        }
+    )
+    new = union_all([edited, edited.where(key % 73 == 0).withColumn("o_orderkey", -key), edited.where(key % 71 == 0)])
+    return row_difference(old, new, ["o_orderkey"])
