@@ -17,14 +17,12 @@ Nothing of a fixed size is gathered, and the driver gets three sums. Documents a
 written in groups of about ``GROUP_BYTES`` of text as numbers of the group's words. Each
 group sends its different words and pairs with their counts to their ranges of
 keys, where they are added up, and gets back the totals of those that it sent. So
-a frequent pair is one entry of a group, a task holds one group or one range, and
-there are as many ranges as shuffle partitions, which are to grow with the input.
+a frequent pair is one entry of a group, and a task holds one group or one range at a
+time. Ranges and their tasks grow in number with the tokens, not in size.
 
 Defined results: a null or wordless text has no tokens and null losses and score.
 A null mark is no target. Without targets all losses are equal and scores 0.
-If a caller limits the vocabulary to its most frequent words of the targets, all
-else is one unknown word, and ties go to the word that sorts first. Repeated rows
-count as often as they occur and get a row each. Other columns pass unchanged; input
+Repeated rows count as often as they occur and get a row each. Other columns pass unchanged; input
 columns named like a result are replaced.
 """
 
@@ -47,13 +45,14 @@ from tallyframe.session import materialise
 
 #: Tokens that the fallback counts for beside a context's own.
 PRIOR = 500.0
-FLUSH = 500_000
 #: Text of a group, and what a row counts beside its text.
 GROUP_BYTES = 16 << 20
 ROW_BYTES = 64
+#: Tokens of the corpus to a range of keys; a range gets at most so many words or pairs on average.
+RANGE_TOKENS = 1 << 20
 #: Words whose keys a task remembers.
 CACHE = 1_000_000
-UNKNOWN, START = 1, 2
+START = 2
 RESULT = "n_tokens bigint, target_loss double, background_loss double, score double"
 _PACKED = "group bigint, kept binary, lengths binary, marks binary, words binary, tokens binary, n bigint, n_target bigint"
 _SENT = "group bigint, bucket int, keys binary, counts binary"
@@ -61,38 +60,11 @@ _TOTALS = "group bigint, bucket int, counts binary, different bigint"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def vocabulary_of(docs: DataFrame, text: str, target: str, size: int) -> list[bytes]:
-    """The most frequent words of the target documents."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for t in as_bytes(batch.column("text")):
-                for words in word_pieces(t):
-                    held.update(words)
-                    if len(held) > FLUSH:
-                        yield rows()
-                        held.clear()
-        yield rows()
-
-    chosen = docs.filter(F.col(target)).select(F.col(text).alias("text")).filter("text IS NOT NULL")
-    counted = chosen.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r.word) for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
-
-
 class Keys(dict):
-    """The key of each word; of all but the known ones that of the unknown word, if ``known`` is given."""
-
-    def __init__(self, known: frozenset[bytes] | None = None):
-        self.known = known
+    """The key of each word."""
 
     def __missing__(self, word: bytes) -> int:
-        new = self.known is None or word in self.known
-        key = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little") if new else UNKNOWN
+        key = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         return key
 
     def of(self, text: bytes) -> list[np.ndarray]:
@@ -116,13 +88,13 @@ def joined(arrays: list[np.ndarray], kind: type, axis: int = 0) -> np.ndarray:
     return np.concatenate(arrays, axis) if arrays else np.zeros(0, kind)
 
 
-def pack(docs: DataFrame, keep: list[str], text: str, target: str, known: frozenset[bytes] | None) -> DataFrame:
+def pack(docs: DataFrame, keep: list[str], text: str, target: str) -> DataFrame:
     """The documents in groups: kept columns, tokens of each document, and its words in numbers of the group's words."""
 
     names = T.StructType.fromDDL(_PACKED).names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, made, held, size = Keys(known), 0, [], 0
+        keys, made, held, size = Keys(), 0, [], 0
 
         def group() -> pa.RecordBatch:
             rows = pa.Table.from_batches(held)
@@ -209,7 +181,7 @@ def send(packed: DataFrame, buckets: int, pair_bits: int) -> DataFrame:
     return packed.select("group", "lengths", "marks", "words", "tokens", "n").mapInArrow(run, _SENT)
 
 
-def add_up(sent: DataFrame) -> DataFrame:
+def add_up(sent: DataFrame, tasks: int) -> DataFrame:
     """To each group the totals of what it sent; the first row of a range also says how many different keys that has."""
 
     names = T.StructType.fromDDL(_TOTALS).names
@@ -227,7 +199,7 @@ def add_up(sent: DataFrame) -> DataFrame:
         first = pa.array([len(different)] + [0] * (len(keys) - 1), pa.int64())
         return pa.table([table.column("group"), table.column("bucket"), blobs, first], names)
 
-    return sent.groupBy("bucket").applyInArrow(run, _TOTALS)
+    return sent.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(run, _TOTALS)
 
 
 class Models(NamedTuple):
@@ -266,18 +238,18 @@ def losses(group: Group, words: np.ndarray, pairs: np.ndarray, size: int, tokens
 
 
 def fit(
-    docs: DataFrame, text: str = "text", target: str = "target", vocabulary: int | None = None, pair_bits: int = 64, keep: list[str] | None = None
+    docs: DataFrame, text: str = "text", target: str = "target", pair_bits: int = 64, keep: list[str] | None = None, range_tokens: int = RANGE_TOKENS
 ) -> Models:
     """Both models, from all documents, which are written with the columns ``keep`` (all, if not given)."""
     keep = docs.columns if keep is None else keep
-    known = None if vocabulary is None else frozenset(vocabulary_of(docs, text, target, vocabulary))
-    packed = materialise(pack(docs, keep, text, target, known), "packed")
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    totals = materialise(add_up(send(packed, buckets, pair_bits)), "totals")
+    packed = materialise(pack(docs, keep, text, target), "packed")
     tokens = packed.agg(F.coalesce(F.sum("n_target"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = max(1, -(-tokens[1] // range_tokens))
+    tasks = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    totals = materialise(add_up(send(packed, buckets, pair_bits), tasks), "totals")
     different = totals.filter(F.col("bucket") < buckets).agg(F.coalesce(F.sum("different"), F.lit(0))).first()[0]
     # The start and a word that nobody has seen belong to the vocabulary; ``different`` has the start.
-    return Models(packed, totals, keep, different + 1 if known is None else len(known) + 2, tuple(tokens), buckets, pair_bits)
+    return Models(packed, totals, keep, different + 1, tuple(tokens), buckets, pair_bits)
 
 
 def score(docs: DataFrame, models: Models, keep: list[str]) -> DataFrame:
