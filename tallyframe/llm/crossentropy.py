@@ -28,7 +28,6 @@ columns named like a result are replaced.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from typing import NamedTuple
@@ -211,6 +210,7 @@ class Models(NamedTuple):
     words: int
     tokens: tuple[int, int]
     buckets: int
+    tasks: int
     pair_bits: int
 
 
@@ -249,7 +249,7 @@ def fit(
     totals = materialise(add_up(send(packed, buckets, pair_bits), tasks), "totals")
     different = totals.filter(F.col("bucket") < buckets).agg(F.coalesce(F.sum("different"), F.lit(0))).first()[0]
     # The start and a word that nobody has seen belong to the vocabulary; ``different`` has the start.
-    return Models(packed, totals, keep, different + 1, tuple(tokens), buckets, pair_bits)
+    return Models(packed, totals, keep, different + 1, tuple(tokens), buckets, tasks, pair_bits)
 
 
 def score(docs: DataFrame, models: Models, keep: list[str]) -> DataFrame:
@@ -276,4 +276,5 @@ def score(docs: DataFrame, models: Models, keep: list[str]) -> DataFrame:
 
     sent, back = models.packed.drop("n", "n_target"), models.totals.drop("different")
     schema = T.StructType([docs.schema[c] for c in keep] + new.fields)
+    sent, back = (side.repartition(models.tasks, "group") for side in (sent, back))
     return sent.groupBy("group").cogroup(back.groupBy("group")).applyInArrow(run, schema)
