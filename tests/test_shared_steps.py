@@ -41,3 +41,16 @@ def test_distinct_counts_keep_words_and_sort_no_rows(spark):
     assert rows(got) == [
         (g, len({a for h, a, _ in values if h == g} - {None}), len({b for h, _, b in values if h == g}), 1000) for g in (1, 2)
     ]
+
+
+def test_engagement_of_numbers_copies_no_rows(spark):
+    values = [(s, 10 * ((s or 0) + i) % 700, (i * 37) % 300 - 150 if i % 5 else None, i) for s in (1, 2, None) for i in range(200)]
+    df = spark.createDataFrame([*values, *values], "s bigint, site bigint, day bigint, clicks bigint")
+    got = engagement(df, ["s"], "clicks", "day", "site")
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    wanted = []
+    for s in (1, 2, None):
+        mine = [v for v in values if v[0] == s]
+        days = {v[2] for v in mine} - {None}
+        wanted.append((s, 2 * sum(v[3] for v in mine), len(days), len({v[1] for v in mine}), min(days), max(days)))
+    assert rows(got) == sorted(wanted, key=repr)
