@@ -33,6 +33,31 @@ def written(monkeypatch):
     return labels
 
 
+def test_report_and_gates_join_lines_to_orders_once(spark, tmp_path, monkeypatch):
+    labels, d = written(monkeypatch), given(spark, tmp_path)
+    for name in ("quality_report", "clean_rules", "engagement_mart_rules", "count_gate"):
+        labels.clear()
+        entry.queries()[name](spark, d)
+        assert labels.count("lines") == 1 and len(set(labels)) == len(labels), name
+
+
+def test_expected_counts_leave_nulls_out(spark, tmp_path):
+    d = given(spark, tmp_path)
+    t = derived.layers(spark, d).also(
+        {
+            "_lines": lambda _: spark.sql(
+                """SELECT * FROM VALUES (11L, 'A', 1, 5L, 2L), (11L, 'A', 1, 5L, 2L), (11L, null, 1, 5L, 3L), (11L, 'N', 2, null, 3L),
+                (null, 'A', 3, 5L, 2L), (12L, 'A', null, 5L, null) AS v(context, l_returnflag, l_linenumber, id_student, day)"""
+            )
+        }
+    )
+    got = {(r.table_name, r.check_name): r.expected_value for r in expectations(t).collect()}
+    assert {k: v for (k, check), v in got.items() if check == "source row-count reconciliation" and k[4:] in ("assessments", "vle", "student_assessment", "student_vle")} == {
+        "stg_assessments": 3, "stg_vle": 2, "stg_student_assessment": 2, "stg_student_vle": 6,
+    }
+    assert got["clean_student_vle_interaction", "cleaned row-count reconciliation"] == 2
+
+
 def test_distinct_counts_keep_words_and_sort_no_rows(spark):
     values = [(g, (a * 7919 - 40_000) if a % 11 else None, a * a % 100_003) for g in (1, 2) for a in range(500)]
     df = spark.createDataFrame([*values, *values], "g bigint, a bigint, b bigint")

@@ -23,7 +23,7 @@ from tallyframe.sinks import (
 from tallyframe.sources import assert_counts, load_staging, preflight, read_csv
 from workload.registry import query
 from workload.staging_sql import LAYERS
-from workload.tables import enrolments, layers, order_lines, staging, table
+from workload.tables import SHARED, layers, staging, table
 
 # Text with commas, quotes and both, as a raw file may hold it.
 TRICKY_SQL = """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority || ', urgent' WHEN 1 THEN '"' || o_orderpriority || '"'
@@ -42,10 +42,9 @@ def _tricky(spark, d):
     return table(spark, d, "orders").select(key, label.alias("label"), (key % 7).cast("bigint").alias("number"))
 
 
-def _raw(spark, d, tables):
-    """The derived staging tables as CSV folders of several parts."""
+def _raw(spark, t, tables):
+    """Staging tables as CSV folders of several parts."""
     root = scratch(spark, "raw")
-    t = staging(spark, d)
     for name in tables:
         source = SOURCE_BY_TABLE[name]
         df = t[name].select(*source.columns)
@@ -99,7 +98,7 @@ def _(spark, d):
 def _(spark, d):
     """Staging tables loaded from files that are made of the derived ones, with their counts."""
     names = [s.table for s in SOURCES]
-    stg = load_staging(spark, _raw(spark, d, names))
+    stg = load_staging(spark, _raw(spark, staging(spark, d).written(*SHARED), names))
     parts = []
     for name in names:
         columns = SOURCE_BY_TABLE[name].columns
@@ -117,20 +116,21 @@ def _(spark, d):
 )
 def _(spark, d):
     """All seven files through the count gate, held against counts worked out from the given tables."""
-    orders = enrolments(spark, d)
-    lines = order_lines(spark, d, orders)
-    student = ["id_student", "code_module", "code_presentation"]
+    t = staging(spark, d).written(*SHARED)
+    orders, lines = t["_orders"], t["_lines"]
+    students = (orders, ("id_student", "code_module", "code_presentation"))
     keys = {
-        "stg_courses": (orders, student[1:]),
-        "stg_student_info": (orders, student),
-        "stg_student_registration": (orders, student),
-        "stg_assessments": (lines, ["context", "l_returnflag"]),
-        "stg_vle": (lines, ["context", "l_linenumber"]),
-        "stg_student_assessment": (lines, ["context", "l_returnflag", "id_student"]),
+        "stg_courses": (orders, ("code_module", "code_presentation")),
+        "stg_student_info": students,
+        "stg_student_registration": students,
+        "stg_assessments": (lines, ("context", "l_returnflag")),
+        "stg_vle": (lines, ("context", "l_linenumber")),
+        "stg_student_assessment": (lines, ("context", "l_returnflag", "id_student")),
     }
-    expected = {name: df.select(*columns).distinct().count() for name, (df, columns) in keys.items()}
+    found = {columns: df.select(*columns).distinct().count() for df, columns in dict.fromkeys(keys.values())}
+    expected = {name: found[columns] for name, (_, columns) in keys.items()}
     expected["stg_student_vle"] = table(spark, d, "lineitem").count()
-    stg = load_staging(spark, _raw(spark, d, [s.table for s in SOURCES]))
+    stg = load_staging(spark, _raw(spark, t, [s.table for s in SOURCES]))
     counts = assert_counts(stg, expected)
     each = {name: df.agg(F.count(F.lit(1)).alias("total_rows")).where(F.col("total_rows") == counts[name]) for name, df in stg.items()}
     return union_all([df.select(F.lit(name).alias("table_name"), "total_rows") for name, df in each.items()])
@@ -147,7 +147,7 @@ def _(spark, d):
 )
 def _(spark, d):
     """One good file, one with a column renamed, and five that are not there."""
-    root = _raw(spark, d, ["stg_courses"])
+    root = _raw(spark, staging(spark, d), ["stg_courses"])
     wrong = staging(spark, d)["stg_assessments"].withColumnRenamed("weight", "heaviness")
     wrong.write.option("header", True).csv(f"{root}/assessments.csv")
     return preflight(spark, root).select("file", "status", "expected")
