@@ -58,6 +58,20 @@ def test_expected_counts_leave_nulls_out(spark, tmp_path):
     assert got["clean_student_vle_interaction", "cleaned row-count reconciliation"] == 2
 
 
+def test_flawed_tables_read_their_rows_once(spark, tmp_path):
+    d = given(spark, tmp_path)
+    good, bad = derived.staging(spark, d), derived.flawed(spark, d)
+    plan = bad["stg_student_assessment"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_returnflag#") and plan.count("Relation [") == 2  # lines and orders
+    each = good["stg_student_vle"]
+    twice = each.where("sum_click = '50'").withColumns(
+        {"id_student": F.concat(F.lit("-"), F.trim("id_student")), "id_site": F.concat("id_site", F.lit("9")), "sum_click": F.lit("0")}
+    )
+    undated = each.where("sum_click = '49'").withColumn("date", F.lit(None).cast("string"))
+    assert twice.count() and undated.count()
+    assert rows(bad["stg_student_vle"]) == rows(each.unionByName(twice).unionByName(undated))
+
+
 def test_distinct_counts_keep_words_and_sort_no_rows(spark):
     values = [(g, (a * 7919 - 40_000) if a % 11 else None, a * a % 100_003) for g in (1, 2) for a in range(500)]
     df = spark.createDataFrame([*values, *values], "g bigint, a bigint, b bigint")
