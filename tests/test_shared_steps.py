@@ -93,3 +93,15 @@ def test_engagement_of_numbers_copies_no_rows(spark):
         days = {v[2] for v in mine} - {None}
         wanted.append((s, 2 * sum(v[3] for v in mine), len(days), len({v[1] for v in mine}), min(days), max(days)))
     assert rows(got) == sorted(wanted, key=repr)
+
+
+def test_dense_keys_work_their_rows_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(300).repartition(3).select(F.udf(counted, "bigint")("id").alias("id"))
+    assert one(surrogate_key(df, "key", ["id"]).agg(F.max("key").alias("n"))) == {"n": 300}
+    assert seen.value == 300
