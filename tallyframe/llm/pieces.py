@@ -6,15 +6,17 @@ scores or merges in the order of their scores, and byte fallback.
 
 If no piece reaches across a space, which the model's own pieces tell, a text's
 tokens are those of its words, each with the spaces before it. Then every
-different word of a batch is encoded once, by the library's threads, and texts
-are put together from these. Other models encode whole texts. Tokens and decoded
+different word of a batch is encoded once, and texts are put together from
+these; a text whose words all decode to themselves decodes to itself. Other
+models encode whole texts. Tokens and decoded
 texts are those of the rebuilt tokenizer. Parity: whatever it encodes is also
 encoded by the SentencePiece library and compared; a unit that differs marks its
 text. Known to differ are long runs of one sign (such as 30 spaces): several
 merges give the same piece, and the libraries choose by position or by rank.
 
 A worker process has one codec, which its tasks share, with a store of words that
-is bounded by bytes; each task first gives unused memory back to the system.
+is bounded by bytes and, when full, keeps those met in most batches; each task
+first gives unused memory back to the system.
 
 Defined results: a null text gives null tokens and a null decoded text, an empty
 one no tokens. A text that holds the marker itself decodes to spaces in its
@@ -36,6 +38,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
@@ -47,9 +50,9 @@ MARK = "▁"
 #: Text of the words that a worker keeps, with an allowance for each word.
 CACHE_BYTES, WORD_BYTES = 64 << 20, 220
 WORDS_AT_ONCE = 16_384
-#: Of the tokenizers library in each task; more than a task's cores only wait in turns.
-THREADS = 2
-BATCH_BYTES = 4 << 20
+#: Of either library in each task, which has one core: a second thread adds half to the CPU time of encoding.
+THREADS = 1
+BATCH_BYTES = 2 << 20
 SECTION = 1 << 20
 RESULTS = {
     "tokens": "ids array<int>, parity boolean",
@@ -171,6 +174,18 @@ def splits_at_spaces(spec: Spec) -> bool:
     return plain and not any(across.search(p) for p, _, kind in spec.pieces if kind in (NORMAL, USER_DEFINED))
 
 
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of all values of slices, one slice after another."""
+    found = np.repeat(starts - (np.cumsum(sizes, dtype=np.int64) - sizes), sizes)
+    found += np.arange(len(found))
+    return found
+
+
+def before(values: np.ndarray) -> np.ndarray:
+    """The sum of the values before each place, and last that of all."""
+    return np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+
+
 class Codec:
     """Encoder and decoder of one worker, with a bounded store of words already encoded."""
 
@@ -192,24 +207,42 @@ class Codec:
     def clear(self) -> None:
         self.held = 0
         self.number: dict[str, int] = {}
-        self.texts: list[str] = []
+        self.texts: dict[int, str] = {}  # only of words that decode to something else
         self.flat, self.sizes, self.agree = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.met = np.zeros(0, np.int32)
+
+    def forget(self) -> None:
+        """Keep the words met in most batches, and in several, up to half of the store's bytes."""
+        words = list(self.number)
+        held = np.fromiter(map(len, words), np.int64, len(words)) + WORD_BYTES
+        order = np.argsort(-self.met, kind="stable")
+        kept = np.sort(order[(self.met[order] > 1) & (np.cumsum(held[order]) <= CACHE_BYTES // 2)])
+        self.flat = self.flat[places(before(self.sizes)[kept], self.sizes[kept])]
+        self.sizes, self.agree, self.met = self.sizes[kept], self.agree[kept], self.met[kept] // 2
+        self.held, kept = int(held[kept].sum()), kept.tolist()
+        self.number = {words[n]: k for k, n in enumerate(kept)}
+        self.texts = {k: self.texts[n] for k, n in enumerate(kept) if n in self.texts}
 
     def both(self, units: list[str], plain: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Tokens of units, and whether both libraries agree on them."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        wanted = self.reference.encode(plain)
+        wanted = self.reference.encode(plain, num_threads=THREADS)
         if self.by_words:  # a last single space, which SentencePiece alone would take for no text
             wanted = [w if p else [self.reference.piece_to_id(MARK)] for w, p in zip(wanted, plain, strict=True)]
         same = [a == b for a, b in zip(got, wanted, strict=True)]
         return got, same
 
-    def units(self, text: str) -> list[str]:
-        """Words of a text, each with the spaces before it."""
-        if not text:
-            return []
-        text = " " + text.replace(MARK, " ")
-        return text[1:].split(" ") if "  " not in text and text[-1] != " " else re.findall(r" *[^ ]+| +", text)
+    def units(self, texts: list[str]) -> tuple[pa.Array, np.ndarray, list[int]]:
+        """Words without the space before each, the number of words of each text, and which text that is: evenly spaced ones first."""
+        even = [k for k, t in enumerate(texts) if "  " not in f" {t} "]
+        odd = [k for k, t in enumerate(texts) if "  " in f" {t} "]
+        words = pc.split_pattern(pa.array([texts[k] for k in even], pa.large_string()), " ")
+        counts, words = pc.list_value_length(words).to_numpy(), words.flatten()
+        if odd:
+            found = [re.findall(r" ( *[^ ]+| *)", " " + texts[k]) for k in odd]
+            counts = np.concatenate([counts, np.fromiter(map(len, found), np.int64, len(found))])
+            words = pa.concat_arrays([words, pa.array(chain.from_iterable(found), pa.large_string())])
+        return words, counts, even + odd
 
     def sections(self, text: str) -> Iterator[str]:
         """Parts of a very long text that have its units between them, about ``SECTION`` characters each."""
@@ -235,42 +268,50 @@ class Codec:
             ids, same = self.both(texts, texts)
             arrays = [np.array(i, np.int32) for i in ids]
             return list(zip(arrays, same, self.decode_all(arrays), strict=True))
-        short = iter(self.encode_words([self.units(t) for t in texts if len(t) <= SECTION]))
+        short = iter(self.encode_words([t.replace(MARK, " ") for t in texts if 0 < len(t) <= SECTION]))
         out = []
         for t in texts:
-            if len(t) <= SECTION:
+            if not t:
+                out.append((np.zeros(0, np.int32), True, ""))
+            elif len(t) <= SECTION:
                 out.append(next(short))
-                continue
-            parts = [self.encode_words([self.units(part) or [""]])[0] for part in self.sections(t)]
-            ids, same, back = zip(*parts, strict=True)
-            out.append((np.concatenate(ids), all(same), " ".join(back)))
+            else:
+                ids, same, back = zip(*(self.encode_words([part.replace(MARK, " ")])[0] for part in self.sections(t)), strict=True)
+                out.append((np.concatenate(ids), all(same), " ".join(back)))
         return out
 
-    def encode_words(self, units: list[list[str]]) -> list[tuple[np.ndarray, bool, str]]:
-        """Tokens of lists of units, and their texts, of which only those not met before are encoded and decoded."""
+    def encode_words(self, texts: list[str]) -> list[tuple[np.ndarray, bool, str]]:
+        """The same for texts without the marker that follow a space, of whose words only those not met before are encoded and decoded."""
         if self.held > CACHE_BYTES:
-            self.clear()
-        fresh = list({u for us in units for u in us if u not in self.number})
+            self.forget()
+        units, counts, order = self.units(texts)
+        units = units.dictionary_encode()
+        words, units = units.dictionary.to_pylist(), units.indices.to_numpy()
+        fresh = [w for w in words if w not in self.number]
         self.held += sum(map(len, fresh)) + WORD_BYTES * len(fresh)
         self.number.update(zip(fresh, range(len(self.sizes), len(self.sizes) + len(fresh)), strict=True))
         flat, sizes, agree = [self.flat], [self.sizes], [self.agree]
         for start in range(0, len(fresh), WORDS_AT_ONCE):  # the library's results are much larger than the tokens
-            # A unit without its spaces stands for one with a single space before it.
-            marked = [u if u.startswith(" ") else " " + u for u in fresh[start : start + WORDS_AT_ONCE]]
-            ids, same = self.both(marked, [u[1:] for u in marked])
-            self.texts += self.decode_all(ids)  # without the space before it, as at the start of a text
+            some = fresh[start : start + WORDS_AT_ONCE]
+            ids, same = self.both([" " + w for w in some], some)
+            decoded = self.decode_all(ids)  # without the space before it, as at the start of a text
+            self.texts |= {self.number[w]: d for w, d in zip(some, decoded, strict=True) if w != d}
             flat.append(np.fromiter(chain.from_iterable(ids), np.int32))
             sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
             agree.append(np.array(same, bool))
         self.flat, self.sizes, self.agree = np.concatenate(flat), np.concatenate(sizes), np.concatenate(agree)
-        starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
-        out = []
-        for us in units:
-            at = np.fromiter(map(self.number.__getitem__, us), np.int64, len(us))
-            size = self.sizes[at]
-            shift = np.repeat(starts[at] - (np.cumsum(size) - size), size)
-            back = " ".join(map(self.texts.__getitem__, at.tolist()))
-            out.append((self.flat[shift + np.arange(len(shift))], bool(self.agree[at].all()), back))
+        self.met = np.concatenate([self.met, np.zeros(len(fresh), np.int32)])
+        known = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        self.met[known] += 1
+        starts, ends, out = before(self.sizes), before(counts), [None] * len(texts)
+        other = np.zeros(len(self.sizes), bool)
+        other[list(self.texts)] = True
+        for k, text in enumerate(order):
+            unit = units[ends[k] : ends[k + 1]]
+            at, back = known[unit], texts[text]
+            if other[at].any():
+                back = " ".join(self.texts.get(n, words[u]) for n, u in zip(at.tolist(), unit.tolist(), strict=True))
+            out[text] = (self.flat[places(starts[at], self.sizes[at])], bool(self.agree[at].all()), back)
         return out
 
     def decode(self, ids: np.ndarray) -> str:

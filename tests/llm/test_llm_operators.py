@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import math
+import os
 import random
 import re
 import struct
@@ -398,6 +399,39 @@ def test_a_worker_shares_one_bounded_codec(monkeypatch):
         assert codec.held <= 3000 + 10 * (pieces.WORD_BYTES + 10) and len(codec.number) == len(codec.sizes)
 
 
+def test_a_full_store_keeps_frequent_words(monkeypatch):
+    codec = pieces.Codec(pieces.read_model(pieces.MODEL_FILE))
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 6000)
+    seen, both = [], codec.both
+    monkeypatch.setattr(codec, "both", lambda units, plain: seen.extend(plain) or both(units, plain))
+    texts = [f"the  cat of w{k}\u2581x{k} the y{k} " for k in range(60)]
+    got = [codec.round_trip([t, t])[1] for t in texts]
+    assert max(map(seen.count, ("the", " cat", "of", ""))) == 1 and len(codec.number) < len(set(seen))
+    assert [g[0].tolist() for g in got] == codec.reference.encode(texts)
+    assert [g[2] for g in got] == [t.replace(pieces.MARK, " ") for t in texts] and all(g[1] for g in got)
+
+
+def test_texts_are_put_together_from_decoded_words(monkeypatch):
+    codec = pieces.Codec(pieces.read_model(pieces.MODEL_FILE))
+    monkeypatch.setattr(pieces, "CACHE_BYTES", 2000)
+    decode_all = codec.decode_all
+    monkeypatch.setattr(codec, "decode_all", lambda ids: [t.replace("b", "?") for t in decode_all(ids)])
+    for k in range(60):
+        texts = [f"a b{k}", "", f"  ab {k}  b", f"a{k}", "b", "a a"]
+        assert [g[2] for g in codec.round_trip(texts)] == [t.replace("b", "?") for t in texts]
+
+
+def test_either_library_has_one_thread(monkeypatch):
+    """A task has one core; more threads only add to the CPU time."""
+    monkeypatch.delenv("RAYON_NUM_THREADS", raising=False)
+    codec = pieces.Codec(pieces.read_model(pieces.MODEL_FILE))
+    assert os.environ["RAYON_NUM_THREADS"] == "1"
+    asked, encode = [], codec.reference.encode
+    monkeypatch.setattr(codec.reference, "encode", lambda plain, **more: asked.append(more) or encode(plain, **more))
+    codec.encode(["some words"])
+    assert asked == [{"num_threads": 1}]
+
+
 def test_codec_cases(spark, odd, nothing):
     data = pieces.read_model(pieces.MODEL_FILE)
     rows = pieces.encode(odd, data, odd.columns).collect()
